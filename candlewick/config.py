@@ -65,6 +65,7 @@ def build_session(app: str = "candlewick", master: str | None = None,
         b = b.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -112,3 +113,13 @@ def local_dir(path: str) -> str:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_dir(path), exist_ok=True)
+
+
+def spread(df):
+    """Give an input with fewer scan splits than task slots one round-robin
+    shuffle so per-row work uses every core. Inputs that already have enough
+    splits (any large table) are returned unchanged, so this never adds a
+    shuffle at scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df.repartition(slots) if n < slots else df

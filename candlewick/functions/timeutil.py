@@ -81,3 +81,9 @@ def market_is_open(ts_utc: Column | str, tz: str, open_at: str = "10:00:00",
 def iso_utc(ts_utc: Column | str) -> Column:
     """Wire format: ISO-8601, millisecond precision, ``Z`` suffix."""
     return F.date_format(_c(ts_utc), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def utc_instant(ts_utc: Column | str) -> Column:
+    """UTC NTZ -> TIMESTAMP (instant), independent of the session time zone."""
+    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(ts_utc))
+    return F.timestamp_micros(micros)

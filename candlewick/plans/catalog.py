@@ -2,8 +2,13 @@
 
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame built from the
 parquet tables (quotes are derived from ``events`` by
-:mod:`candlewick.sources.events_feed`). Fixed evaluation parameters keep the
-results deterministic: ``as_of`` is pinned and every timestamp is UTC NTZ.
+:mod:`candlewick.sources.events_feed`, the dimension from ``customer`` and
+``nation``). Fixed evaluation parameters keep results deterministic:
+``as_of`` is pinned and every timestamp is UTC TIMESTAMP_NTZ.
+
+Two ticker mappings are used: ``type`` (5 instruments, dense intraday
+series: candle and window queries) and ``user`` (one instrument per
+customer: snapshot, sectors, joins to the dimension).
 """
 
 from __future__ import annotations
@@ -11,39 +16,395 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.operators.candles import gold_candles
-from candlewick.operators.silver import silver_quotes
-from candlewick.sources.events_feed import kafka_records
-from candlewick.sources.kafka import to_bronze
+from candlewick.config import scratch_path, spread
+from candlewick.functions import display
+from candlewick.functions.quotes import expected_source
+from candlewick.functions.timeutil import market_date, market_is_open, market_local
+from candlewick.operators import quality as q
+from candlewick.operators import serving
+from candlewick.operators.candles import gold_candles, intraday_running_state, ohlcv, with_lags, with_moving_metrics, \
+    with_returns
+from candlewick.operators.common import lookback_filter
+from candlewick.operators.sectors import sector_performance
+from candlewick.operators.silver import incremental_slice, merge_frames, silver_quotes, valid_quotes
+from candlewick.operators.snapshot import day_aggregate, day_range_position, latest_candle, latest_tick, \
+    ticker_snapshot
+from candlewick.plans.batch_run import run_summary
+from candlewick.plans.checks import evaluate, gold_suite, seed_suite, silver_suite
+from candlewick.sources.api import missing_tickers, normalize_api
+from candlewick.sources.events_feed import api_payloads, dim_from_customers, kafka_records
+from candlewick.sources.kafka import encode_events, to_bronze
 
 # Fixed evaluation parameters of the registered queries (shared with the SQL oracle).
 AS_OF = "2024-01-31 00:00:00"
 TZ = "America/Sao_Paulo"
 BUCKET = "1 hour"
-LOOKBACK_DAYS = 30
+LOOKBACK_DAYS = 30          # covers the whole month of test data
 SMA_DIGITS = 6
+SLICE_CUT = "2024-01-20 12:00:00"      # silver built from readings before this instant
+FRESH_AS_OF = "2024-02-01 00:00:00"    # a day after the last reading: stale
+FUTURE_AS_OF = "2024-01-20 00:00:00"   # quotes after this are "in the future"
+LEVELS_AS_OF = "2024-01-31 00:30:00"   # per-ticker freshness spans pass/warn/error
+HORIZON_HOURS = 6
+
+
+def _at(ts: str):
+    return F.lit(ts).cast("timestamp_ntz")
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
+def events(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "events"))
+
+
 def bronze(spark: SparkSession, d: str, by: str = "type") -> DataFrame:
-    return to_bronze(kafka_records(table(spark, d, "events"), by), as_of=AS_OF, tz=TZ)
+    return to_bronze(kafka_records(events(spark, d), by), as_of=AS_OF, tz=TZ)
 
 
 def silver(spark: SparkSession, d: str, by: str = "type") -> DataFrame:
     return silver_quotes(bronze(spark, d, by), TZ)
 
 
+def ticks(spark: SparkSession, d: str, by: str = "type") -> DataFrame:
+    return lookback_filter(silver(spark, d, by), _at(AS_OF), TZ, LOOKBACK_DAYS)
+
+
 def candles(spark: SparkSession, d: str, by: str = "type") -> DataFrame:
     return gold_candles(silver(spark, d, by), AS_OF, TZ, LOOKBACK_DAYS, BUCKET, 4, SMA_DIGITS)
 
 
+def dim(spark: SparkSession, d: str) -> DataFrame:
+    return dim_from_customers(table(spark, d, "customer"), table(spark, d, "nation"))
+
+
+def snapshot(spark: SparkSession, d: str) -> DataFrame:
+    return ticker_snapshot(silver(spark, d, "user"), candles(spark, d, "user"), dim(spark, d), AS_OF, TZ,
+                           LOOKBACK_DAYS)
+
+
+def sectors(spark: SparkSession, d: str) -> DataFrame:
+    return sector_performance(snapshot(spark, d))
+
+
+# --- bronze / sources -------------------------------------------------------
+
+def q_bronze_decode(spark, d):
+    return bronze(spark, d, "type")
+
+
+def q_api_normalize(spark, d):
+    p = api_payloads(events(spark, d), "type")
+    return normalize_api(p, cycle_col=None, event_id=F.concat(F.lit("req-"), F.col("request_id").cast("string")),
+                         ingestion_ts=F.col("ingestion_ts"))
+
+
+def q_event_encode(spark, d):
+    s = silver(spark, d, "type").select("event_id", "ticker", "price", "volume", "source")
+    return encode_events(s)
+
+
+def q_coverage_missing(spark, d):
+    """Dimension tickers with no quote on the as-of trading day."""
+    day = silver(spark, d, "user").filter(F.col("trading_date") == market_date(_at(AS_OF), TZ))
+    return missing_tickers(dim(spark, d).select("ticker", "company_name"), day)
+
+
+# --- silver -------------------------------------------------------------------
+
+def q_silver_filter(spark, d):
+    return valid_quotes(bronze(spark, d, "type"))
+
+
+def q_silver_change_pct(spark, d):
+    return silver(spark, d, "type").select("ticker", "quote_ts", "price", "previous_close", "change_pct")
+
+
+def q_silver_feed_delay(spark, d):
+    return silver(spark, d, "type").select("ticker", "quote_ts", "ingestion_ts", "feed_delay_seconds")
+
+
+def q_silver_dedup(spark, d):
+    return silver(spark, d, "type")
+
+
+def _target_and_slice(spark, d):
+    b = bronze(spark, d, "type")
+    target = silver_quotes(b.filter(F.col("ingestion_ts") < _at(SLICE_CUT)), TZ)
+    return b, target, incremental_slice(b, target, tz=TZ)
+
+
+def q_silver_incremental_slice(spark, d):
+    return _target_and_slice(spark, d)[2]
+
+
+def q_silver_merge(spark, d):
+    _, target, sl = _target_and_slice(spark, d)
+    return merge_frames(target, silver_quotes(sl, TZ))
+
+
+# --- candles ------------------------------------------------------------------
+
+def _ohlcv(spark, d, by="type"):
+    return ohlcv(ticks(spark, d, by), BUCKET)
+
+
+def q_candles_ohlcv(spark, d):
+    return _ohlcv(spark, d)
+
+
+def q_candles_lag_volume_delta(spark, d):
+    return with_lags(_ohlcv(spark, d)).select(
+        "ticker", "trading_date", "window_start", "close_price", "volume_cumulative", "prev_close_price",
+        "prev_volume_cumulative", "volume_delta")
+
+
+def q_candles_return(spark, d):
+    return with_returns(with_lags(_ohlcv(spark, d))).select(
+        "ticker", "trading_date", "window_start", "close_price", "prev_close_price", "return_pct")
+
+
+def q_candles_sma(spark, d):
+    c = with_moving_metrics(with_returns(with_lags(_ohlcv(spark, d))), 4, SMA_DIGITS)
+    return c.select("ticker", "trading_date", "window_start", "close_price", "sma_9", "sma_20")
+
+
+def q_candles_volatility(spark, d):
+    c = with_moving_metrics(with_returns(with_lags(_ohlcv(spark, d))), 4, SMA_DIGITS)
+    return c.select("ticker", "trading_date", "window_start", "return_pct", "volatility_pct_20")
+
+
 def q_candles_full(spark, d):
     return candles(spark, d, "type")
 
 
+def q_intraday_running_state(spark, d):
+    return intraday_running_state(silver(spark, d, "type"))
+
+
+# --- snapshot / sectors ---------------------------------------------------------
+
+def q_latest_tick(spark, d):
+    return latest_tick(ticks(spark, d, "user"))
+
+
+def q_latest_candle(spark, d):
+    return latest_candle(candles(spark, d, "user"))
+
+
+def q_day_aggregate(spark, d):
+    return day_aggregate(silver(spark, d, "type"))
+
+
+def q_snapshot_full(spark, d):
+    return snapshot(spark, d)
+
+
+def q_day_range_position(spark, d):
+    s = silver(spark, d, "type")
+    return s.select("ticker", "quote_ts", "price", "day_low", "day_high",
+                    day_range_position("price", "day_low", "day_high").alias("day_range_position_pct"))
+
+
+def q_sector_performance(spark, d):
+    return sectors(spark, d)
+
+
+def q_sector_ranking(spark, d):
+    return serving.sector_ranking(sectors(spark, d))
+
+
+# --- quality ------------------------------------------------------------------------
+
+def q_dq_not_null(spark, d):
+    return q.not_null(silver(spark, d, "type"), "change_pct")
+
+
+def q_dq_unique(spark, d):
+    return q.unique(bronze(spark, d, "type"), "quote_ts")
+
+
+def q_dq_accepted_values(spark, d):
+    return q.accepted_values(silver(spark, d, "type"), "source", ["brapi"])
+
+
+def _solvent(spark, d):
+    return table(spark, d, "customer").filter(F.col("c_acctbal") >= 0).select(
+        F.col("c_custkey").cast("string").alias("ticker"))
+
+
+def q_dq_relationships(spark, d):
+    return q.relationships(silver(spark, d, "user"), "ticker", _solvent(spark, d), "ticker")
+
+
+def q_dq_between(spark, d):
+    return q.between(silver(spark, d, "type"), "change_pct", -30.0, 30.0)
+
+
+def q_dq_unique_combination(spark, d):
+    return q.unique_combination(bronze(spark, d, "type"), ["ticker", "quote_ts"])
+
+
+def q_dq_fresh(spark, d):
+    return q.assert_fresh(bronze(spark, d, "type"), "ingestion_ts", 20, FRESH_AS_OF)
+
+
+def q_dq_ohlc(spark, d):
+    """The day range must contain the day open and the current price."""
+    return q.assert_ohlc(silver(spark, d, "type"), "day_open", "day_high", "day_low", "price",
+                         keys=("ticker", "quote_ts"))
+
+
+def q_dq_no_future(spark, d):
+    return q.assert_no_future(silver(spark, d, "type"), "quote_ts", FUTURE_AS_OF)
+
+
+def q_dq_freshness_levels(spark, d):
+    return q.freshness(bronze(spark, d, "type"), "ingestion_ts", 5, 20, LEVELS_AS_OF, by=["ticker"])
+
+
+def check_tables(spark, d) -> dict:
+    b = bronze(spark, d, "user")
+    s = silver_quotes(b, TZ)
+    c = gold_candles(s, AS_OF, TZ, LOOKBACK_DAYS, BUCKET, 4, SMA_DIGITS)
+    dm = dim(spark, d)
+    snap = ticker_snapshot(s, c, dm, AS_OF, TZ, LOOKBACK_DAYS)
+    return {"bronze": b, "silver": s, "candles": c, "snapshot": snap, "sectors": sector_performance(snap),
+            "dim_tickers": _solvent(spark, d).join(dm, "ticker")}
+
+
+def q_run_summary(spark, d):
+    """All three suites evaluated on the data, summarised per layer and in total."""
+    res = evaluate(silver_suite() + seed_suite() + gold_suite(), check_tables(spark, d), AS_OF)
+    return run_summary(res)
+
+
+# --- serving --------------------------------------------------------------------------
+
+def q_market_session(spark, d):
+    s = silver(spark, d, "type")
+    return s.select("ticker", "quote_ts", market_local("quote_ts", TZ).alias("local_ts"),
+                    market_is_open("quote_ts", TZ).alias("session_open"),
+                    expected_source("quote_ts", TZ).alias("expected_source"), "source")
+
+
+def _live(spark, d):
+    since = F.date_sub(market_date(_at(AS_OF), TZ), 1)
+    return serving.live_latest(bronze(spark, d, "user"), since_date=since)
+
+
+def q_live_board(spark, d):
+    return serving.live_board(snapshot(spark, d), _live(spark, d))
+
+
+def q_staleness_class(spark, d):
+    return serving.staleness(snapshot(spark, d))
+
+
+def q_source_mode(spark, d):
+    return serving.source_mode(bronze(spark, d, "user"), by=["ticker", "ingestion_date"])
+
+
+def q_trailing_horizon(spark, d):
+    return serving.trailing_horizon(candles(spark, d, "type"), HORIZON_HOURS)
+
+
+def q_board_display(spark, d):
+    s = snapshot(spark, d)
+    return s.select(
+        "ticker",
+        display.brl("last_price").alias("price_text"),
+        display.signed_pct("change_pct").alias("change_text"),
+        display.num_ptbr("change_abs").alias("change_abs_text"),
+        display.num_ptbr("day_low").alias("low_text"),
+        display.num_ptbr("day_high").alias("high_text"),
+        display.compact("volume_cumulative").alias("volume_text"),
+        display.num_ptbr("volatility_pct_20").alias("vol20_text"),
+        display.human_age("feed_delay_seconds").alias("delay_text"),
+        display.human_age("seconds_since_last_tick").alias("age_text"),
+    )
+
+
+# --- storage round trips ------------------------------------------------------------------
+
+def q_dim_seed(spark, d):
+    """Write the dimension as a header CSV seed, load it back with declared types."""
+    from candlewick.sources.tables import load_dim
+    path = scratch_path(spark, "dim_seed")
+    dim(spark, d).write.mode("overwrite").option("header", True).csv(path)
+    return load_dim(spark, path)
+
+
+def q_compaction_roundtrip(spark, d):
+    """Silver written as many small files per day, compacted, read back unchanged."""
+    from candlewick.sources.tables import compact
+    path = scratch_path(spark, "compaction")
+    silver(spark, d, "type").repartition(16).write.partitionBy("trading_date").parquet(path)
+    compact(spark, path, "trading_date")
+    return spark.read.parquet(path)
+
+
+def q_stream_bronze_counts(spark, d):
+    """Kafka-shaped files streamed into a partitioned bronze table, counted back."""
+    from candlewick.functions.timeutil import utc_instant
+    from candlewick.sources.kafka import quote_stream
+    from candlewick.streaming.bronze_stream import await_or_raise, start_bronze
+    src = scratch_path(spark, "stream_src")
+    out = scratch_path(spark, "stream_bronze")
+    chk = scratch_path(spark, "stream_chk")
+    rec = kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp"))
+    rec.repartition(4).write.parquet(src)
+    qy = start_bronze(quote_stream(spark, "parquet", src, maxFilesPerTrigger=1), out, chk, available_now=True, tz=TZ)
+    await_or_raise(qy)
+    return (spark.read.parquet(out).groupBy("ingestion_date", "ticker")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 QUERIES = {
+    "bronze_decode": q_bronze_decode,
+    "api_normalize": q_api_normalize,
+    "silver_filter": q_silver_filter,
+    "silver_change_pct": q_silver_change_pct,
+    "silver_feed_delay": q_silver_feed_delay,
+    "silver_dedup": q_silver_dedup,
+    "silver_incremental_slice": q_silver_incremental_slice,
+    "silver_merge": q_silver_merge,
+    "candles_ohlcv": q_candles_ohlcv,
+    "candles_lag_volume_delta": q_candles_lag_volume_delta,
+    "candles_return": q_candles_return,
+    "candles_sma": q_candles_sma,
+    "candles_volatility": q_candles_volatility,
     "candles_full": q_candles_full,
+    "intraday_running_state": q_intraday_running_state,
+    "latest_tick": q_latest_tick,
+    "latest_candle": q_latest_candle,
+    "day_aggregate": q_day_aggregate,
+    "snapshot_full": q_snapshot_full,
+    "day_range_position": q_day_range_position,
+    "sector_performance": q_sector_performance,
+    "dq_not_null": q_dq_not_null,
+    "dq_unique": q_dq_unique,
+    "dq_accepted_values": q_dq_accepted_values,
+    "dq_relationships": q_dq_relationships,
+    "dq_between": q_dq_between,
+    "dq_unique_combination": q_dq_unique_combination,
+    "dq_fresh": q_dq_fresh,
+    "dq_ohlc": q_dq_ohlc,
+    "dq_no_future": q_dq_no_future,
+    "dq_freshness_levels": q_dq_freshness_levels,
+    "run_summary": q_run_summary,
+    "coverage_missing": q_coverage_missing,
+    "market_session": q_market_session,
+    "live_board": q_live_board,
+    "staleness_class": q_staleness_class,
+    "source_mode": q_source_mode,
+    "trailing_horizon": q_trailing_horizon,
+    "board_display": q_board_display,
+    "sector_ranking": q_sector_ranking,
+    "dim_seed": q_dim_seed,
+    "compaction_roundtrip": q_compaction_roundtrip,
+    "stream_bronze_counts": q_stream_bronze_counts,
+    "event_encode": q_event_encode,
 }
