@@ -8,7 +8,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.plans.checks import Check, evaluate
+from candlewick.config import MARKET_TZ
+from candlewick.operators.candles import gold_candles
+from candlewick.operators.sectors import sector_performance
+from candlewick.operators.silver import silver_quotes
+from candlewick.operators.snapshot import ticker_snapshot
+from candlewick.plans.checks import Check, evaluate, gold_suite, seed_suite, silver_suite
+from candlewick.sources.tables import write_seed, write_table
 
 
 class LayerFailed(RuntimeError):
@@ -66,3 +72,61 @@ def run_layer(checks: Sequence[Check], tables: Mapping[str, DataFrame], as_of=No
     if failed:
         raise LayerFailed(", ".join(r.unique_id for r in failed))
     return res
+
+
+MODELS = {
+    "silver": ["model.silver_quotes"],
+    "gold": ["model.gold_intraday_candles", "model.gold_ticker_snapshot", "model.gold_sector_performance"],
+    "seed": ["seed.dim_tickers"],
+}
+
+
+def _collect(spark: SparkSession, res: DataFrame) -> DataFrame:
+    """Check results are one small row per check: materialise them once."""
+    rows = [(r.unique_id, r.layer, r.status) for r in res.select("unique_id", "layer", "status").collect()]
+    return results_frame(spark, rows)
+
+
+def build(spark: SparkSession, bronze: DataFrame, dim: DataFrame, root: str, as_of=None, tz: str = MARKET_TZ,
+          lookback_days: int | None = 5, bucket: str = "1 minute", digits: int = 4,
+          sma_digits: int | None = None, gate: bool = True, dim_parent: DataFrame | None = None):
+    """The batch build: seed -> silver (+checks) -> gold (+checks).
+
+    Every layer is written as a table under ``root`` and the checks and the
+    next layer read it back, so nothing is recomputed and each check scans
+    only its columns. With ``gate`` a failing silver suite stops the build
+    before gold starts. Returns ``(tables, results)``; results hold one row
+    per model, seed and check (unique_id, layer, status).
+    """
+    p = {n: f"{root.rstrip('/')}/{n}" for n in ("dim_tickers", "silver", "candles", "snapshot", "sectors")}
+    write_seed(dim, p["dim_tickers"])
+    tables = {"bronze": bronze, "dim_tickers": spark.read.parquet(p["dim_tickers"])}
+    checks_dim = {"dim_tickers": dim_parent} if dim_parent is not None else {}
+    ok = lambda layer: [(u, layer, "success") for u in MODELS[layer]]
+
+    seed_res = _collect(spark, evaluate(seed_suite(), tables, as_of))
+    write_table(silver_quotes(bronze, tz, digits), p["silver"], ["trading_date"])
+    tables["silver"] = spark.read.parquet(p["silver"])
+    silver_res = _collect(spark, evaluate(silver_suite(), {**tables, **checks_dim}, as_of))
+    results = [results_frame(spark, ok("seed") + ok("silver")), seed_res, silver_res]
+    if gate and silver_res.filter(F.col("status") == "fail").count() > 0:
+        return tables, reduce_union(results)
+
+    write_table(gold_candles(tables["silver"], as_of, tz, lookback_days, bucket, digits, sma_digits),
+                p["candles"], ["trading_date"])
+    tables["candles"] = spark.read.parquet(p["candles"])
+    write_table(ticker_snapshot(tables["silver"], tables["candles"], tables["dim_tickers"], as_of, tz,
+                                lookback_days, digits), p["snapshot"])
+    tables["snapshot"] = spark.read.parquet(p["snapshot"])
+    write_table(sector_performance(tables["snapshot"], digits), p["sectors"])
+    tables["sectors"] = spark.read.parquet(p["sectors"])
+    gold_res = _collect(spark, evaluate(gold_suite(), {**tables, **checks_dim}, as_of))
+    results += [results_frame(spark, ok("gold")), gold_res]
+    return tables, reduce_union(results)
+
+
+def reduce_union(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

@@ -11,10 +11,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.config import ACCEPTED_SOURCES, CHANGE_PCT_LIMIT, PRICE_MAX, PRICE_MIN, VOLUME_MAX
+from candlewick.config import (
+    ACCEPTED_SOURCES, CHANGE_PCT_LIMIT, FUTURE_TOLERANCE_MINUTES, PRICE_MAX, PRICE_MIN, VOLUME_MAX, as_of_col,
+)
 from candlewick.operators import quality as q
 
 
@@ -47,19 +49,74 @@ def offending(check: Check, tables: Mapping[str, DataFrame], as_of=None) -> Data
     return kinds[check.kind]()
 
 
+ROW_LEVEL = {"not_null", "accepted_values", "between", "no_future", "ohlc", "fresh"}
+
+
+def _violation(check: Check, as_of) -> Column:
+    """Per-row violation predicate of a row-level check (fresh: see below)."""
+    c, p = check.column, check.params
+    at = as_of_col(as_of)
+    if check.kind == "not_null":
+        return F.col(c).isNull()
+    if check.kind == "accepted_values":
+        return F.col(c).isNotNull() & ~F.col(c).isin(list(p["values"]))
+    if check.kind == "between":
+        return F.col(c).isNotNull() & ((F.col(c) < p["min"]) | (F.col(c) > p["max"]))
+    if check.kind == "no_future":
+        return F.col(c) > at + F.make_dt_interval(mins=F.lit(FUTURE_TOLERANCE_MINUTES))
+    if check.kind == "ohlc":
+        o, h, lo, cl = (F.col(x) for x in ("open_price", "high_price", "low_price", "close_price"))
+        return (h < lo) | (h < F.greatest(o, cl)) | (lo > F.least(o, cl))
+    raise ValueError(check.kind)
+
+
+def _fused(table_checks: Sequence[Check], df: DataFrame, as_of) -> DataFrame:
+    """All row-level checks of one table in a single aggregate pass.
+
+    Failures count offending rows (for freshness: 1 when stale or empty);
+    the status is the same as evaluating each check on its own.
+    """
+    at = as_of_col(as_of)
+    aggs = []
+    for i, c in enumerate(table_checks):
+        if c.kind == "fresh":
+            aggs.append(F.max(c.column).alias(f"v{i}"))
+        else:
+            aggs.append(F.count_if(_violation(c, as_of)).alias(f"v{i}"))
+    one = df.agg(*aggs)
+    items = []
+    for i, c in enumerate(table_checks):
+        v = F.col(f"v{i}")
+        if c.kind == "fresh":
+            stale = v.isNull() | (v < at - F.make_dt_interval(mins=F.lit(c.params.get("minutes", 20))))
+            v = F.when(stale, F.lit(1)).otherwise(F.lit(0)).cast("long")
+        items.append(F.struct(F.lit(c.unique_id).alias("unique_id"), F.lit(c.layer).alias("layer"),
+                              v.cast("long").alias("failures"), F.lit(c.severity).alias("severity")))
+    return one.select(F.inline(F.array(*items)))
+
+
 def evaluate(checks: Sequence[Check], tables: Mapping[str, DataFrame], as_of=None) -> DataFrame:
     """One row per check: unique_id, layer, failures, status.
 
-    Every check is a (partial) aggregate producing one row; the union is a
-    single job in which identical sub-plans share their shuffles.
+    Row-level checks of a table are fused into one scan; set-level checks
+    (uniqueness, key combinations, relationships) each run their own partial
+    aggregate or anti-join. All of it is a single job.
     """
-    rows = []
+    parts = []
+    by_table: dict[str, list[Check]] = {}
     for c in checks:
-        n = offending(c, tables, as_of).agg(F.count(F.lit(1)).alias("failures"))
-        bad = "warn" if c.severity == "warn" else "fail"
-        rows.append(n.select(F.lit(c.unique_id).alias("unique_id"), F.lit(c.layer).alias("layer"), "failures",
-                             F.when(F.col("failures") == 0, "pass").otherwise(bad).alias("status")))
-    return reduce(DataFrame.unionByName, rows)
+        if c.kind in ROW_LEVEL:
+            by_table.setdefault(c.table, []).append(c)
+        else:
+            n = offending(c, tables, as_of).agg(F.count(F.lit(1)).cast("long").alias("failures"))
+            parts.append(n.select(F.lit(c.unique_id).alias("unique_id"), F.lit(c.layer).alias("layer"),
+                                  "failures", F.lit(c.severity).alias("severity")))
+    for t, cs in by_table.items():
+        parts.append(_fused(cs, tables[t], as_of))
+    out = reduce(DataFrame.unionByName, parts)
+    return out.select("unique_id", "layer", "failures",
+                      F.when(F.col("failures") == 0, "pass")
+                      .when(F.col("severity") == "warn", "warn").otherwise("fail").alias("status"))
 
 
 def _t(name, layer, kind, table, column=None, **params) -> Check:
