@@ -48,14 +48,13 @@ def run_summary(results: DataFrame) -> DataFrame:
         F.when((F.col("tests_fail") == 0) & (F.col("errors") == 0), "ok").otherwise("falha").alias("status"))
 
 
-def alerts_from(results: DataFrame, run_id: str, dag_id: str = "batch_lakehouse", detected_at=None) -> DataFrame:
-    """Failed nodes -> alert records (severity error)."""
-    at = detected_at if detected_at is not None else F.date_format(
+def alerts_from(results: DataFrame, run_id: str, dag_id: str = "batch_lakehouse",
+                detected_at: str | None = None) -> DataFrame:
+    """Failed nodes -> alert records (severity error), ready for ``append_json``."""
+    at = F.lit(detected_at) if detected_at is not None else F.date_format(
         F.convert_timezone(None, F.lit("UTC"), F.current_timestamp()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-    bad = results.filter(F.col("status").isin("fail", "error"))
-    return bad.select(
-        F.lit("error").alias("severity"), F.lit(at).alias("detected_at") if isinstance(at, str) else at.alias(
-            "detected_at"),
+    return results.filter(F.col("status").isin("fail", "error")).select(
+        F.lit("error").alias("severity"), at.alias("detected_at"),
         F.lit(dag_id).alias("dag_id"), F.col("layer").alias("task_id"), F.lit(run_id).alias("run_id"),
         F.lit(1).alias("try_number"),
         F.concat(F.col("unique_id"), F.lit(" "), F.col("status")).alias("exception"),

@@ -20,12 +20,26 @@ from candlewick.operators.silver import merge_frames
 from candlewick.schemas import DIM_SCHEMA
 
 
-def bootstrap_table(empty: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Create the table with exactly ``empty``'s schema if it does not exist (idempotent)."""
+def bootstrap_table(empty: DataFrame, path: str, partition_by: Sequence[str] = (), table: str | None = None) -> None:
+    """Create the table with exactly ``empty``'s schema if it does not exist (idempotent).
+
+    Plain Parquet cannot record the schema of an empty *partitioned* table in
+    its files, so it is kept where readers look for it: pass the schema to
+    :func:`read_table`, or give ``table`` (``db.name``) to register it in the
+    catalog with explicit columns and partitioning.
+    """
     w = empty.write.mode("ignore")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    if table:
+        spark = empty.sparkSession
+        db = table.split(".")[0] if "." in table else None
+        if db:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in empty.schema)
+        part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{part} LOCATION '{path}'")
 
 
 def register(spark: SparkSession, db: str, table: str, path: str, fmt: str = "parquet") -> None:
@@ -63,9 +77,9 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                columns: Sequence[str] | None = None, since=None, partition_col: str = "ingestion_date") -> DataFrame:
-    """Partition- and column-pruned read; a missing table reads as empty."""
+    """Partition- and column-pruned read; a missing or still empty table reads as empty."""
     try:
-        df = spark.read.parquet(path)
+        df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     except AnalysisException:
         if schema is None:
             raise

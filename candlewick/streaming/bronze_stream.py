@@ -65,11 +65,10 @@ class ProgressTotals(StreamingQueryListener):
         return spark.createDataFrame(rows, "query string, batch_id long, rows long, rate double")
 
 
-def progress_frame(query: StreamingQuery) -> DataFrame:
-    """``recentProgress`` as rows: batch, input rows, running total, rate."""
+def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """``recentProgress`` (a bounded buffer) as rows: batch, input rows, running total, rate."""
     from pyspark.sql import Window
     from pyspark.sql import functions as F
-    spark = query.sparkSession
     rows = [(p["batchId"], p["numInputRows"], float(p.get("processedRowsPerSecond") or 0.0))
             for p in query.recentProgress]
     df = spark.createDataFrame(rows, "batch_id long, rows long, rate double")
