@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.config import scratch_path, spread
+from candlewick.sources.tables import materialize
 from candlewick.functions import display
 from candlewick.functions.quotes import expected_source
 from candlewick.functions.timeutil import market_date, market_is_open, market_local
@@ -80,9 +81,15 @@ def dim(spark: SparkSession, d: str) -> DataFrame:
     return dim_from_customers(table(spark, d, "customer"), table(spark, d, "nation"))
 
 
+def silver_table(spark: SparkSession, d: str, by: str = "type") -> DataFrame:
+    """Silver written once (as the batch build stores it) for queries that read it several times."""
+    return materialize(silver(spark, d, by), f"silver_{by}", ["trading_date"])
+
+
 def snapshot(spark: SparkSession, d: str) -> DataFrame:
-    return ticker_snapshot(silver(spark, d, "user"), candles(spark, d, "user"), dim(spark, d), AS_OF, TZ,
-                           LOOKBACK_DAYS)
+    s = silver_table(spark, d, "user")
+    c = gold_candles(s, AS_OF, TZ, LOOKBACK_DAYS, BUCKET, 4, SMA_DIGITS)
+    return ticker_snapshot(s, c, dim(spark, d), AS_OF, TZ, LOOKBACK_DAYS)
 
 
 def sectors(spark: SparkSession, d: str) -> DataFrame:
@@ -182,7 +189,7 @@ def q_candles_full(spark, d):
 
 
 def q_intraday_running_state(spark, d):
-    return intraday_running_state(silver(spark, d, "type"))
+    return intraday_running_state(silver_table(spark, d, "type"))
 
 
 # --- snapshot / sectors ---------------------------------------------------------
@@ -270,10 +277,8 @@ def q_run_summary(spark, d):
     """The batch build (tables written under the checkpoint folder) with all
     suites evaluated (gate off), summarised per layer and in total."""
     from candlewick.plans.batch_run import build
-    from candlewick.sources.tables import write_table
     root = scratch_path(spark, "batch")
-    write_table(bronze(spark, d, "user"), f"{root}/bronze", ["ingestion_date"])
-    b = spark.read.parquet(f"{root}/bronze")
+    b = bronze(spark, d, "user")
     dm = dim(spark, d)
     _, results = build(spark, b, dm, root, AS_OF, TZ, LOOKBACK_DAYS, BUCKET, 4, SMA_DIGITS, gate=False,
                        dim_parent=_solvent(spark, d).join(dm, "ticker"))

@@ -132,3 +132,16 @@ def show_query(spark: SparkSession, sql: str, max_rows: int = 50) -> tuple[DataF
     """Ad-hoc SQL: the first ``max_rows`` rows and the total row count."""
     df = spark.sql(sql)
     return df.limit(max_rows), df.count()
+
+
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage (lost executors never force a recompute past this
+    point) and lets several consumers scan only the columns they need
+    instead of each re-deriving the frame.
+    """
+    from candlewick.config import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    write_table(df, path, partition_by)
+    return df.sparkSession.read.parquet(path)
