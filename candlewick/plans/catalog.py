@@ -366,6 +366,83 @@ def q_stream_bronze_counts(spark, d):
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+# --- operations: streaming upsert, layer gate, alerts, logs, catalog -------------------
+
+def q_stream_silver_upsert(spark, d):
+    """Kafka-shaped files -> streaming bronze -> foreachBatch first-wins merge into silver."""
+    from candlewick.functions.timeutil import utc_instant
+    from candlewick.sources.kafka import quote_stream
+    from candlewick.streaming.bronze_stream import await_or_raise, start_silver_upsert
+    src, out, chk = (scratch_path(spark, n) for n in ("upsert_src", "upsert_silver", "upsert_chk"))
+    rec = kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp"))
+    rec.repartition(4).write.parquet(src)
+    stream = to_bronze(quote_stream(spark, "parquet", src, maxFilesPerTrigger=2), as_of=AS_OF, tz=TZ)
+    await_or_raise(start_silver_upsert(stream, out, chk, tz=TZ, available_now=True))
+    return spark.read.parquet(out).drop("processing_ts")
+
+
+def _gated(spark, d):
+    from candlewick.plans.batch_run import build
+    dm = dim(spark, d)
+    return build(spark, bronze(spark, d, "user"), dm, scratch_path(spark, "gated"), AS_OF, TZ, LOOKBACK_DAYS,
+                 BUCKET, 4, SMA_DIGITS, gate=True, dim_parent=_solvent(spark, d).join(dm, "ticker"))
+
+
+def q_gated_build(spark, d):
+    """Layer gate: the silver suite fails on this data, so gold never starts."""
+    return _gated(spark, d)[1]
+
+
+def q_alerts(spark, d):
+    from candlewick.plans.batch_run import alerts_from
+    return alerts_from(_gated(spark, d)[1], run_id="run-" + AS_OF[:10], detected_at=AS_OF.replace(" ", "T") + "+00:00")
+
+
+def q_ops_log_tail(spark, d):
+    """The newest readings appended to a JSON-lines log in two batches (plus a
+    corrupt line) and read back newest-first with corrupt lines skipped."""
+    from candlewick.sources.oplog import append_json, tail_json
+    log = scratch_path(spark, "oplog")
+    cols = ["ticker", "kafka_offset", "price", "ingestion_ts"]
+    b = bronze(spark, d, "type").select(*cols)
+    append_json(serving.newest(b, "ingestion_ts", 5).offset(2), log)
+    append_json(serving.newest(b, "ingestion_ts", 2), log)
+    spark.createDataFrame([("{broken",)], "value string").write.mode("append").text(log)
+    return tail_json(spark, log, b.schema, "ingestion_ts", 5)
+
+
+def q_stream_age(spark, d):
+    return serving.stream_age(_live(spark, d), snapshot(spark, d), AS_OF)
+
+
+def q_distinct_tickers(spark, d):
+    return serving.distinct_tickers(candles(spark, d, "type"))
+
+
+def q_candle_direction(spark, d):
+    return serving.with_candle_direction(candles(spark, d, "type")).select(
+        "ticker", "window_start", "open_price", "close_price", "direction")
+
+
+def q_top_movers(spark, d):
+    """Ad-hoc SQL over the snapshot, capped at 50 rows (the ranking is the feature)."""
+    from candlewick.sources.tables import show_query
+    view = "snapshot_" + scratch_path(spark, "v").rsplit("-", 1)[-1]
+    snapshot(spark, d).createOrReplaceTempView(view)
+    top, _ = show_query(spark, f"SELECT ticker, change_pct FROM {view} ORDER BY change_pct DESC, ticker", 50)
+    return top
+
+
+def q_registered_bronze(spark, d):
+    """Bronze written partitioned, registered in the catalog, read back pruned."""
+    from candlewick.sources.tables import read_table, register, write_table
+    path = scratch_path(spark, "bronze_table")
+    write_table(bronze(spark, d, "type"), path, ["ingestion_date"])
+    register(spark, "lake", "bronze_" + path.rsplit("-", 1)[-1], path)
+    since = F.date_sub(market_date(_at(AS_OF), TZ), 1)
+    return read_table(spark, path, columns=["ticker", "price", "ingestion_ts", "ingestion_date"], since=since)
+
+
 QUERIES = {
     "bronze_decode": q_bronze_decode,
     "api_normalize": q_api_normalize,
@@ -411,4 +488,13 @@ QUERIES = {
     "compaction_roundtrip": q_compaction_roundtrip,
     "stream_bronze_counts": q_stream_bronze_counts,
     "event_encode": q_event_encode,
+    "stream_silver_upsert": q_stream_silver_upsert,
+    "gated_build": q_gated_build,
+    "alerts": q_alerts,
+    "ops_log_tail": q_ops_log_tail,
+    "stream_age": q_stream_age,
+    "distinct_tickers": q_distinct_tickers,
+    "candle_direction": q_candle_direction,
+    "top_movers": q_top_movers,
+    "registered_bronze": q_registered_bronze,
 }
