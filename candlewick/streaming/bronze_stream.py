@@ -41,17 +41,27 @@ def start_silver_upsert(bronze_stream: DataFrame, silver_path: str, checkpoint:
 
 
 class ProgressTotals(StreamingQueryListener):
-    """Counts rows once per completed micro-batch (not per polling tick)."""
+    """Counts rows once per completed micro-batch (not per polling tick).
 
-    def __init__(self) -> None:
-        self.batches: list[dict] = []
+    Keeps running totals per query and only the most recent ``keep`` batches,
+    so a stream that runs for months does not grow driver memory.
+    """
+
+    def __init__(self, keep: int = 100) -> None:
+        from collections import deque
+        self.batches = deque(maxlen=keep)
+        self.total_rows: dict[str, int] = {}
+        self.total_batches: dict[str, int] = {}
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
         pass
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
         p = event.progress
-        self.batches.append({"query": p.name, "batch_id": p.batchId, "rows": p.numInputRows,
+        name = p.name or str(p.id)
+        self.total_rows[name] = self.total_rows.get(name, 0) + p.numInputRows
+        self.total_batches[name] = self.total_batches.get(name, 0) + 1
+        self.batches.append({"query": name, "batch_id": p.batchId, "rows": p.numInputRows,
                              "rate": p.processedRowsPerSecond})
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
@@ -61,8 +71,8 @@ class ProgressTotals(StreamingQueryListener):
         pass
 
     def totals(self, spark: SparkSession) -> DataFrame:
-        rows = [(b["query"], b["batch_id"], b["rows"], float(b["rate"] or 0.0)) for b in self.batches]
-        return spark.createDataFrame(rows, "query string, batch_id long, rows long, rate double")
+        rows = [(q, self.total_batches[q], n) for q, n in self.total_rows.items()]
+        return spark.createDataFrame(rows, "query string, batches long, rows long")
 
 
 def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:

@@ -43,6 +43,7 @@ def test_stream_restart_is_exactly_once_and_equals_batch(spark, tmp):
     pf = progress_frame(spark, q2).collect()
     assert sum(r.rows for r in pf) == other.count() and pf[-1].cumulative_rows == other.count()
     assert sum(b["rows"] for b in listener.batches) == rec.count()
+    assert listener.totals(spark).first().rows == rec.count()
 
 
 def test_foreach_batch_upsert_equals_batch_silver(spark, tmp):
