@@ -86,16 +86,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     tests) a private temporary folder is created and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="candlewick-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session (None for a remote session)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions have no context
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
@@ -120,6 +129,12 @@ def spread(df):
     shuffle so per-row work uses every core. Inputs that already have enough
     splits (any large table) are returned unchanged, so this never adds a
     shuffle at scale."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
+    sc = _context(df.sparkSession)
+    if sc is None:
+        return df
+    slots = sc.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return df
     return df.repartition(slots) if n < slots else df

@@ -103,12 +103,14 @@ def build(spark: SparkSession, bronze: DataFrame, dim: DataFrame, root: str, as_
     checks_dim = {"dim_tickers": dim_parent} if dim_parent is not None else {}
     ok = lambda layer: [(u, layer, "success") for u in MODELS[layer]]
 
-    seed_res = _collect(spark, evaluate(seed_suite(), tables, as_of))
     write_table(silver_quotes(bronze, tz, digits), p["silver"], ["trading_date"])
     tables["silver"] = spark.read.parquet(p["silver"])
-    silver_res = _collect(spark, evaluate(silver_suite(), {**tables, **checks_dim}, as_of))
-    results = [results_frame(spark, ok("seed") + ok("silver")), seed_res, silver_res]
-    if gate and silver_res.filter(F.col("status") == "fail").count() > 0:
+    early = evaluate(seed_suite() + silver_suite(), {**tables, **checks_dim}, as_of).select(
+        "unique_id", "layer", "status")
+    if gate:
+        early = _collect(spark, early)      # the gate needs the silver verdict before gold
+    results = [results_frame(spark, ok("seed") + ok("silver")), early]
+    if gate and early.filter((F.col("layer") == "silver") & (F.col("status") == "fail")).count() > 0:
         return tables, reduce_union(results)
 
     write_table(gold_candles(tables["silver"], as_of, tz, lookback_days, bucket, digits, sma_digits),
@@ -119,9 +121,9 @@ def build(spark: SparkSession, bronze: DataFrame, dim: DataFrame, root: str, as_
     tables["snapshot"] = spark.read.parquet(p["snapshot"])
     write_table(sector_performance(tables["snapshot"], digits), p["sectors"])
     tables["sectors"] = spark.read.parquet(p["sectors"])
-    gold_res = _collect(spark, evaluate(gold_suite(), {**tables, **checks_dim}, as_of))
+    gold_res = evaluate(gold_suite(), {**tables, **checks_dim}, as_of).select("unique_id", "layer", "status")
     results += [results_frame(spark, ok("gold")), gold_res]
-    return tables, reduce_union(results)
+    return tables, _collect(spark, reduce_union(results))
 
 
 def reduce_union(frames: Sequence[DataFrame]) -> DataFrame:
