@@ -111,3 +111,16 @@ def test_read_run_results(spark, tmp):
     r = read_run_results(spark, p, layer="silver")
     assert rows(r, "unique_id", "status", "layer") == [("model.silver_quotes", "success", "silver"),
                                                        ("test.x", "fail", "silver")]
+
+
+def test_merge_into_hour_partitions(spark, tmp):
+    p = tmp + "/silver_h"
+    hour = lambda df: df.withColumn("quote_hour", F.hour("quote_ts"))
+    a = hour(silver_df(spark, [dict(ticker="A", quote_ts="2024-01-02 13:00:00", price=1.0, event_id="a13"),
+                               dict(ticker="A", quote_ts="2024-01-02 14:00:00", price=2.0, event_id="a14")]))
+    merge_into(spark, a, p, partition_col=["trading_date", "quote_hour"])
+    before = {f: os.path.getmtime(f) for f in _files(p) if "quote_hour=13" in f}
+    late = hour(silver_df(spark, [dict(ticker="B", quote_ts="2024-01-02 14:30:00", price=3.0, event_id="b14")]))
+    merge_into(spark, late, p, partition_col=["trading_date", "quote_hour"])
+    assert {f: os.path.getmtime(f) for f in _files(p) if "quote_hour=13" in f} == before
+    assert sorted(r.event_id for r in spark.read.parquet(p).collect()) == ["a13", "a14", "b14"]
