@@ -10,7 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference pipeline's defaults.
+# These must equal the original pipeline's parameters, status
+# words and display conventions for results to match.
 MARKET_TZ = "America/Sao_Paulo"
 GOLD_LOOKBACK_DAYS = 5
 MAX_FEED_STALENESS_MINUTES = 20
@@ -25,6 +26,14 @@ FUTURE_TOLERANCE_MINUTES = 5
 ACCEPTED_SOURCES = ("brapi", "simulated")
 MARKET_OPEN = "10:00:00"
 MARKET_CLOSE = "18:00:00"
+DEFAULT_CURRENCY = "BRL"
+RUN_OK = "ok"
+RUN_FAILED = "falha"
+STALE_OK_BELOW_SECONDS = 90
+STALE_WARN_BELOW_SECONDS = 20 * 60
+DIRECTION_DEAD_BAND = 1e-9
+NULL_TEXT = "--"
+CURRENCY_PREFIX = "R$ "
 
 
 @dataclass(frozen=True)

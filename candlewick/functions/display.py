@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NULL_TEXT = "--"
+from candlewick.config import CURRENCY_PREFIX, NULL_TEXT
 
 
 def _c(col: Column | str) -> Column:
@@ -24,7 +24,7 @@ def num_ptbr(x: Column | str, digits: int = 2) -> Column:
 
 def brl(x: Column | str) -> Column:
     v = _c(x)
-    return F.when(v.isNull(), F.lit(NULL_TEXT)).otherwise(F.concat(F.lit("R$ "), num_ptbr(v)))
+    return F.when(v.isNull(), F.lit(NULL_TEXT)).otherwise(F.concat(F.lit(CURRENCY_PREFIX), num_ptbr(v)))
 
 
 def compact(x: Column | str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from candlewick.config import DIRECTION_DEAD_BAND, STALE_OK_BELOW_SECONDS, STALE_WARN_BELOW_SECONDS
 from candlewick.functions.timeutil import epoch_seconds, market_is_open
 
 
@@ -32,14 +33,15 @@ def expected_source(ts_utc: Column | str, tz: str) -> Column:
     return F.when(market_is_open(ts_utc, tz), F.lit("brapi")).otherwise(F.lit("simulated"))
 
 
-def staleness_class(age_seconds: Column | str, ok_below: int = 90, warn_below: int = 20 * 60) -> Column:
+def staleness_class(age_seconds: Column | str, ok_below: int = STALE_OK_BELOW_SECONDS,
+                    warn_below: int = STALE_WARN_BELOW_SECONDS) -> Column:
     """NULL -> warn, < 90 s ok, < 20 min warn, otherwise crit."""
     age = _c(age_seconds)
     return (F.when(age.isNull(), "warn").when(age < ok_below, "ok")
             .when(age < warn_below, "warn").otherwise("crit"))
 
 
-def direction(x: Column | str, dead_band: float = 1e-9) -> Column:
+def direction(x: Column | str, dead_band: float = DIRECTION_DEAD_BAND) -> Column:
     """up / down / flat with a dead band around zero (NULL is flat)."""
     v = _c(x)
     return (F.when(v.isNull() | (F.abs(v) < dead_band), "flat")

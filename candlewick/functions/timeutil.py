@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, TimestampNTZType, TimestampType
 
+from candlewick.config import MARKET_CLOSE, MARKET_OPEN
+
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -70,8 +72,8 @@ def bucket_start(ts_utc: Column | str, width: str) -> Column:
     return F.timestamp_add("MICROSECOND", micros - F.pmod(micros, w), epoch)
 
 
-def market_is_open(ts_utc: Column | str, tz: str, open_at: str = "10:00:00",
-                   close_at: str = "18:00:00") -> Column:
+def market_is_open(ts_utc: Column | str, tz: str, open_at: str = MARKET_OPEN,
+                   close_at: str = MARKET_CLOSE) -> Column:
     """Regular session: Monday-Friday, open <= local time <= close (inclusive), no holidays."""
     local = market_local(ts_utc, tz)
     clock = F.date_format(local, "HH:mm:ss.SSSSSS")

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.config import MARKET_TZ
+from candlewick.config import MARKET_TZ, RUN_FAILED, RUN_OK
 from candlewick.operators.candles import gold_candles
 from candlewick.operators.sectors import sector_performance
 from candlewick.operators.silver import silver_quotes
@@ -45,7 +45,7 @@ def run_summary(results: DataFrame) -> DataFrame:
     return agg.select(
         F.coalesce(F.col("layer"), F.lit("total")).alias("layer"),
         "models", "seeds", "tests_pass", "tests_fail", "tests_warn", "errors",
-        F.when((F.col("tests_fail") == 0) & (F.col("errors") == 0), "ok").otherwise("falha").alias("status"))
+        F.when((F.col("tests_fail") == 0) & (F.col("errors") == 0), RUN_OK).otherwise(RUN_FAILED).alias("status"))
 
 
 def alerts_from(results: DataFrame, run_id: str, dag_id: str = "batch_lakehouse",

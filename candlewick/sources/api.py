@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.config import as_of_col
+from candlewick.config import DEFAULT_CURRENCY, as_of_col
 from candlewick.functions.quotes import safe_double
 from candlewick.functions.timeutil import iso_utc
 from candlewick.schemas import API_PAYLOAD_SCHEMA
@@ -34,7 +34,7 @@ def normalize_api(payloads: DataFrame, payload_col: str = "payload", cycle_col:
         (event_id if event_id is not None else F.uuid()).alias("event_id"),
         r("symbol").alias("ticker"),
         F.coalesce(blank_null(r("shortName")), blank_null(r("longName"))).alias("short_name"),
-        F.coalesce(blank_null(r("currency")), F.lit("BRL")).alias("currency"),
+        F.coalesce(blank_null(r("currency")), F.lit(DEFAULT_CURRENCY)).alias("currency"),
         safe_double(r("regularMarketPrice")).alias("price"),
         safe_double(r("regularMarketPreviousClose")).alias("previous_close"),
         safe_double(r("regularMarketOpen")).alias("day_open"),

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.config import MARKET_TZ, as_of_col
+from candlewick.config import DEFAULT_CURRENCY, MARKET_TZ, as_of_col
 from candlewick.functions.timeutil import bucket_start, iso_utc, market_date
 from candlewick.schemas import BRONZE_COLUMNS, QUOTE_SCHEMA
 
@@ -55,7 +55,7 @@ def _readings(events: DataFrame, by: str) -> DataFrame:
         (eid * 3 + F.col("k")).cast("string").alias("event_id"),
         "ticker",
         F.upper("ticker").alias("short_name"),
-        F.lit("BRL").alias("currency"),
+        F.lit(DEFAULT_CURRENCY).alias("currency"),
         F.when((F.col("k") == 2) & (F.col("pk") == 0), F.lit(0.0)).otherwise(value).alias("price"),
         F.col("pk").alias("previous_close"),
         (value + (eid % 3).cast("double") * 0.1 - 0.1).alias("day_open"),
@@ -114,7 +114,7 @@ def api_payloads(events: DataFrame, by: str = "type") -> DataFrame:
         F.col("ticker").alias("symbol"),
         F.upper("ticker").alias("shortName"),
         F.concat(F.upper("ticker"), F.lit(" S.A.")).alias("longName"),
-        F.lit("BRL").alias("currency"),
+        F.lit(DEFAULT_CURRENCY).alias("currency"),
         F.col("value").cast("string").alias("regularMarketPrice"),
         F.col("pk").alias("regularMarketPreviousClose"),
         (F.col("event_id") * 100).cast("string").alias("regularMarketVolume"),
