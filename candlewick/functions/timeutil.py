@@ -37,14 +37,32 @@ def to_utc_ntz(col: Column | str, dtype: DataType) -> Column:
     return _c(col).try_cast("timestamp_ntz")
 
 
+def utc_instant(ts_utc: Column | str) -> Column:
+    """UTC NTZ -> TIMESTAMP (instant), independent of the session time zone."""
+    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(ts_utc))
+    return F.timestamp_micros(micros)
+
+
+def _local_micros(ts_utc: Column | str, tz: str) -> Column:
+    """Epoch micro-seconds of the market wall clock for a UTC NTZ value.
+
+    ``from_utc_timestamp`` on an instant shifts by the zone's offset at that
+    instant (the unambiguous UTC -> local direction). Every step is integer
+    or instant arithmetic, so the session time zone never enters, and it is
+    several times cheaper per row than ``convert_timezone``.
+    """
+    return F.unix_micros(F.from_utc_timestamp(utc_instant(ts_utc), tz))
+
+
 def market_local(ts_utc: Column | str, tz: str) -> Column:
     """UTC NTZ -> wall clock in the market time zone (NTZ)."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), _c(ts_utc))
+    return F.timestamp_add("MICROSECOND", _local_micros(ts_utc, tz), F.expr(_EPOCH))
 
 
 def market_date(ts_utc: Column | str, tz: str) -> Column:
     """Calendar date of a UTC instant in the market time zone."""
-    return F.to_date(market_local(ts_utc, tz))
+    day = F.floor(_local_micros(ts_utc, tz) / F.lit(86_400_000_000)).cast("int")
+    return F.date_from_unix_date(day)
 
 
 def epoch_seconds(ts_utc: Column | str) -> Column:
@@ -84,8 +102,3 @@ def iso_utc(ts_utc: Column | str) -> Column:
     """Wire format: ISO-8601, millisecond precision, ``Z`` suffix."""
     return F.date_format(_c(ts_utc), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
-
-def utc_instant(ts_utc: Column | str) -> Column:
-    """UTC NTZ -> TIMESTAMP (instant), independent of the session time zone."""
-    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(ts_utc))
-    return F.timestamp_micros(micros)

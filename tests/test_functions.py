@@ -135,3 +135,22 @@ def test_display_formatting_matches_rules(spark):
     ages = [None, 0, 89, 90, 5399, 5400, 7260, 100000]
     a = spark.createDataFrame([(x,) for x in ages], "s int")
     assert [r[0] for r in a.select(display.human_age("s")).collect()] == [_age(x) for x in ages]
+
+
+def test_market_time_matches_convert_timezone_across_dst(spark):
+    from datetime import timedelta
+
+    from candlewick.functions.timeutil import market_local
+    base = datetime(2024, 3, 10, 5, 0)          # New York DST starts 2024-03-10 07:00Z
+    pts = [base + timedelta(minutes=17 * i) for i in range(40)] + [datetime(2024, 11, 3, 5, 30), datetime(2024, 11, 3, 6, 30)]
+    df = spark.createDataFrame([(p,) for p in pts], "t timestamp_ntz")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "Asia/Kolkata", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            for tz in ("America/New_York", "America/Sao_Paulo", "Asia/Kathmandu"):
+                ref = F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col("t"))
+                bad = df.filter((market_local("t", tz) != ref) | (market_date("t", tz) != F.to_date(ref))).count()
+                assert bad == 0, (session, tz)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
