@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-from dataclasses import dataclass
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -36,19 +34,6 @@ NULL_TEXT = "--"
 CURRENCY_PREFIX = "R$ "
 
 
-@dataclass(frozen=True)
-class Params:
-    """Knobs of one batch build. ``as_of`` None means "now" (UTC)."""
-
-    as_of: str | None = None
-    tz: str = MARKET_TZ
-    lookback_days: int | None = GOLD_LOOKBACK_DAYS
-    bucket: str = "1 minute"
-    digits: int = 4
-    sma_digits: int | None = None
-    reprocess_minutes: int = REPROCESS_MINUTES
-
-
 def as_of_col(as_of: str | Column | None) -> Column:
     """The evaluation instant as a UTC wall-clock TIMESTAMP_NTZ column.
 
@@ -120,19 +105,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_dir(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_dir(path), exist_ok=True)
-
-
 def spread(df):
     """Give an input with fewer scan splits than task slots one shuffle so
     per-row work uses every core. Inputs that already have enough splits (any

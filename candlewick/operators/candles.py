@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.config import ACCEPTED_SOURCES, MARKET_TZ, as_of_col
+from candlewick.config import ACCEPTED_SOURCES, GOLD_LOOKBACK_DAYS, MARKET_TZ, as_of_col
 from candlewick.functions.timeutil import bucket_start
 from candlewick.operators.common import lookback_filter
 from candlewick.schemas import CANDLE_COLUMNS
@@ -85,8 +85,8 @@ def with_moving_metrics(candles: DataFrame, digits: int = 4, sma_digits: int | N
             .withColumn("volatility_pct_20", F.round(F.stddev_samp("return_pct").over(w.rowsBetween(-19, 0)), digits)))
 
 
-def gold_candles(silver: DataFrame, as_of=None, tz: str = MARKET_TZ, lookback_days: int | None = 5,
-                 bucket: str = "1 minute", digits: int = 4, sma_digits: int | None = None,
+def gold_candles(silver: DataFrame, as_of=None, tz: str = MARKET_TZ,
+                 lookback_days: int | None = GOLD_LOOKBACK_DAYS, bucket: str = "1 minute", digits: int = 4, sma_digits: int | None = None,
                  sources: Sequence[str] = ACCEPTED_SOURCES) -> DataFrame:
     """The gold candle table (17 columns)."""
     at = as_of_col(as_of)

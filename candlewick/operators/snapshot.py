@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.config import MARKET_TZ, as_of_col
+from candlewick.config import GOLD_LOOKBACK_DAYS, MARKET_TZ, as_of_col
 from candlewick.functions.timeutil import epoch_seconds
 from candlewick.operators.common import lookback_filter, top1_per_key
 from candlewick.schemas import SNAPSHOT_COLUMNS
@@ -41,7 +41,7 @@ def day_range_position(price, low, high, digits: int = 2):
 
 
 def ticker_snapshot(silver: DataFrame, candles: DataFrame, dim: DataFrame, as_of=None, tz: str = MARKET_TZ,
-                    lookback_days: int | None = 5, digits: int = 4) -> DataFrame:
+                    lookback_days: int | None = GOLD_LOOKBACK_DAYS, digits: int = 4) -> DataFrame:
     """One row per ticker seen in the lookback window (25 columns).
 
     The three joins are left joins on small per-ticker tables; Spark picks a

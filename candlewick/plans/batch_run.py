@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.config import MARKET_TZ, RUN_FAILED, RUN_OK
+from candlewick.config import GOLD_LOOKBACK_DAYS, MARKET_TZ, RUN_FAILED, RUN_OK
 from candlewick.operators.candles import gold_candles
 from candlewick.operators.sectors import sector_performance
 from candlewick.operators.silver import silver_quotes
@@ -87,7 +87,7 @@ def _collect(spark: SparkSession, res: DataFrame) -> DataFrame:
 
 
 def build(spark: SparkSession, bronze: DataFrame, dim: DataFrame, root: str, as_of=None, tz: str = MARKET_TZ,
-          lookback_days: int | None = 5, bucket: str = "1 minute", digits: int = 4,
+          lookback_days: int | None = GOLD_LOOKBACK_DAYS, bucket: str = "1 minute", digits: int = 4,
           sma_digits: int | None = None, gate: bool = True, dim_parent: DataFrame | None = None):
     """The batch build: seed -> silver (+checks) -> gold (+checks).
 

@@ -1,8 +1,7 @@
 """Table contracts (column names and types)."""
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
-    TimestampNTZType, TimestampType,
+    ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
 # Wire event: the JSON payload of one quote reading. Timestamps travel as
@@ -116,6 +115,3 @@ _API_FIELDS = ["symbol", "shortName", "longName", "currency", "regularMarketPric
 API_PAYLOAD_SCHEMA = StructType([
     StructField("results", ArrayType(StructType([StructField(n, StringType()) for n in _API_FIELDS]))),
 ])
-
-__all__ = [n for n in dir() if n.isupper()] + [
-    "BooleanType", "DateType", "TimestampNTZType"]

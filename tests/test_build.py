@@ -62,3 +62,15 @@ def test_failing_silver_stops_before_gold(spark):
     layers = {r.layer for r in res.collect()}
     assert layers == {"seed", "silver"} and "candles" not in tables
     assert {r.layer: r.status for r in run_summary(res).collect()}["total"] == "falha"
+
+
+def test_run_layer_raises_on_failure(spark):
+    import pytest
+
+    from candlewick.plans.batch_run import LayerFailed, run_layer
+    from candlewick.plans.checks import Check
+    df = spark.createDataFrame([(1,), (None,)], "v int")
+    ok = run_layer([Check("test.x.nn", "x", "not_null", "t", "v")], {"t": df.filter("v IS NOT NULL")})
+    assert [r.status for r in ok.collect()] == ["pass"]
+    with pytest.raises(LayerFailed, match="test.x.nn"):
+        run_layer([Check("test.x.nn", "x", "not_null", "t", "v")], {"t": df})
