@@ -119,7 +119,13 @@ def compact(spark: SparkSession, path: str, partition_col: str | None = None) ->
 
     Rebalancing targets ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
     per file: small files are merged, a hot partition is still split.
+
+    A directory written by the streaming file sink is refused: its readers
+    trust the sink's ``_spark_metadata`` log, which an in-place rewrite would
+    leave pointing at deleted files. Compact such data into a new table.
     """
+    if _is_stream_sink_output(spark, path):
+        raise ValueError(f"{path} is a streaming file-sink output; compact it into a new table instead")
     df = spark.read.parquet(path)
     if partition_col:
         (df.hint("rebalance", partition_col).write.mode("overwrite")
@@ -130,6 +136,18 @@ def compact(spark: SparkSession, path: str, partition_col: str | None = None) ->
         spark.read.parquet(staged).write.mode("overwrite").parquet(path)
 
 
+def _is_stream_sink_output(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` hold a streaming file sink's ``_spark_metadata`` log?"""
+    meta = f"{path.rstrip('/')}/_spark_metadata"
+    try:
+        jvm = spark.sparkContext._jvm
+        hp = jvm.org.apache.hadoop.fs.Path(meta)
+        return bool(hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp))
+    except Exception:  # noqa: BLE001 - remote session: only local paths can be checked
+        import os
+        return os.path.isdir(meta[len("file:"):] if meta.startswith("file:") else meta)
+
+
 def show_query(spark: SparkSession, sql: str, max_rows: int = 50) -> tuple[DataFrame, int]:
     """Ad-hoc SQL: the first ``max_rows`` rows and the total row count."""
     df = spark.sql(sql)

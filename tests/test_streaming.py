@@ -40,6 +40,11 @@ def test_stream_restart_is_exactly_once_and_equals_batch(spark, tmp):
     assert n1 == half.count()
     assert streamed.count() == batch.count()                         # nothing re-appended after restart
     assert streamed.select(*batch.columns).exceptAll(batch).count() == 0
+    import pytest
+
+    from candlewick.sources.tables import compact
+    with pytest.raises(ValueError, match="streaming file-sink"):
+        compact(spark, out, "ingestion_date")
     pf = progress_frame(spark, q2).collect()
     assert sum(r.rows for r in pf) == other.count() and pf[-1].cumulative_rows == other.count()
     assert sum(b["rows"] for b in listener.batches) == rec.count()
