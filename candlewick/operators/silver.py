@@ -70,19 +70,27 @@ def high_water_mark(silver: DataFrame, reprocess_minutes: int = REPROCESS_MINUTE
     return silver.select(F.coalesce(lowered, _epoch())).scalar()
 
 
-def incremental_slice(bronze: DataFrame, silver: DataFrame, reprocess_minutes: int = REPROCESS_MINUTES,
-                      tz: str = MARKET_TZ) -> DataFrame:
+def incremental_slice(bronze: DataFrame, silver: DataFrame | None, reprocess_minutes: int = REPROCESS_MINUTES,
+                      tz: str = MARKET_TZ, hwm: Column | None = None) -> DataFrame:
     """Bronze rows at or after the high-water mark.
 
     The extra predicate on ``ingestion_date`` (implied by the first, since the
     date is a monotone function of ``ingestion_ts``) lets the scan prune whole
-    bronze partitions instead of reading every day.
+    bronze partitions instead of reading every day. Pass ``hwm`` (e.g. a
+    literal fixed before silver is rewritten) to pin the slice.
     """
-    hwm = high_water_mark(silver, reprocess_minutes)
+    hwm = hwm if hwm is not None else high_water_mark(silver, reprocess_minutes)
     return (bronze.filter(F.col("ingestion_date") >= market_date(hwm, tz))
             .filter(F.col("ingestion_ts") >= hwm))
 
 
+def high_water_value(silver: DataFrame, reprocess_minutes: int = REPROCESS_MINUTES) -> Column:
+    """The high-water mark evaluated now, as a literal (one scalar to the driver)."""
+    lowered = F.max("ingestion_ts") - F.make_dt_interval(mins=F.lit(reprocess_minutes))
+    value = silver.select(F.coalesce(lowered, _epoch()).alias("h")).first()["h"]
+    return F.lit(value).cast("timestamp_ntz")
+
+
 def align(target: DataFrame, source: DataFrame) -> DataFrame:
     """Schema evolution: union by name; columns new in the source are appended
     and are NULL for old rows."""

@@ -393,6 +393,18 @@ def q_gated_build(spark, d):
     return _gated(spark, d)[1]
 
 
+def q_silver_incremental_build(spark, d):
+    """Two incremental batch builds (readings up to the cut, then all) leave
+    silver equal to a full refresh."""
+    from candlewick.plans.batch_run import build
+    root = scratch_path(spark, "incremental")
+    b = bronze(spark, d, "type")
+    for part in (b.filter(F.col("ingestion_ts") < _at(SLICE_CUT)), b):
+        tables, _ = build(spark, part, dim(spark, d), root, AS_OF, TZ, LOOKBACK_DAYS, BUCKET, 4, SMA_DIGITS,
+                          gate=True, incremental=True)
+    return tables["silver"]
+
+
 def q_alerts(spark, d):
     from candlewick.plans.batch_run import alerts_from
     return alerts_from(_gated(spark, d)[1], run_id="run-" + AS_OF[:10], detected_at=AS_OF.replace(" ", "T") + "+00:00")
@@ -490,6 +502,7 @@ QUERIES = {
     "event_encode": q_event_encode,
     "stream_silver_upsert": q_stream_silver_upsert,
     "gated_build": q_gated_build,
+    "silver_incremental_build": q_silver_incremental_build,
     "alerts": q_alerts,
     "ops_log_tail": q_ops_log_tail,
     "stream_age": q_stream_age,

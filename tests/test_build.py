@@ -12,13 +12,14 @@ from tests.helpers import event, kafka_df
 AS_OF = "2024-01-02 14:00:00"
 
 
-def _clean_bronze(spark):
+def _clean_bronze(spark, spread_minutes=1):
     evs = []
     for t, p in (("PETR4", 38.5), ("VALE3", 61.2), ("ITUB4", 35.8)):
         for i in range(6):
+            ing = 55 - spread_minutes * (5 - i)
             evs.append(event(ticker=t, price=p + i * 0.1, previous_close=p, day_open=p, day_high=p + 0.6,
                              day_low=p - 0.1, volume=1000 + i,
-                             quote_ts=f"2024-01-02T13:0{i}:00.000Z", ingestion_ts=f"2024-01-02T13:4{i}:00.000Z"))
+                             quote_ts=f"2024-01-02T13:0{i}:00.000Z", ingestion_ts=f"2024-01-02T13:{ing}:00.000Z"))
     return to_bronze(kafka_df(spark, evs), as_of=AS_OF)
 
 
@@ -74,3 +75,18 @@ def test_run_layer_raises_on_failure(spark):
     assert [r.status for r in ok.collect()] == ["pass"]
     with pytest.raises(LayerFailed, match="test.x.nn"):
         run_layer([Check("test.x.nn", "x", "not_null", "t", "v")], {"t": df})
+
+
+def test_incremental_builds_equal_full_build(spark):
+    from tests.helpers import rows
+    b = _clean_bronze(spark, spread_minutes=5)                    # readings 13:30 .. 13:55
+    root = scratch_path(spark, "t_incr")
+    first = b.filter(F.col("ingestion_ts") < F.lit("2024-01-02 13:47:00").cast("timestamp_ntz"))
+    t1, _ = build(spark, first, _dim(spark), root, AS_OF, lookback_days=5, incremental=True)
+    assert t1["silver"].count() == 12
+    t2, res = build(spark, b, _dim(spark), root, AS_OF, lookback_days=5, incremental=True)
+    assert t2["bronze"].count() < b.count()                      # bronze checks ran on the slice only
+    full, _ = build(spark, b, _dim(spark), scratch_path(spark, "t_full"), AS_OF, lookback_days=5)
+    drop = ["processing_ts"]
+    assert rows(t2["silver"].drop(*drop)) == rows(full["silver"].drop(*drop))
+    assert rows(t2["snapshot"].drop("refreshed_at")) == rows(full["snapshot"].drop("refreshed_at"))
