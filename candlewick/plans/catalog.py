@@ -360,7 +360,7 @@ def q_stream_bronze_counts(spark, d):
     chk = scratch_path(spark, "stream_chk")
     rec = kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp"))
     rec.repartition(4).write.parquet(src)
-    qy = start_bronze(quote_stream(spark, "parquet", src, maxFilesPerTrigger=1), out, chk, available_now=True, tz=TZ)
+    qy = start_bronze(quote_stream(spark, "parquet", src, maxFilesPerTrigger=2), out, chk, available_now=True, tz=TZ)
     await_or_raise(qy)
     return (spark.read.parquet(out).groupBy("ingestion_date", "ticker")
             .agg(F.count(F.lit(1)).alias("n_rows")))
