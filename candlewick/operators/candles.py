@@ -24,8 +24,8 @@ def _source_code(col: str, domain: Sequence[str]) -> tuple[Column, callable]:
     check reports them).
     """
     ordered = sorted(domain)
-    code = F.when(F.lit(False), F.lit(None))
-    for i, v in enumerate(ordered):
+    code = F.when(F.col(col) == ordered[0], F.lit(0))
+    for i, v in enumerate(ordered[1:], start=1):
         code = code.when(F.col(col) == v, F.lit(i))
     decode = lambda c: F.element_at(F.array(*[F.lit(v) for v in ordered]), c + 1)
     return code, decode
