@@ -381,6 +381,21 @@ def q_stream_silver_upsert(spark, d):
     return spark.read.parquet(out).drop("processing_ts")
 
 
+def q_stream_progress(spark, d):
+    """Streaming ingest of the readings; per-batch progress turned into a running
+    total (the last cumulative value is every reading, each counted once)."""
+    from candlewick.functions.timeutil import utc_instant
+    from candlewick.sources.kafka import quote_stream
+    from candlewick.streaming.bronze_stream import await_or_raise, progress_frame, start_bronze
+    src, out, chk = (scratch_path(spark, n) for n in ("progress_src", "progress_bronze", "progress_chk"))
+    rec = kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp"))
+    rec.repartition(4).write.parquet(src)
+    qy = start_bronze(quote_stream(spark, "parquet", src, maxFilesPerTrigger=2), out, chk, available_now=True, tz=TZ)
+    await_or_raise(qy)
+    p = progress_frame(spark, qy)
+    return p.agg(F.max("cumulative_rows").alias("total_rows"), F.sum("rows").alias("rows_in_batches"))
+
+
 def _gated(spark, d):
     from candlewick.plans.batch_run import build
     dm = dim(spark, d)
@@ -501,6 +516,7 @@ QUERIES = {
     "stream_bronze_counts": q_stream_bronze_counts,
     "event_encode": q_event_encode,
     "stream_silver_upsert": q_stream_silver_upsert,
+    "stream_progress": q_stream_progress,
     "gated_build": q_gated_build,
     "silver_incremental_build": q_silver_incremental_build,
     "alerts": q_alerts,
