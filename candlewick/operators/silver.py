@@ -35,8 +35,12 @@ def valid_quotes(bronze: DataFrame) -> DataFrame:
         & F.col("price").isNotNull() & (F.col("price") > 0))
 
 
-def typed_quotes(df: DataFrame, tz: str = MARKET_TZ, digits: int = 4) -> DataFrame:
-    """Casts plus change_pct, feed_delay_seconds and the market-local trading_date."""
+def typed_quotes(df: DataFrame, tz: str = MARKET_TZ, digits: int = 4, keep: Sequence[str] = ()) -> DataFrame:
+    """Casts plus change_pct, feed_delay_seconds and the market-local trading_date.
+
+    ``keep`` passes extra source columns through (schema evolution: they are
+    appended after the contract's columns).
+    """
     return df.select(
         "event_id", "ticker", "short_name", "currency", "quote_ts", "ingestion_ts", "processing_ts",
         F.col("price").cast("double").alias("price"),
@@ -50,6 +54,7 @@ def typed_quotes(df: DataFrame, tz: str = MARKET_TZ, digits: int = 4) -> DataFra
         feed_delay_seconds("ingestion_ts", "quote_ts").alias("feed_delay_seconds"),
         "source", "kafka_partition", "kafka_offset",
         market_date("quote_ts", tz).alias("trading_date"),
+        *keep,
     )
 
 
@@ -59,9 +64,9 @@ def first_reading(df: DataFrame, keys: Sequence[str] = SILVER_KEY,
     return top1_per_key(df, keys, order or first_seen())
 
 
-def silver_quotes(bronze: DataFrame, tz: str = MARKET_TZ, digits: int = 4) -> DataFrame:
-    """Full refresh of silver from bronze (20-column contract)."""
-    return first_reading(typed_quotes(valid_quotes(bronze), tz, digits)).select(*SILVER_COLUMNS)
+def silver_quotes(bronze: DataFrame, tz: str = MARKET_TZ, digits: int = 4, keep: Sequence[str] = ()) -> DataFrame:
+    """Full refresh of silver from bronze (20-column contract, plus ``keep``)."""
+    return first_reading(typed_quotes(valid_quotes(bronze), tz, digits, keep)).select(*SILVER_COLUMNS, *keep)
 
 
 def high_water_mark(silver: DataFrame, reprocess_minutes: int = REPROCESS_MINUTES) -> Column:

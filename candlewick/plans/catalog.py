@@ -153,6 +153,13 @@ def q_silver_merge(spark, d):
     return merge_frames(target, silver_quotes(sl, TZ))
 
 
+def q_silver_schema_evolution(spark, d):
+    """A source that carries a new column (market_cap) merged into an older
+    silver: the column is appended, NULL for rows that predate it."""
+    _, target, sl = _target_and_slice(spark, d)
+    return merge_frames(target, silver_quotes(sl, TZ, keep=["market_cap"]))
+
+
 # --- candles ------------------------------------------------------------------
 
 def _ohlcv(spark, d, by="type"):
@@ -479,6 +486,7 @@ QUERIES = {
     "silver_dedup": q_silver_dedup,
     "silver_incremental_slice": q_silver_incremental_slice,
     "silver_merge": q_silver_merge,
+    "silver_schema_evolution": q_silver_schema_evolution,
     "candles_ohlcv": q_candles_ohlcv,
     "candles_lag_volume_delta": q_candles_lag_volume_delta,
     "candles_return": q_candles_return,
