@@ -111,12 +111,15 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str] = SIL
     ``on_match="overwrite"`` lets the source row replace a matched target row.
     """
     prio = "__from_target"
-    src = source.withColumn(prio, F.lit(1 if on_match == "first" else 0))
-    tgt = target.withColumn(prio, F.lit(1))
     if on_match not in ("first", "overwrite"):
         raise ValueError("on_match must be 'first' or 'overwrite'")
+    src = source.withColumn(prio, F.lit(0))
+    tgt = target.withColumn(prio, F.lit(1))
     both = align(tgt, src)
     order = list(order or first_seen())
-    ordering = order if on_match == "first" else [F.col(prio).asc(), *order]
+    # "first": the earliest reading wins; the very same reading present on
+    # both sides (the reprocess overlap) resolves to the source copy, like a
+    # matched update, so new source columns are filled deterministically.
+    ordering = [*order, F.col(prio).asc()] if on_match == "first" else [F.col(prio).asc(), *order]
     cols = [c for c in both.columns if c != prio]
     return top1_per_key(both, keys, ordering).select(*cols)
