@@ -90,3 +90,10 @@ def test_incremental_builds_equal_full_build(spark):
     drop = ["processing_ts"]
     assert rows(t2["silver"].drop(*drop)) == rows(full["silver"].drop(*drop))
     assert rows(t2["snapshot"].drop("refreshed_at")) == rows(full["snapshot"].drop("refreshed_at"))
+
+
+def test_duplicated_dimension_key_stops_before_gold(spark):
+    dup = _dim(spark).unionByName(_dim(spark).limit(1))
+    tables, res = build(spark, _clean_bronze(spark), dup, scratch_path(spark, "t_dup"), AS_OF, lookback_days=5)
+    st = {r.unique_id: r.status for r in res.collect()}
+    assert st["test.seed.dim_unique_ticker"] == "fail" and "snapshot" not in tables
