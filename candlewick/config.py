@@ -76,18 +76,23 @@ def build_session(app: str = "candlewick", master: str | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates and lineage cuts.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a private temporary folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``, else the folder set on the
+    context. A local master (one machine, as in tests) gets a folder of its own
+    once; on a cluster a missing folder is an error, because executors would
+    not see each other's files.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
+    if sc is not None and not sc.getCheckpointDir():
+        if not root:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            root = tempfile.mkdtemp(prefix="candlewick-")
+        sc.setCheckpointDir(root)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="candlewick-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return root
 
 

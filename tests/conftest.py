@@ -11,10 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from candlewick.config import build_session
     s = build_session("candlewick-tests", master="local[4]", shuffle_partitions=4,
-                      extra={"spark.sql.session.timeZone": "UTC", "spark.default.parallelism": "4"})
+                      extra={"spark.sql.session.timeZone": "UTC", "spark.default.parallelism": "4",
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="candlewick-test-")})
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="candlewick-test-"))
     yield s
     s.stop()
 
