@@ -20,7 +20,7 @@ from candlewick.llm.common import table
 
 SEED = 20240131
 SHARDS = 40
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 ROW_OVERHEAD_BYTES = 16
 
 
