@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from candlewick.llm import byte_bpe, html_text, minhash, packing, quality, sharding
+from candlewick.llm import byte_bpe, disclosure, html_text, minhash, packing, quality, sharding
 
 QUERIES = {
     "op1_proportional_interleave": sharding.op1_proportional_interleave,
     "op2_tree_scoring": html_text.op2_tree_scoring,
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op6_best_two_fit": packing.op6_best_two_fit,
+    "op7_disclosure": disclosure.op7_disclosure,
     "op8_quality_rules": quality.op8_quality_rules,
     "op10_superminhash": minhash.op10_superminhash,
 }
