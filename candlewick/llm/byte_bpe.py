@@ -23,12 +23,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from candlewick.llm.common import table
+from candlewick.llm.common import portions, table
 
 RANKS = "byte_bpe_50k.tiktoken"
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 
 # Fixed value: the code points with the Unicode property White_Space.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -148,48 +147,62 @@ def coder(path: str | None = None) -> ByteBPE:
     return ByteBPE(path or public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
-def encode_udf(path: str | None = None):
-    @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
-    def encode_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c = coder(path)
-        for batch in batches:
-            lists = [c.encode(t.as_py() or "") for t in batch]
-            ends = np.cumsum([0, *map(len, lists)], dtype=np.int64)
-            flat = np.concatenate(lists) if lists else np.empty(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat),
-                                           type=pa.list_(pa.field("element", pa.int32(), False)))
-    return encode_texts
+def _new(df: DataFrame, *names: str) -> None:
+    taken = {c.lower() for c in df.columns}
+    if clash := [n for n in names if n.lower() in taken]:
+        raise ValueError(f"input already has {clash}")
 
 
-def decode_udf(path: str | None = None):
-    @F.arrow_udf(T.BinaryType())
-    def decode_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c = coder(path)
-        for batch in batches:
-            yield pa.array([c.decode(x.values.tolist()) if x.is_valid else b"" for x in batch], pa.binary())
-    return decode_ids
+def _fields(df: DataFrame) -> str:
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema)
 
 
-def _new(df: DataFrame, out: str) -> None:
-    if out.lower() in (c.lower() for c in df.columns):
-        raise ValueError(f"input already has {out}")
+def encode(df: DataFrame, text: str = "text", out: str = "ids", decoded: str | None = None, keep_text: bool = True,
+           path: str | None = None) -> DataFrame:
+    """Add the token ids of every text; with ``decoded`` also the bytes that
+    these ids stand for, mapped back in the same worker. ``keep_text=False``
+    leaves the text out of the result."""
+    _new(df, out, *([decoded] if decoded else []))
+    names = df.columns
+    at = names.index(text)
+    kept = df if keep_text else df.drop(text)
+    result = [*kept.columns, out, *([decoded] if decoded else [])]
 
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = coder(path)
+        for batch in batches:
+            for part in portions(batch, at):
+                lists = [c.encode(t or "") for t in part.column(at).to_pylist()]
+                ends = np.cumsum([0, *map(len, lists)], dtype=np.int64).astype(np.int32)
+                new = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))]
+                if decoded:
+                    new.append(pa.array([c.decode(x.tolist()) for x in lists], pa.binary()))
+                own = [x for i, x in enumerate(part.columns) if keep_text or i != at]
+                yield pa.RecordBatch.from_arrays([*own, *new], names=result)
 
-def encode(df: DataFrame, text: str = "text", out: str = "ids", path: str | None = None) -> DataFrame:
-    """Add the token ids of every text."""
-    _new(df, out)
-    return df.withColumn(out, encode_udf(path)(F.coalesce(F.col(text), F.lit(""))))
+    return df.mapInArrow(code, f"{_fields(kept)}`{out}` array<int>" + (f", `{decoded}` binary" if decoded else ""))
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None) -> DataFrame:
-    """Add the bytes that the ids stand for."""
+    """Add the bytes that the ids stand for. Null ids decode to nothing."""
     _new(df, out)
-    return df.withColumn(out, decode_udf(path)(F.col(ids)))
+    at = df.columns.index(ids)
+    result = [*df.columns, out]
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = coder(path)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                new = pa.array([c.decode(x or ()) for x in part.column(at).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, new], names=result)
+
+    return df.mapInArrow(code, f"{_fields(df)}`{out}` binary")
 
 
 def op3_byte_bpe(spark, sf_dir) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
-    d = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    d = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), decoded="decoded", keep_text=False)
     return d.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +41,15 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def portions(batch: pa.RecordBatch, column: int, rows: int = 500, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most ``rows`` rows and, but for single longer
+    texts, about ``size`` bytes in the column: keeps work arrays small."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    at = 0
+    while at < batch.num_rows:
+        fit = int(np.searchsorted(np.cumsum(lengths[at:at + rows]), size))
+        end = min(at + max(1, fit), batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end

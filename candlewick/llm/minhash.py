@@ -31,10 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import materialise, table
+from candlewick.llm.common import materialise, portions, table
 
 WIDTH = 5
 SIMILARITY_PCT = 80
@@ -137,17 +137,6 @@ def band_hashes(signature: np.ndarray, bands: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _portions(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of at most 500 rows or about 4 MB of text, so work arrays stay small."""
-    size = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    at = 0
-    while at < batch.num_rows:
-        end = at + max(1, int(np.searchsorted(np.cumsum(size[at:at + 500]), 4_000_000)))
-        end = min(end, at + 500, batch.num_rows)
-        yield batch.slice(at, end - at)
-        at = end
-
-
 def signatures(df: DataFrame, text: str, width: int, bands: int, band_slots: int) -> DataFrame:
     """``df`` with n_shingles, the set's 128-bit fingerprint and the band hashes."""
     names = df.columns
@@ -157,7 +146,7 @@ def signatures(df: DataFrame, text: str, width: int, bands: int, band_slots: int
         import xxhash
 
         for batch in batches:
-            for part in _portions(batch, at):
+            for part in portions(batch, at):
                 sets = shingle_sets(part.column(at).to_pylist(), width)
                 hashes = band_hashes(superminhash(sets, bands * band_slots), bands)
                 ends = pa.array(np.arange(0, len(sets) * bands + 1, bands, dtype=np.int32))
@@ -185,7 +174,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.empty(0, np.uint64)
         for batch in batches:
-            for part in _portions(batch, 3):
+            for part in portions(batch, 3):
                 a, b = part.column(0).to_pylist(), part.column(2).to_pylist()
                 out_a, out_b, shared, union = [], [], [], []
                 for x, y, s in zip(a, b, shingle_sets(part.column(3).to_pylist(), width)):
