@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from candlewick.llm import byte_bpe, disclosure, html_text, minhash, packing, quality, sharding
+from candlewick.llm import (byte_bpe, disclosure, hamming, html_text, minhash, packing, quality, sharding,
+                            warc)
 
 QUERIES = {
     "op1_proportional_interleave": sharding.op1_proportional_interleave,
     "op2_tree_scoring": html_text.op2_tree_scoring,
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
+    "op4_multi_index_hashing": hamming.op4_multi_index_hashing,
+    "op5_warc_salvage": warc.op5_warc_salvage,
     "op6_best_two_fit": packing.op6_best_two_fit,
     "op7_disclosure": disclosure.op7_disclosure,
     "op8_quality_rules": quality.op8_quality_rules,
@@ -15,5 +18,7 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op4_multi_index_hashing": hamming.SQL,
+    "op5_warc_salvage": warc.SQL,
     "op8_quality_rules": quality.SQL,
 }
