@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +54,10 @@ def portions(batch: pa.RecordBatch, column: int, rows: int = 500, size: int = 4_
         end = min(at + max(1, fit), batch.num_rows)
         yield batch.slice(at, end - at)
         at = end
+
+
+def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a shared folder, for use inside tasks."""
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    return pafs.FileSystem.from_uri(uri)

@@ -109,9 +109,9 @@ def word_ids(path: str | None = None) -> WordIds:
 
 
 def tokenise(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SEQUENCE, end_id: int | None = END_ID,
-             path: str | None = None) -> DataFrame:
-    """One row per piece: key, piece (from 0), start, length, ids (binary,
-    little-endian unsigned 32-bit). A document is its ids and ``end_id``; only
+             path: str | None = None, dtype: str = "<u4") -> DataFrame:
+    """One row per piece: key, piece (from 0), start, length, ids (binary, of
+    ``dtype``, little-endian unsigned 32-bit by default). A document is its ids and ``end_id``; only
     documents over ``size`` are cut, and only their last piece may be shorter.
     A null text is empty: it has the end id alone (no piece if there is none).
     Rows with equal or null keys stay separate rows."""
@@ -129,11 +129,12 @@ def tokenise(df: DataFrame, key: str = "doc_id", text: str = "text", size: int =
                     for k in range(0, len(b), step):
                         rows.append(r)
                         piece.append(k // step)
-                        ids.append(b[k:k + step])
+                        ids.append(np.frombuffer(b[k:k + step], "<u4"))
                 n = np.array(piece, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0).take(pa.array(rows, pa.int32())), pa.array(n), pa.array(n.astype(np.int64) * size),
-                    pa.array([len(b) // 4 for b in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array([x.astype(dtype).tobytes() for x in ids], pa.binary())],
                     names=["key", "piece", "start", "length", "ids"])
 
     kind = df.schema[key].dataType.simpleString()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from candlewick.llm import (byte_bpe, disclosure, hamming, html_text, minhash, packing, quality, sharding,
-                            warc)
+                            token_output, warc)
 
 QUERIES = {
     "op1_proportional_interleave": sharding.op1_proportional_interleave,
@@ -14,6 +14,7 @@ QUERIES = {
     "op6_best_two_fit": packing.op6_best_two_fit,
     "op7_disclosure": disclosure.op7_disclosure,
     "op8_quality_rules": quality.op8_quality_rules,
+    "op9_feistel_shards": token_output.op9_feistel_shards,
     "op10_superminhash": minhash.op10_superminhash,
 }
 

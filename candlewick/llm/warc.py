@@ -27,12 +27,11 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.config import scratch_path
-from candlewick.llm.common import materialise, table
+from candlewick.llm.common import materialise, open_store, table
 
 ROLL_BYTES = 16 << 20
 MIN_REVISIT_BYTES = 1000
@@ -48,12 +47,6 @@ START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 LINE_END = b"\r\n"
 
 
-def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    return pafs.FileSystem.from_uri(uri)
-
-
 def _escape(value: str) -> str:
     """No blank or control character may stand in a header's value."""
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", value)
