@@ -233,9 +233,9 @@ def main_text(html: str | None) -> str:
         # Siblings that read like the text: headings, high scores, long plain paragraphs.
         for e in order:
             if e.parent is best.parent and e is not best:
-                density = e.linked / e.length
-                if (scores.get(e, 0) >= max(10, 0.2 * top) or e.tag in ("h1", "h2", "h3") and density < 0.25
-                        or e.tag in UNIT and density < 0.25 and (e.length > 80 or not density)):
+                plain = e.linked / e.length < 0.25
+                if plain and (scores.get(e, 0) >= 0.2 * top or e.length > 80 or e.tag in ("h1", "h2", "h3")
+                              or e.tag in UNIT and not e.linked):
                     kept.add(e)
     for e in order:
         if e.parent in kept:

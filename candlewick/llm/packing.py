@@ -57,7 +57,8 @@ class WordIds:
 
     @staticmethod
     def _latin(s: str) -> bool:
-        return s.isalpha() and max(s) < "\u0250"
+        # A capital I with dot turns into two characters in lower case.
+        return s.isalpha() and max(s) < "\u0250" and "\u0130" not in s
 
     def _word(self, s: str) -> bytes:
         s = s.lower()
