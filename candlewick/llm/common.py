@@ -26,7 +26,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared checkpoint folder and read it back: cuts the
     lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

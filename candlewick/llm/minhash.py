@@ -8,11 +8,11 @@ batch: once every slot of a text lies below the next level, no later rank can
 lower it and the text stops early.
 
 Texts with equal sets form one class; only classes are compared. In every band
-bucket all classes are compared with the bucket's smallest; verified links are
-grouped; then the pairs of a bucket that are still in different groups are
-compared, unless the triangle inequality of the Jaccard distance (through the
-bucket's smallest class) rules the link out. So no bucket emits all its pairs,
-no group is held by one task, and no link between found candidates is lost.
+bucket all classes are compared with the bucket's most central one; verified links are
+grouped; then the classes of buckets that are still split into several groups
+are compared, as far as an exact prefix and position filter on their shingles
+lets a link be possible. So no bucket emits all its pairs, no group is held by
+one task, and no link between found candidates is lost.
 
 With 40 bands of 5 slots a pair at similarity 0.8 shares no bucket with
 probability (1 - 0.8^5)^40 = 1.3e-7.
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import materialise, portions, table
@@ -200,6 +200,41 @@ def _parts(pairs: DataFrame) -> DataFrame:
     return pairs.join(many, "a", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
 
 
+def _prefix_pairs(sides: DataFrame, texts: DataFrame, width: int, pct: int) -> DataFrame:
+    """Pairs a < b of different roots, one of them ``outer``, that may be links.
+
+    With the shingles of every set in one order, rarest first, two sets that
+    are similar enough share one of their first n - ceil(n pct / 100) + 1
+    shingles, and behind the first shared one enough shingles are left for the
+    overlap needed. Exact: what this leaves out is no link. Passages that many
+    texts share come last in the order, so they make no pairs."""
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in portions(batch, 1):
+                sets = shingle_sets(part.column(1).to_pylist(), width)
+                cls = np.repeat(part.column(0).to_numpy(), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(np.concatenate(sets).view(np.int64))],
+                                                 names=["cls", "gram"])
+
+    every = texts.join(sides.select("cls"), "cls", "left_semi").select("cls", "text").mapInArrow(grams, "cls long, gram long")
+    # Shingles of one set only match nothing; they hold the first places.
+    common = every.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    own = Window.partitionBy("cls")
+    ranked = (every.join(common, "gram").join(sides, "cls")
+              .withColumn("place", F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("c", "gram")) - 1)
+              .where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * pct / 100))
+              .select("gram", "cls", "n", "root", "outer", "place"))
+    ranked = materialise(ranked, "prefixes")
+    x = ranked.where("outer").select("gram", *(F.col(c).alias(f"x_{c}") for c in ("cls", "n", "root", "place")))
+    y = ranked.select("gram", *(F.col(c).alias(f"y_{c}") for c in ("cls", "n", "root", "outer", "place")))
+    left = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place"))
+    return (x.join(y, (x["gram"] == y["gram"]) & (F.col("x_root") != F.col("y_root"))
+                   & (~F.col("y_outer") | (F.col("x_cls") < F.col("y_cls")))
+                   & (F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * pct)
+                   & (left * (100 + pct) >= (F.col("x_n") + F.col("y_n")) * pct))
+            .select(F.least("x_cls", "y_cls").alias("a"), F.greatest("x_cls", "y_cls").alias("b")).distinct())
+
+
 def union_find(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) for every node of ``edges``
     (a, b: long).
@@ -265,16 +300,20 @@ def group(df: DataFrame, text: str = "text", width: int = WIDTH, similarity_pct:
         signed.where("n_shingles > 0").groupBy("fingerprint", "n_shingles")
         .agg(F.min("row_id").alias("cls"), F.first("bands").alias("bands")), "classes")
     buckets = classes.select("cls", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    heads = (buckets.groupBy("bucket").agg(F.min(F.struct("cls", "n")).alias("head"), F.count(F.lit(1)).alias("c"))
-             .where("c > 1").select("bucket", F.col("head.cls").alias("head"), F.col("head.n").alias("head_n")))
-    members = materialise(buckets.join(heads, "bucket").select("bucket", "cls", "n", "head", "head_n"), "members")
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    together = materialise(buckets.join(shared, "bucket").select("bucket", "cls", "n", "c"), "buckets")
+    # A bucket's head is its most central class: the one that meets most others
+    # over all bands. Of copies of one text that is the text itself, so its
+    # links join them even where two copies are too far apart.
+    weight = together.groupBy("cls").agg(F.sum("c").alias("w"))
+    weighed = together.join(weight, "cls")
+    heads = weighed.groupBy("bucket").agg(F.max(F.struct("w", (-F.col("cls")).alias("cls"), "n")).alias("head")).select(
+        "bucket", (-F.col("head.cls")).alias("head"), F.col("head.n").alias("head_n"))
+    members = materialise(together.join(heads, "bucket").select("bucket", "cls", "n", "head", "head_n"), "members")
     texts = (members.select("cls").distinct()
              .join(signed.select(F.col("row_id").alias("cls"), F.col(own[text]).alias("text")), "cls"))
     texts = materialise(texts, "texts")
 
-    def near(n1, n2):
-        return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * similarity_pct
-
     def linked(p):
         return p.where(F.col("shared") * 100 >= F.col("united") * similarity_pct).select("a", "b")
 
@@ -283,26 +322,16 @@ def group(df: DataFrame, text: str = "text", width: int = WIDTH, similarity_pct:
         F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
     first = materialise(_verified(_parts(spokes), texts, width), "spokes")
     roots = union_find(linked(first))
-    # 2. Pairs of one bucket that are not yet in one group. Each has a side
-    # outside the head's group; the distances to the head bound their own.
-    dist = first.select(F.col("a").alias("head"), F.col("b").alias("cls"),
-                        (F.lit(1.0) - F.col("shared") / F.col("united")).alias("d"))
+    # 2. Pairs of one bucket that are not yet in one group: each has a side
+    # outside the group of its bucket's head.
     label = roots.withColumnRenamed("node", "cls")
-    placed = (members.join(dist, ["head", "cls"], "left").join(label, "cls", "left")
-              .select("bucket", "cls", "n", "head", F.coalesce("d", F.lit(0.0)).alias("d"),
-                      F.coalesce("root", "cls").alias("root")))
-    head_root = label.select(F.col("cls").alias("head"), F.col("root").alias("head_root"))
-    placed = materialise(placed.join(head_root, "head", "left").withColumn(
-        "inside", F.col("root") == F.coalesce("head_root", "head")).drop("head_root"), "placed")
-    outer = placed.where("not inside").select("bucket", *(F.col(c).alias(f"x_{c}") for c in ("cls", "n", "d", "root", "inside")))
-    rest = placed.where("cls <> head").select("bucket", *(F.col(c).alias(f"y_{c}") for c in ("cls", "n", "d", "root", "inside")))
-    reach = 1 - similarity_pct / 100 + 1e-9
-    pairs = (outer.join(rest, "bucket")
-             .where((F.col("x_root") != F.col("y_root")) & near(F.col("x_n"), F.col("y_n"))
-                    & (F.abs(F.col("x_d") - F.col("y_d")) <= reach)
-                    & (F.col("y_inside") | (F.col("x_cls") < F.col("y_cls"))))
-             .select(F.least("x_cls", "y_cls").alias("a"), F.greatest("x_cls", "y_cls").alias("b")).distinct()
-             .join(first.select("a", "b"), ["a", "b"], "left_anti"))
+    placed = (members.join(label, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+              .join(label.select(F.col("cls").alias("head"), F.col("root").alias("head_root")), "head", "left")
+              .withColumn("outer", F.col("root") != F.coalesce("head_root", "head")))
+    open_buckets = placed.where("outer").select("bucket").distinct()
+    sides = materialise(placed.join(open_buckets, "bucket").groupBy("cls", "n", "root").agg(F.max("outer").alias("outer")),
+                        "sides")
+    pairs = _prefix_pairs(sides, texts, width, similarity_pct).join(first.select("a", "b"), ["a", "b"], "left_anti")
     second = materialise(linked(_verified(_parts(materialise(pairs, "pairs")), texts, width)), "links")
     roots = union_find(linked(first).union(second))
     # Back to rows: fingerprint -> class -> group.
