@@ -108,26 +108,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df):
-    """Give an input with fewer scan splits than task slots one shuffle so
-    per-row work uses every core. Inputs that already have enough splits (any
-    large table) are returned unchanged, so this never adds a shuffle at scale.
-
-    Hash partitioning on the row's atomic columns is deterministic without
-    the local sort a round-robin repartition needs for safe retries.
-    """
-    from pyspark.sql.types import ArrayType, MapType, StructType
-    sc = _context(df.sparkSession)
-    if sc is None:
-        return df
-    slots = sc.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        return df
-    if n >= slots:
-        return df
-    cols = [f.name for f in df.schema if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
-    return df.repartition(slots, *cols) if cols else df.repartition(slots)

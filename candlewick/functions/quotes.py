@@ -24,8 +24,8 @@ def change_pct(price: Column | str, base: Column | str, digits: int = 4) -> Colu
 
 
 def feed_delay_seconds(ingestion_ts: Column | str, quote_ts: Column | str) -> Column:
-    """Source latency in whole seconds (may be negative)."""
-    return (epoch_seconds(ingestion_ts) - epoch_seconds(quote_ts)).cast("int")
+    """Source latency in whole seconds (may be negative); NULL beyond 68 years."""
+    return (epoch_seconds(ingestion_ts) - epoch_seconds(quote_ts)).try_cast("int")
 
 
 def expected_source(ts_utc: Column | str, tz: str) -> Column:

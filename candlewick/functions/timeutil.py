@@ -21,9 +21,21 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def parse_utc(col: Column | str) -> Column:
-    """ISO-8601 text -> UTC TIMESTAMP_NTZ; unparsable text -> NULL (never throws)."""
-    return F.convert_timezone(None, F.lit("UTC"), _c(col).try_cast("timestamp"))
+# A time of day followed by Z, an offset or a zone name.
+_ZONED = r"[0-9]{1,2}:[0-9]{2}.*(?:[zZ]|[+-][0-9]{1,2}(?::?[0-9]{2}){0,2}|UTC|GMT|UT|[A-Za-z]+/[A-Za-z_/]+)\s*$"
+
+
+def parse_utc(col: Column | str, zone: str = "UTC") -> Column:
+    """ISO-8601 text -> UTC TIMESTAMP_NTZ; unparsable text -> NULL (never throws).
+
+    Text with a zone is that instant. Text without one is wall clock in
+    ``zone``, whatever the session's time zone is."""
+    text = _c(col)
+    instant = F.convert_timezone(None, F.lit("UTC"), text.try_cast("timestamp"))
+    wall = text.try_cast("timestamp_ntz")
+    if zone != "UTC":
+        wall = F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
+    return F.when(F.rlike(text, F.lit(_ZONED)), instant).otherwise(wall)
 
 
 def to_utc_ntz(col: Column | str, dtype: DataType) -> Column:
@@ -61,8 +73,7 @@ def market_local(ts_utc: Column | str, tz: str) -> Column:
 
 def market_date(ts_utc: Column | str, tz: str) -> Column:
     """Calendar date of a UTC instant in the market time zone."""
-    day = F.floor(_local_micros(ts_utc, tz) / F.lit(86_400_000_000)).cast("int")
-    return F.date_from_unix_date(day)
+    return market_local(ts_utc, tz).cast("date")
 
 
 def epoch_seconds(ts_utc: Column | str) -> Column:
@@ -93,9 +104,13 @@ def bucket_start(ts_utc: Column | str, width: str) -> Column:
 def market_is_open(ts_utc: Column | str, tz: str, open_at: str = MARKET_OPEN,
                    close_at: str = MARKET_CLOSE) -> Column:
     """Regular session: Monday-Friday, open <= local time <= close (inclusive), no holidays."""
-    local = market_local(ts_utc, tz)
-    clock = F.date_format(local, "HH:mm:ss.SSSSSS")
-    return (F.weekday(local) < 5) & clock.between(f"{open_at}.000000", f"{close_at}.000000")
+    clock = F.pmod(_local_micros(ts_utc, tz), F.lit(_interval_micros("1 day")))
+    return (F.weekday(market_local(ts_utc, tz)) < 5) & clock.between(_clock_micros(open_at), _clock_micros(close_at))
+
+
+def _clock_micros(text: str) -> int:
+    h, m, s = (int(x) for x in text.split(":"))
+    return ((h * 60 + m) * 60 + s) * 1_000_000
 
 
 def iso_utc(ts_utc: Column | str) -> Column:

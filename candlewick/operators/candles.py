@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.config import ACCEPTED_SOURCES, GOLD_LOOKBACK_DAYS, MARKET_TZ, as_of_col
+from candlewick.config import GOLD_LOOKBACK_DAYS, MARKET_TZ, as_of_col
 from candlewick.functions.timeutil import bucket_start
 from candlewick.operators.common import lookback_filter
 from candlewick.schemas import CANDLE_COLUMNS
@@ -15,37 +13,31 @@ from candlewick.schemas import CANDLE_COLUMNS
 DAY = ("ticker", "trading_date")
 
 
-def _source_code(col: str, domain: Sequence[str]) -> tuple[Column, callable]:
-    """Lexicographic max over a known domain as a fixed-width aggregate.
+def ohlcv(ticks: DataFrame, bucket: str = "1 minute") -> DataFrame:
+    """One candle per (ticker, trading_date, bucket): first/last price by quote time,
+    high, low, tick count, max cumulative volume, mean feed delay, max source.
 
-    ``max(string)`` forces a sort-based aggregate (the whole input sorted
-    before the shuffle); ranking the accepted values keeps it a hash
-    aggregate. Values outside the domain are ignored (the accepted-values
-    check reports them).
+    ``max(source)`` over all ticks would force a sort-based aggregate of the
+    whole input (strings have no fixed-width buffer). The ticks are therefore
+    hash-aggregated per source first; only the few rows per candle that remain
+    are combined, with the plain string maximum.
     """
-    ordered = sorted(domain)
-    code = F.when(F.col(col) == ordered[0], F.lit(0))
-    for i, v in enumerate(ordered[1:], start=1):
-        code = code.when(F.col(col) == v, F.lit(i))
-    decode = lambda c: F.element_at(F.array(*[F.lit(v) for v in ordered]), c + 1)
-    return code, decode
-
-
-def ohlcv(ticks: DataFrame, bucket: str = "1 minute", sources: Sequence[str] = ACCEPTED_SOURCES) -> DataFrame:
-    """One candle per (ticker, trading_date, bucket): first/last price by quote time,
-    high, low, tick count, max cumulative volume, mean feed delay, max source."""
-    code, decode = _source_code("source", sources)
-    agg = ticks.groupBy("ticker", "trading_date", bucket_start("quote_ts", bucket).alias("window_start")).agg(
-        F.min_by("price", "quote_ts").alias("open_price"),
-        F.max("price").alias("high_price"),
-        F.min("price").alias("low_price"),
-        F.max_by("price", "quote_ts").alias("close_price"),
-        F.count(F.lit(1)).alias("n_ticks"),
+    keys = ["ticker", "trading_date", "window_start"]
+    per_source = ticks.groupBy("ticker", "trading_date", bucket_start("quote_ts", bucket).alias("window_start"), "source").agg(
+        F.min("quote_ts").alias("first_ts"), F.min_by("price", "quote_ts").alias("first_price"),
+        F.max("quote_ts").alias("last_ts"), F.max_by("price", "quote_ts").alias("last_price"),
+        F.max("price").alias("high"), F.min("price").alias("low"), F.count(F.lit(1)).alias("ticks"),
+        F.max("volume").alias("volume"),
+        F.sum(F.col("feed_delay_seconds").cast("long")).alias("delay"), F.count("feed_delay_seconds").alias("delays"))
+    return per_source.groupBy(*keys).agg(
+        F.min_by("first_price", "first_ts").alias("open_price"),
+        F.max("high").alias("high_price"),
+        F.min("low").alias("low_price"),
+        F.max_by("last_price", "last_ts").alias("close_price"),
+        F.sum("ticks").alias("n_ticks"),
         F.max("volume").alias("volume_cumulative"),
-        F.round(F.avg("feed_delay_seconds"), 1).alias("avg_feed_delay_seconds"),
-        F.max(code).alias("__src"),
-    )
-    return agg.withColumn("source", decode(F.col("__src"))).drop("__src")
+        F.round(F.sum("delay") / F.nullif(F.sum("delays"), F.lit(0)), 1).alias("avg_feed_delay_seconds"),
+        F.max("source").alias("source"))
 
 
 def day_window() -> Window:
@@ -86,12 +78,11 @@ def with_moving_metrics(candles: DataFrame, digits: int = 4, sma_digits: int | N
 
 
 def gold_candles(silver: DataFrame, as_of=None, tz: str = MARKET_TZ,
-                 lookback_days: int | None = GOLD_LOOKBACK_DAYS, bucket: str = "1 minute", digits: int = 4, sma_digits: int | None = None,
-                 sources: Sequence[str] = ACCEPTED_SOURCES) -> DataFrame:
+                 lookback_days: int | None = GOLD_LOOKBACK_DAYS, bucket: str = "1 minute", digits: int = 4, sma_digits: int | None = None) -> DataFrame:
     """The gold candle table (17 columns)."""
     at = as_of_col(as_of)
     ticks = lookback_filter(silver, at, tz, lookback_days)
-    c = ohlcv(ticks, bucket, sources)
+    c = ohlcv(ticks, bucket)
     c = with_moving_metrics(with_returns(with_lags(c), digits), digits, sma_digits)
     return c.withColumn("refreshed_at", at).select(*CANDLE_COLUMNS)
 

@@ -30,13 +30,22 @@ def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
             .filter(~F.col("value_field").isin(list(values))))
 
 
-def relationships(df: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child rows whose key has no parent row (NULL keys ignored)."""
-    child = df.filter(F.col(col).isNotNull()).select(F.col(col).alias("from_field"))
+def orphans(df: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:
+    """Child keys without a parent row and how many rows hold them (NULL keys
+    ignored). Keys are counted before the join (partial aggregation), so a hot
+    key is one row by then."""
+    child = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("from_field")).agg(
+        F.count(F.lit(1)).alias("n_records"))
     keys = parent.select(F.col(field).alias("from_field"))
     return child.join(keys, "from_field", "left_anti")
 
 
+def relationships(df: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:
+    """Child rows whose key has no parent row (NULL keys ignored)."""
+    lost = orphans(df, col, parent, field).select("from_field")
+    return df.select(F.col(col).alias("from_field")).join(lost, "from_field", "left_semi")
+
+
 def between(df: DataFrame, col: str, lo, hi) -> DataFrame:
     """Out-of-range values (inclusive bounds, NULLs pass) with occurrence counts."""
     c = F.col(col)
@@ -57,7 +66,7 @@ def assert_fresh(df: DataFrame, ts_col: str = "ingestion_ts", minutes: int = MAX
     return (last.filter(F.col("last_ingestion_ts").isNull()
                         | (F.col("last_ingestion_ts") < at - F.make_dt_interval(mins=F.lit(minutes))))
             .select("last_ingestion_ts", at.alias("checked_at"),
-                    (epoch_seconds(at) - epoch_seconds("last_ingestion_ts")).cast("int").alias("staleness_seconds")))
+                    (epoch_seconds(at) - epoch_seconds("last_ingestion_ts")).try_cast("int").alias("staleness_seconds")))
 
 
 def assert_ohlc(df: DataFrame, open_col: str = "open_price", high_col: str = "high_price",

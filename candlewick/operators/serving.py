@@ -64,6 +64,14 @@ def source_mode(df: DataFrame, by: Sequence[str] = (), col: str = "source") -> D
     return g.agg(F.mode(col, deterministic=True).alias(f"{col}_mode"))
 
 
+def provenance(live: DataFrame, snapshot: DataFrame, col: str = "source") -> DataFrame:
+    """One row: the most frequent provenance of the live set, or of the
+    snapshot while nothing is live (ties resolve to the smallest value)."""
+    now = live.select(F.mode(col, deterministic=True)).scalar()
+    stored = snapshot.select(F.mode(col, deterministic=True)).scalar()
+    return live.sparkSession.range(1).select(F.coalesce(now, stored).alias(f"{col}_mode"))
+
+
 def stream_age(live: DataFrame, snapshot: DataFrame, as_of=None) -> DataFrame:
     """Seconds since the newest ingestion: bronze first, else the snapshot.
     Both maxima are scalar subqueries (partial aggregates, one row each)."""
@@ -89,7 +97,13 @@ def trailing_horizon(candles: DataFrame, hours: int | None) -> DataFrame:
         return candles
     newest = candles.groupBy("ticker").agg(F.max("window_start").alias("__newest"))
     cut = F.col("__newest") - F.make_dt_interval(hours=F.lit(hours))
-    return candles.join(newest, "ticker").filter(F.col("window_start") >= cut).drop("__newest")
+    # The oldest cut of all tickers bounds the rows that enter the join (and,
+    # by date, the partitions that are read at all).
+    first = newest.select(F.min(cut).alias("c")).scalar()
+    recent = candles.filter(F.col("window_start") >= first)
+    if "trading_date" in candles.columns:
+        recent = recent.filter(F.col("trading_date") >= F.date_sub(first.cast("date"), 1))
+    return recent.join(newest, "ticker").filter(F.col("window_start") >= cut).drop("__newest")
 
 
 def with_candle_direction(candles: DataFrame) -> DataFrame:
@@ -101,9 +115,10 @@ def ordered(df: DataFrame, *cols) -> DataFrame:
     return df.orderBy(*cols)
 
 
-def newest(df: DataFrame, ts_col: str, n: int = 5) -> DataFrame:
-    """The newest N rows (top-k: TakeOrderedAndProject, bounded per task)."""
-    return df.orderBy(F.col(ts_col).desc()).limit(n)
+def newest(df: DataFrame, ts_col: str, n: int = 5, tie: Sequence[str] = ()) -> DataFrame:
+    """The newest N rows (top-k: TakeOrderedAndProject, bounded per task).
+    ``tie`` (a unique key) makes the cut exact when times are equal."""
+    return df.orderBy(F.col(ts_col).desc(), *(F.col(c).desc() for c in tie)).limit(n)
 
 
 def sector_ranking(sectors: DataFrame) -> DataFrame:

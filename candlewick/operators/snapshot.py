@@ -70,7 +70,7 @@ def ticker_snapshot(silver: DataFrame, candles: DataFrame, dim: DataFrame, as_of
         F.col("quote_ts").alias("last_quote_ts"),
         F.col("ingestion_ts").alias("last_ingestion_ts"),
         "feed_delay_seconds",
-        (epoch_seconds(at) - epoch_seconds("ingestion_ts")).cast("int").alias("seconds_since_last_tick"),
+        (epoch_seconds(at) - epoch_seconds("ingestion_ts")).try_cast("int").alias("seconds_since_last_tick"),
         "source",
         at.alias("refreshed_at"),
         "trading_date",

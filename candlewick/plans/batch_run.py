@@ -3,7 +3,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import time
+from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +16,9 @@ from candlewick.operators.sectors import sector_performance
 from candlewick.operators.silver import high_water_value, incremental_slice, silver_quotes
 from candlewick.operators.snapshot import ticker_snapshot
 from candlewick.plans.checks import Check, evaluate, gold_suite, seed_suite, silver_suite
-from candlewick.sources.tables import merge_into, write_seed, write_table
-
-
-class LayerFailed(RuntimeError):
-    """Raised when a layer's checks fail: later layers must not start."""
+from candlewick.schemas import LAYER_COUNTS
+from candlewick.sources.oplog import append_json
+from candlewick.sources.tables import materialize, merge_silver, stored, write_seed, write_table
 
 
 def results_frame(spark: SparkSession, rows: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -61,91 +61,141 @@ def alerts_from(results: DataFrame, run_id: str, dag_id: str = "batch_lakehouse"
         F.lit(None).cast("string").alias("log_url"))
 
 
-def run_layer(checks: Sequence[Check], tables: Mapping[str, DataFrame], as_of=None) -> DataFrame:
-    """Evaluate a layer's checks; raise :class:`LayerFailed` when any fails.
-
-    The result is collected: it has exactly one small row per check.
-    """
-    res = evaluate(checks, tables, as_of).cache()
-    failed = res.filter(F.col("status") == "fail").select("unique_id").collect()
-    if failed:
-        raise LayerFailed(", ".join(r.unique_id for r in failed))
-    return res
-
-
-MODELS = {
-    "silver": ["model.silver_quotes"],
-    "gold": ["model.gold_intraday_candles", "model.gold_ticker_snapshot", "model.gold_sector_performance"],
-    "seed": ["seed.dim_tickers"],
-}
-
-
-def _collect(spark: SparkSession, res: DataFrame) -> DataFrame:
-    """Check results are one small row per check: materialise them once."""
-    rows = [(r.unique_id, r.layer, r.status) for r in res.select("unique_id", "layer", "status").collect()]
-    return results_frame(spark, rows)
+def run_record(results: DataFrame, run_id: str, logical_date: str, finished_at: str, elapsed_seconds: float) -> DataFrame:
+    """The one-row record of a run: totals, a count struct per layer, status."""
+    summary = run_summary(results)
+    counts = [f.name for f in LAYER_COUNTS.fields]
+    layers = summary.filter(F.col("layer") != "total").groupBy().agg(F.map_from_entries(F.sort_array(F.collect_list(
+        F.struct("layer", F.struct(*counts).alias("counts"))))).alias("layers"))
+    return summary.filter(F.col("layer") == "total").crossJoin(layers).select(   # one row each
+        F.lit(run_id).alias("run_id"), F.lit(logical_date).alias("logical_date"), F.lit(finished_at).alias("finished_at"),
+        *counts, F.lit(float(elapsed_seconds)).alias("elapsed_seconds"), "status", "layers")
+
+
+class _Run:
+    """Collects one (unique_id, layer, status) row per node of a run."""
+
+    def __init__(self, spark: SparkSession, as_of) -> None:
+        self.spark, self.as_of = spark, as_of
+        self.rows: list[tuple[str, str, str]] = []
+        self.errors: dict[str, str] = {}
+
+    def model(self, uid: str, layer: str, work: Callable[[], None]) -> bool:
+        try:
+            work()
+        except Exception as e:  # noqa: BLE001 - any failure is the node's result
+            self.errors[uid] = str(e)
+            self.rows.append((uid, layer, "error"))
+            return False
+        self.rows.append((uid, layer, "success"))
+        return True
+
+    def checks(self, suite: Sequence[Check], tables: Mapping[str, DataFrame]) -> bool:
+        """Evaluate a suite (one small row per check comes back). A suite that
+        cannot run has status error throughout."""
+        try:
+            found = [(r.unique_id, r.layer, r.status) for r in
+                     evaluate(suite, tables, self.as_of).select("unique_id", "layer", "status").collect()]
+        except Exception as e:  # noqa: BLE001
+            found = [(c.unique_id, c.layer, "error") for c in suite]
+            self.errors.update((c.unique_id, str(e)) for c in suite)
+        self.rows += found
+        return all(status not in ("fail", "error") for _, _, status in found)
+
+    def frame(self) -> DataFrame:
+        return results_frame(self.spark, self.rows)
 
 
 def build(spark: SparkSession, bronze: DataFrame, dim: DataFrame, root: str, as_of=None, tz: str = MARKET_TZ,
           lookback_days: int | None = GOLD_LOOKBACK_DAYS, bucket: str = "1 minute", digits: int = 4,
           sma_digits: int | None = None, gate: bool = True, dim_parent: DataFrame | None = None,
-          incremental: bool = False, reprocess_minutes: int = REPROCESS_MINUTES):
-    """The batch build: seed -> silver (+checks) -> gold (+checks).
+          incremental: bool = False, reprocess_minutes: int = REPROCESS_MINUTES, by_hour: bool = False,
+          check_all_days: bool = False, run_id: str | None = None, logical_date: str = ""):
+    """The batch build: seed (+checks) -> silver (+checks) -> gold (+checks).
 
     Every layer is written as a table under ``root`` and the checks and the
     next layer read it back, so nothing is recomputed and each check scans
-    only its columns. With ``gate`` a failing silver suite stops the build
-    before gold starts. With ``incremental`` and an existing silver table,
-    only bronze at or after the high-water mark is read (partition-pruned),
-    merged first-wins into silver, and the bronze checks run on that slice.
-    Returns ``(tables, results)``; results hold one row per model, seed and
-    check (unique_id, layer, status).
+    only its columns. With ``gate`` a layer whose checks fail stops the build
+    before the next one starts. A model or suite that raises has status
+    ``error``; it stops the build likewise, and the run is still recorded.
+
+    With ``incremental`` and an existing silver table, only bronze at or after
+    the stored high-water mark is read (partition-pruned) and merged first-wins
+    into silver; the bronze checks run on that slice and the silver checks on
+    the days it touches (``check_all_days``: on the whole table). ``by_hour``
+    partitions silver by day and quote hour.
+
+    With ``run_id`` the run's record and its alerts are appended under
+    ``root/logs`` whatever happened. Returns ``(tables, results)``; results hold
+    one row per model, seed and check (unique_id, layer, status).
     """
-    p = {n: f"{root.rstrip('/')}/{n}" for n in ("dim_tickers", "silver", "candles", "snapshot", "sectors")}
-    write_seed(dim, p["dim_tickers"])
-    tables = {"bronze": bronze, "dim_tickers": spark.read.parquet(p["dim_tickers"])}
-    checks_dim = {"dim_tickers": dim_parent} if dim_parent is not None else {}
-    ok = lambda layer: [(u, layer, "success") for u in MODELS[layer]]
-
-    current = _existing(spark, p["silver"]) if incremental else None
-    if current is not None:
-        hwm = high_water_value(current, reprocess_minutes)        # fixed before silver is rewritten
-        tables["bronze"] = incremental_slice(bronze, None, reprocess_minutes, tz, hwm=hwm)
-        merge_into(spark, silver_quotes(tables["bronze"], tz, digits), p["silver"])
-    else:
-        write_table(silver_quotes(bronze, tz, digits), p["silver"], ["trading_date"])
-    tables["silver"] = spark.read.parquet(p["silver"])
-    early = evaluate(seed_suite() + silver_suite(), {**tables, **checks_dim}, as_of).select(
-        "unique_id", "layer", "status")
-    if gate:
-        early = _collect(spark, early)      # the gate needs the silver verdict before gold
-    results = [results_frame(spark, ok("seed") + ok("silver")), early]
-    # A failing seed suite gates too: a duplicated dimension key would fan out the snapshot join.
-    if gate and early.filter(F.col("status") == "fail").count() > 0:
-        return tables, reduce_union(results)
-
-    write_table(gold_candles(tables["silver"], as_of, tz, lookback_days, bucket, digits, sma_digits),
-                p["candles"], ["trading_date"])
-    tables["candles"] = spark.read.parquet(p["candles"])
-    write_table(ticker_snapshot(tables["silver"], tables["candles"], tables["dim_tickers"], as_of, tz,
-                                lookback_days, digits), p["snapshot"])
-    tables["snapshot"] = spark.read.parquet(p["snapshot"])
-    write_table(sector_performance(tables["snapshot"], digits), p["sectors"])
-    tables["sectors"] = spark.read.parquet(p["sectors"])
-    gold_res = evaluate(gold_suite(), {**tables, **checks_dim}, as_of).select("unique_id", "layer", "status")
-    results += [results_frame(spark, ok("gold")), gold_res]
-    return tables, _collect(spark, reduce_union(results))
-
-
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
-
-
-def reduce_union(frames: Sequence[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    began = time.monotonic()
+    root = root.rstrip("/")
+    p = {n: f"{root}/{n}" for n in ("dim_tickers", "silver", "candles", "snapshot", "sectors", "high_water")}
+    tables = {"bronze": bronze}
+    parent = {"dim_tickers": dim_parent} if dim_parent is not None else {}
+    run = _Run(spark, as_of)
+
+    def saved(name: str, work: Callable[[], None]) -> Callable[[], None]:
+        def go() -> None:
+            work()
+            tables[name] = spark.read.option("mergeSchema", True).parquet(p[name])
+        return go
+
+    def silver() -> None:
+        current = stored(spark, p["silver"]) if incremental else None
+        days = None
+        if current is not None:
+            hwm = _stored_mark(spark, p["high_water"], reprocess_minutes)
+            hwm = high_water_value(current, reprocess_minutes) if hwm is None else hwm
+            tables["bronze"] = incremental_slice(bronze, None, reprocess_minutes, tz, hwm=hwm)
+            new = materialize(silver_quotes(tables["bronze"], tz, digits), "silver_slice")
+            days = [r[0] for r in new.select("trading_date").distinct().collect()]   # the days one slice touches
+            merge_silver(spark, new, p["silver"], by_hour)
+        else:
+            new = silver_quotes(bronze, tz, digits)
+            if by_hour:
+                write_table(new.withColumn("quote_hour", F.hour("quote_ts")), p["silver"], ["trading_date", "quote_hour"])
+            else:
+                write_table(new, p["silver"], ["trading_date"])
+            new = spark.read.parquet(p["silver"])
+        new.agg(F.max("ingestion_ts").alias("mark")).filter("mark IS NOT NULL").write.mode("append").parquet(p["high_water"])
+        whole = spark.read.option("mergeSchema", True).parquet(p["silver"])
+        tables["silver"] = whole
+        touched["silver"] = whole if days is None or check_all_days else whole.filter(F.col("trading_date").isin(days))
+
+    touched: dict[str, DataFrame] = {}
+    layers: list[tuple[str, list[tuple[str, Callable[[], None]]], list[Check], Callable[[], dict[str, DataFrame]]]] = [
+        ("seed", [("seed.dim_tickers", saved("dim_tickers", lambda: write_seed(dim, p["dim_tickers"])))],
+         seed_suite(), lambda: {**tables, **parent}),
+        ("silver", [("model.silver_quotes", silver)], silver_suite(), lambda: {**tables, **touched, **parent}),
+        ("gold", [
+            ("model.gold_intraday_candles", saved("candles", lambda: write_table(
+                gold_candles(tables["silver"], as_of, tz, lookback_days, bucket, digits, sma_digits), p["candles"],
+                ["trading_date"]))),
+            ("model.gold_ticker_snapshot", saved("snapshot", lambda: write_table(
+                ticker_snapshot(tables["silver"], tables["candles"], tables["dim_tickers"], as_of, tz, lookback_days,
+                                digits), p["snapshot"]))),
+            ("model.gold_sector_performance", saved("sectors", lambda: write_table(
+                sector_performance(tables["snapshot"], digits), p["sectors"]))),
+        ], gold_suite(), lambda: {**tables, **parent}),
+    ]
+    for layer, models, suite, frames in layers:
+        if not all(run.model(uid, layer, work) for uid, work in models):
+            break
+        if not run.checks(suite, frames()) and gate:
+            break
+    results = run.frame()
+    if run_id is not None:
+        finished = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S+00:00")
+        append_json(run_record(results, run_id, logical_date, finished, time.monotonic() - began), f"{root}/logs/runs")
+        append_json(alerts_from(results, run_id, detected_at=finished), f"{root}/logs/alerts")
+    return tables, results
+
+
+def _stored_mark(spark: SparkSession, path: str, reprocess_minutes: int):
+    """The newest ingestion time merged so far, lowered, as a literal; None when unknown."""
+    marks = stored(spark, path)
+    value = None if marks is None else marks.agg(
+        (F.max("mark") - F.make_dt_interval(mins=F.lit(reprocess_minutes))).alias("h")).first()["h"]
+    return None if value is None else F.lit(value).cast("timestamp_ntz")

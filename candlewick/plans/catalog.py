@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.config import scratch_path, spread
+from candlewick.config import scratch_path
 from candlewick.sources.tables import materialize
 from candlewick.functions import display
 from candlewick.functions.quotes import expected_source
@@ -46,6 +46,7 @@ FRESH_AS_OF = "2024-02-01 00:00:00"    # a day after the last reading: stale
 FUTURE_AS_OF = "2024-01-20 00:00:00"   # quotes after this are "in the future"
 LEVELS_AS_OF = "2024-01-31 00:30:00"   # per-ticker freshness spans pass/warn/error
 HORIZON_HOURS = 6
+STREAM_BATCH = 1 << 30                 # bytes of input per micro-batch
 
 
 def _at(ts: str):
@@ -57,7 +58,7 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, d: str) -> DataFrame:
-    return spread(table(spark, d, "events"))
+    return table(spark, d, "events")
 
 
 def bronze(spark: SparkSession, d: str, by: str = "type") -> DataFrame:
@@ -352,7 +353,7 @@ def q_compaction_roundtrip(spark, d):
     """Silver written as many small files per day, compacted, read back unchanged."""
     from candlewick.sources.tables import compact
     path = scratch_path(spark, "compaction")
-    silver(spark, d, "type").repartition(16).write.partitionBy("trading_date").parquet(path)
+    silver(spark, d, "type").write.partitionBy("trading_date").parquet(path)
     compact(spark, path, "trading_date")
     return spark.read.parquet(path)
 
@@ -366,8 +367,8 @@ def q_stream_bronze_counts(spark, d):
     out = scratch_path(spark, "stream_bronze")
     chk = scratch_path(spark, "stream_chk")
     rec = kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp"))
-    rec.repartition(4).write.parquet(src)
-    qy = start_bronze(quote_stream(spark, "parquet", src, maxFilesPerTrigger=2), out, chk, available_now=True, tz=TZ)
+    rec.write.parquet(src)
+    qy = start_bronze(quote_stream(spark, "parquet", src, maxBytesPerTrigger=STREAM_BATCH), out, chk, available_now=True, tz=TZ)
     await_or_raise(qy)
     return (spark.read.parquet(out).groupBy("ingestion_date", "ticker")
             .agg(F.count(F.lit(1)).alias("n_rows")))
@@ -382,25 +383,32 @@ def q_stream_silver_upsert(spark, d):
     from candlewick.streaming.bronze_stream import await_or_raise, start_silver_upsert
     src, out, chk = (scratch_path(spark, n) for n in ("upsert_src", "upsert_silver", "upsert_chk"))
     rec = kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp"))
-    rec.repartition(4).write.parquet(src)
-    stream = to_bronze(quote_stream(spark, "parquet", src, maxFilesPerTrigger=2), as_of=AS_OF, tz=TZ)
+    rec.write.parquet(src)
+    stream = to_bronze(quote_stream(spark, "parquet", src, maxBytesPerTrigger=STREAM_BATCH), as_of=AS_OF, tz=TZ)
     await_or_raise(start_silver_upsert(stream, out, chk, tz=TZ, available_now=True))
     return spark.read.parquet(out).drop("processing_ts")
 
 
 def q_stream_progress(spark, d):
-    """Streaming ingest of the readings; per-batch progress turned into a running
-    total (the last cumulative value is every reading, each counted once)."""
+    """Streaming ingest of the readings; one logged row per batch, whatever Spark
+    retains, summed up to every reading once."""
     from candlewick.functions.timeutil import utc_instant
     from candlewick.sources.kafka import quote_stream
-    from candlewick.streaming.bronze_stream import await_or_raise, progress_frame, start_bronze
-    src, out, chk = (scratch_path(spark, n) for n in ("progress_src", "progress_bronze", "progress_chk"))
+    from candlewick.streaming.bronze_stream import ProgressLog, await_or_raise, progress_frame, start_bronze
+    src, out, chk, log = (scratch_path(spark, n) for n in ("progress_src", "progress_bronze", "progress_chk", "progress"))
     rec = kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp"))
-    rec.repartition(4).write.parquet(src)
-    qy = start_bronze(quote_stream(spark, "parquet", src, maxFilesPerTrigger=2), out, chk, available_now=True, tz=TZ)
-    await_or_raise(qy)
-    p = progress_frame(spark, qy)
-    return p.agg(F.max("cumulative_rows").alias("total_rows"), F.sum("rows").alias("rows_in_batches"))
+    rec.write.parquet(src)
+    listener = ProgressLog(log)
+    spark.streams.addListener(listener)
+    try:
+        qy = start_bronze(quote_stream(spark, "parquet", src, maxFilesPerTrigger=1), out, chk, available_now=True, tz=TZ)
+        await_or_raise(qy)
+        listener.wait(qy)
+    finally:
+        spark.streams.removeListener(listener)
+    return progress_frame(spark, log).agg(
+        F.sum("rows").alias("total_rows"),
+        (F.count("batch_id") == F.count_distinct("query", "batch_id")).alias("batches_counted_once"))
 
 
 def _gated(spark, d):
@@ -433,16 +441,16 @@ def q_alerts(spark, d):
 
 
 def q_ops_log_tail(spark, d):
-    """The newest readings appended to a JSON-lines log in two batches (plus a
-    corrupt line) and read back newest-first with corrupt lines skipped."""
+    """All readings appended to a JSON-lines log in two batches, plus a corrupt
+    line; the five newest are read back (ties by the unique offset)."""
     from candlewick.sources.oplog import append_json, tail_json
     log = scratch_path(spark, "oplog")
     cols = ["ticker", "kafka_offset", "price", "ingestion_ts"]
     b = bronze(spark, d, "type").select(*cols)
-    append_json(serving.newest(b, "ingestion_ts", 5).offset(2), log)
-    append_json(serving.newest(b, "ingestion_ts", 2), log)
+    for half in (0, 1):
+        append_json(b.filter(F.col("kafka_offset") % 2 == half), log)
     spark.createDataFrame([("{broken",)], "value string").write.mode("append").text(log)
-    return tail_json(spark, log, b.schema, "ingestion_ts", 5)
+    return tail_json(spark, log, b.schema, "ingestion_ts", 5, tie=["kafka_offset"])
 
 
 def q_stream_age(spark, d):
@@ -464,17 +472,205 @@ def q_top_movers(spark, d):
     view = "snapshot_" + scratch_path(spark, "v").rsplit("-", 1)[-1]
     snapshot(spark, d).createOrReplaceTempView(view)
     top, _ = show_query(spark, f"SELECT ticker, change_pct FROM {view} ORDER BY change_pct DESC, ticker", 50)
+    spark.catalog.dropTempView(view)   # the plan is resolved by now
     return top
 
 
 def q_registered_bronze(spark, d):
     """Bronze written partitioned, registered in the catalog, read back pruned."""
-    from candlewick.sources.tables import read_table, register, write_table
+    from candlewick.sources.tables import register, write_table
     path = scratch_path(spark, "bronze_table")
     write_table(bronze(spark, d, "type"), path, ["ingestion_date"])
-    register(spark, "lake", "bronze_" + path.rsplit("-", 1)[-1], path)
+    name = "bronze_" + path.rsplit("-", 1)[-1]
+    register(spark, "lake", name, path)
     since = F.date_sub(market_date(_at(AS_OF), TZ), 1)
-    return read_table(spark, path, columns=["ticker", "price", "ingestion_ts", "ingestion_date"], since=since)
+    return (spark.table(f"lake.{name}").select("ticker", "price", "ingestion_ts", "ingestion_date")
+            .filter(F.col("ingestion_date") >= since))
+
+
+# --- storage that loses nothing ------------------------------------------------------------
+
+def _days(spark, d):
+    """Silver of the type feed with a source column market_cap, and its first and last day."""
+    b = bronze(spark, d, "type")
+    s = materialize(silver_quotes(b, TZ, keep=["market_cap"]), "evolving")
+    first, last = s.agg(F.min("trading_date"), F.max("trading_date")).first()
+    return s, first, last
+
+
+def q_merge_evolution_on_disk(spark, d):
+    """Three merges on disk: rows without market_cap, all later rows with it, then
+    some rows of the last day again without it. The column survives."""
+    from candlewick.sources.tables import merge_into, stored
+    s, first, last = _days(spark, d)
+    path = scratch_path(spark, "evolution")
+    day = F.col("trading_date")
+    merge_into(spark, s.filter(day == F.lit(first)).drop("market_cap"), path)
+    merge_into(spark, s.filter(day > F.lit(first)), path)
+    again = s.filter((day == F.lit(last)) & (F.col("kafka_offset") % 2 == 0)).drop("market_cap")
+    merge_into(spark, again.withColumn("ingestion_ts", F.col("ingestion_ts") + F.expr("INTERVAL 1 DAY")), path)
+    return stored(spark, path).drop("processing_ts")
+
+
+def q_full_refresh_replaces(spark, d):
+    """A full refresh after which no day of the older table is left."""
+    from candlewick.sources.tables import write_table
+    s, first, _ = _days(spark, d)
+    path = scratch_path(spark, "refresh")
+    write_table(s, path, ["trading_date"])
+    write_table(s.filter(F.col("trading_date") > F.lit(first)), path, ["trading_date"])
+    return spark.read.parquet(path).groupBy("trading_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_merge_into_table(spark, d):
+    """The target table and a high-water slice merged by day and quote hour."""
+    from candlewick.sources.tables import merge_silver, stored
+    _, target, sl = _target_and_slice(spark, d)
+    path = scratch_path(spark, "merged")
+    merge_silver(spark, target, path, by_hour=True)
+    merge_silver(spark, silver_quotes(sl, TZ), path, by_hour=True)
+    return stored(spark, path)
+
+
+def q_compact_streamed(spark, d):
+    """Closed days of a streamed table compacted aside; the stream goes on."""
+    from candlewick.functions.timeutil import utc_instant
+    from candlewick.sources.kafka import quote_stream
+    from candlewick.sources.tables import compact_closed, read_compacted
+    from candlewick.streaming.bronze_stream import await_or_raise, start_bronze
+    src, out, chk, into = (scratch_path(spark, n) for n in ("closed_src", "closed_bronze", "closed_chk", "closed_into"))
+    rec = kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp"))
+    before = _at(SLICE_CUT).cast("date")
+    for part in (F.col("offset") % 2 == 0, F.col("offset") % 2 == 1):
+        rec.filter(part).write.mode("append").parquet(src)
+        await_or_raise(start_bronze(quote_stream(spark, "parquet", src, maxBytesPerTrigger=STREAM_BATCH), out, chk,
+                                    available_now=True, tz=TZ))
+        compact_closed(spark, out, into, "ingestion_date", before)
+    return read_compacted(spark, out, into, "ingestion_date", before).drop("processing_ts")
+
+
+# --- values the feed does not bring by itself -----------------------------------------------
+
+def q_candles_source_mixed(spark, d):
+    """Candles over ticks whose provenance is also unknown or outside the accepted two."""
+    odd = (F.when(F.col("kafka_offset") % 7 < 3, F.lit(None)).when(F.col("kafka_offset") % 11 == 0, F.lit("zzz"))
+           .when(F.col("kafka_offset") % 5 == 0, F.lit("other")).otherwise(F.col("source")))
+    t = ticks(spark, d, "type").withColumn("source", F.when(F.col("ticker") == "click", F.lit(None)).otherwise(odd))
+    return ohlcv(t, "1 minute").select("ticker", "window_start", "n_ticks", "source")
+
+
+def _planted(spark, d):
+    """Readings with bad volumes and times, by their number."""
+    k = F.col("event_id") % 6
+    return events(spark, d).select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("wall"), k.cast("int").alias("k"),
+        F.when(k == 0, "NaN").when(k == 1, "1e30").when(k == 2, "9007199254740993").when(k == 3, "12.0").when(k == 4, "x")
+        .otherwise(F.lit(None)).alias("volume_text"),
+        F.when(k == 0, "0001-01-01T00:00:00Z").when(k == 1, F.col("wall")).when(k == 2, F.concat("wall", F.lit("+03:00")))
+        .when(k == 3, F.concat(F.translate("wall", " ", "T"), F.lit("Z"))).when(k == 4, "soon").otherwise(F.lit(None))
+        .alias("time_text"))
+
+
+def q_planted_bad_values(spark, d):
+    """Bad volumes normalised and bad times parsed without an error or a session zone."""
+    from candlewick.functions.quotes import feed_delay_seconds
+    from candlewick.functions.timeutil import parse_utc
+    p = _planted(spark, d)
+    payload = F.to_json(F.struct(F.array(F.struct(
+        F.col("event_id").cast("string").alias("symbol"), F.col("volume_text").alias("regularMarketVolume"))).alias("results")))
+    n = normalize_api(p.select("event_id", "time_text", "wall", payload.alias("payload")), cycle_col=None,
+                      event_id=F.col("event_id"), ingestion_ts=F.struct("time_text", "wall"))
+    quote = parse_utc(F.col("ingestion_ts.time_text"))
+    return n.select("event_id", "volume", quote.alias("quote_ts"),
+                    feed_delay_seconds(parse_utc(F.col("ingestion_ts.wall")), quote).alias("feed_delay_seconds"))
+
+
+# --- run record, alerts, gold of an incremental build -----------------------------------------
+
+def _logged(spark, d):
+    """Two builds of which the first fails its silver suite; both leave a record."""
+    from candlewick.plans.batch_run import build
+    dm, root = dim(spark, d), scratch_path(spark, "logged")
+    for name, gate in (("gated", True), ("open", False)):
+        build(spark, bronze(spark, d, "user"), dm, root, AS_OF, TZ, LOOKBACK_DAYS, BUCKET, 4, SMA_DIGITS, gate=gate,
+              dim_parent=_solvent(spark, d).join(dm, "ticker"), run_id=name, logical_date=AS_OF[:10])
+    return root
+
+
+def q_run_record(spark, d):
+    from candlewick.schemas import RUN_SCHEMA
+    from candlewick.sources.oplog import tail_json
+    log = tail_json(spark, _logged(spark, d) + "/logs/runs", RUN_SCHEMA, "finished_at", 10, tie=["run_id"])
+    return log.select("run_id", "logical_date", "models", "seeds", "tests_pass", "tests_fail", "status",
+                      F.col("layers")["silver"]["tests_pass"].alias("silver_pass"))
+
+
+def q_alerts_log(spark, d):
+    from candlewick.schemas import ALERT_SCHEMA
+    log = spark.read.schema(ALERT_SCHEMA).json(_logged(spark, d) + "/logs/alerts")
+    return log.groupBy("run_id", "task_id").agg(F.count(F.lit(1)).alias("n_alerts"))
+
+
+def q_run_results_read(spark, d):
+    """Nested run-results files, one per customer nation, read as one row per node."""
+    from candlewick.sources.oplog import read_run_results
+    path = scratch_path(spark, "results")
+    c = table(spark, d, "customer")
+    node = F.struct(F.concat(F.lit("test.c"), F.col("c_custkey").cast("string")).alias("unique_id"),
+                    F.when(F.col("c_acctbal") < 0, "fail").otherwise("pass").alias("status"),
+                    (F.col("c_custkey") / 4).alias("execution_time"))
+    (c.groupBy("c_nationkey").agg(F.collect_list(node).alias("results")).select(
+        "results", F.size("results").cast("double").alias("elapsed_time"), F.col("c_nationkey").alias("file"))
+     .write.partitionBy("file").json(path))
+    return read_run_results(spark, path, "seed")
+
+
+def q_incremental_gold(spark, d):
+    """Candles after two incremental builds whose dimension holds every instrument."""
+    from candlewick.plans.batch_run import build
+    root, b = scratch_path(spark, "incremental_gold"), bronze(spark, d, "type")
+    dm = b.select("ticker").distinct().select(
+        "ticker", F.col("ticker").alias("company_name"), F.lit("all").alias("sector"), F.lit(None).cast("string").alias("b3_index"))
+    for part in (b.filter(F.col("ingestion_ts") < _at(SLICE_CUT)), b):
+        tables, _ = build(spark, part, dm, root, AS_OF, TZ, LOOKBACK_DAYS, BUCKET, 4, SMA_DIGITS, gate=False,
+                          incremental=True, by_hour=True)
+    return tables["candles"]
+
+
+# --- serving rows not reached otherwise -----------------------------------------------------
+
+def q_provenance(spark, d):
+    return serving.provenance(_live(spark, d), snapshot(spark, d))
+
+
+def q_snapshot_by_ticker(spark, d):
+    return serving.ordered(snapshot(spark, d).select("ticker", "last_price"), "ticker")
+
+
+def q_sectors_ascending(spark, d):
+    return serving.ordered(sectors(spark, d).select("sector", "avg_change_pct"), F.col("avg_change_pct").asc(), "sector")
+
+
+def q_candles_minute(spark, d):
+    """The default bucket."""
+    return ohlcv(ticks(spark, d, "type")).select("ticker", "window_start", "open_price", "high_price", "low_price",
+                                                 "close_price", "n_ticks", "volume_cumulative", "source")
+
+
+def q_bootstrap_empty(spark, d):
+    """An empty table, created twice, takes rows and keeps its schema."""
+    from candlewick.sources.kafka import empty_bronze
+    from candlewick.sources.tables import bootstrap_table, read_table
+    path = scratch_path(spark, "bootstrap")
+    empty = empty_bronze(spark, TZ)
+    for _ in range(2):
+        bootstrap_table(empty, path, ["ingestion_date"])
+    none = read_table(spark, path, empty.schema)
+    to_bronze(kafka_records(events(spark, d), "type"), as_of=AS_OF, tz=TZ).write.mode("append").partitionBy(
+        "ingestion_date").parquet(path)
+    bootstrap_table(empty, path, ["ingestion_date"])
+    full = read_table(spark, path, empty.schema)
+    return full.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(none.isEmpty()).alias("was_empty"))
 
 
 QUERIES = {
@@ -534,4 +730,19 @@ QUERIES = {
     "candle_direction": q_candle_direction,
     "top_movers": q_top_movers,
     "registered_bronze": q_registered_bronze,
+    "merge_evolution_on_disk": q_merge_evolution_on_disk,
+    "full_refresh_replaces": q_full_refresh_replaces,
+    "merge_into_table": q_merge_into_table,
+    "compact_streamed": q_compact_streamed,
+    "candles_source_mixed": q_candles_source_mixed,
+    "planted_bad_values": q_planted_bad_values,
+    "run_record": q_run_record,
+    "alerts_log": q_alerts_log,
+    "run_results_read": q_run_results_read,
+    "incremental_gold": q_incremental_gold,
+    "provenance": q_provenance,
+    "snapshot_by_ticker": q_snapshot_by_ticker,
+    "sectors_ascending": q_sectors_ascending,
+    "candles_minute": q_candles_minute,
+    "bootstrap_empty": q_bootstrap_empty,
 }

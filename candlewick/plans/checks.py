@@ -108,7 +108,11 @@ def evaluate(checks: Sequence[Check], tables: Mapping[str, DataFrame], as_of=Non
         if c.kind in ROW_LEVEL:
             by_table.setdefault(c.table, []).append(c)
         else:
-            n = offending(c, tables, as_of).agg(F.count(F.lit(1)).cast("long").alias("failures"))
+            if c.kind == "relationships":
+                lost = q.orphans(tables[c.table], c.column, tables[c.params["to"]], c.params["field"])
+                n = lost.agg(F.coalesce(F.sum("n_records"), F.lit(0)).cast("long").alias("failures"))
+            else:
+                n = offending(c, tables, as_of).agg(F.count(F.lit(1)).cast("long").alias("failures"))
             parts.append(n.select(F.lit(c.unique_id).alias("unique_id"), F.lit(c.layer).alias("layer"),
                                   "failures", F.lit(c.severity).alias("severity")))
     for t, cs in by_table.items():

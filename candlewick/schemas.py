@@ -1,11 +1,11 @@
 """Table contracts (column names and types)."""
 
 from pyspark.sql.types import (
-    ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
+    ArrayType, DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType, TimestampType,
 )
 
-# Wire event: the JSON payload of one quote reading. Timestamps travel as
-# ISO-8601 text and are parsed after decoding, so bad text becomes NULL.
+# The wire and record contracts; names, types and order must
+# equal those of the producers. Times are text here, see parse_utc.
 QUOTE_SCHEMA = StructType([
     StructField("event_id", StringType()),
     StructField("ticker", StringType()),
@@ -96,6 +96,7 @@ RUN_SCHEMA = StructType([
     StructField("errors", LongType()),
     StructField("elapsed_seconds", DoubleType()),
     StructField("status", StringType()),
+    StructField("layers", MapType(StringType(), LAYER_COUNTS)),
 ])
 
 RUN_RESULTS_SCHEMA = StructType([

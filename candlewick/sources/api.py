@@ -40,7 +40,9 @@ def normalize_api(payloads: DataFrame, payload_col: str = "payload", cycle_col:
         safe_double(r("regularMarketOpen")).alias("day_open"),
         safe_double(r("regularMarketDayHigh")).alias("day_high"),
         safe_double(r("regularMarketDayLow")).alias("day_low"),
-        F.coalesce(safe_double(r("regularMarketVolume")).cast("long"), F.lit(0).cast("long")).alias("volume"),
+        # Whole numbers stay exact beyond 2^53; NaN and numbers out of range count as absent.
+        F.coalesce(r("regularMarketVolume").try_cast("long"), safe_double(r("regularMarketVolume")).try_cast("long"),
+                   F.lit(0).cast("long")).alias("volume"),
         safe_double(r("regularMarketChangePercent")).alias("change_pct_api"),
         safe_double(r("marketCap")).alias("market_cap"),
         r("regularMarketTime").alias("quote_ts"),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from candlewick.schemas import RUN_RESULTS_SCHEMA
+from candlewick.sources.tables import is_absent
 
 
 def append_json(df: DataFrame, path: str) -> None:
@@ -15,13 +18,17 @@ def append_json(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def tail_json(spark: SparkSession, path: str, schema: StructType, ts_col: str, n: int = 5) -> DataFrame:
-    """Newest ``n`` records, newest first; corrupt lines are skipped; missing log -> empty."""
+def tail_json(spark: SparkSession, path: str, schema: StructType, ts_col: str, n: int = 5,
+              tie: Sequence[str] = ()) -> DataFrame:
+    """Newest ``n`` records, newest first (``tie``: columns that order equal
+    times, descending); corrupt lines are skipped; a missing log reads as empty."""
     try:
         df = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_absent(e):
+            raise
         df = spark.createDataFrame([], schema)
-    return df.orderBy(F.col(ts_col).desc()).limit(n)
+    return df.orderBy(F.col(ts_col).desc(), *(F.col(c).desc() for c in tie)).limit(n)
 
 
 def read_run_results(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:

@@ -9,7 +9,8 @@ readers of the same partition.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,28 @@ from candlewick.operators.silver import merge_frames
 from candlewick.schemas import DIM_SCHEMA
 
 
+MAX_TOUCHED = 1000
+
+# The error conditions of a path that does not exist or holds no data files.
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def is_absent(e: AnalysisException) -> bool:
+    """Does the error say that there is no table yet (and nothing else)?"""
+    return e.getCondition() in _ABSENT
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path`` with the columns of all its files, or None while
+    there is none. An unreadable table raises."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as e:
+        if is_absent(e):
+            return None
+        raise
+
+
 def bootstrap_table(empty: DataFrame, path: str, partition_by: Sequence[str] = (), table: str | None = None) -> None:
     """Create the table with exactly ``empty``'s schema if it does not exist (idempotent).
 
@@ -67,9 +90,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
 
     Partitioned writes are rebalanced on the partition columns first: AQE
     splits a hot partition value into several files and merges small ones,
-    so one huge day does not end up as one task and one file.
+    so one huge day does not end up as one task and one file. The whole table
+    is replaced whatever the session's overwrite mode: no partition survives.
     """
     w = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite").format(fmt)
+    w = w.option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -79,9 +104,10 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                columns: Sequence[str] | None = None, since=None, partition_col: str = "ingestion_date") -> DataFrame:
     """Partition- and column-pruned read; a missing or still empty table reads as empty."""
     try:
-        df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
-    except AnalysisException:
-        if schema is None:
+        reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
+        df = reader.parquet(path)
+    except AnalysisException as e:
+        if schema is None or not is_absent(e):
             raise
         df = spark.createDataFrame([], schema)
     if since is not None:
@@ -96,62 +122,101 @@ def merge_into(spark: SparkSession, source: DataFrame, path: str, keys: Sequence
 
     Partition columns must be functions of the key (trading_date, or
     trading_date plus the quote hour, of quote_ts), so a key never moves
-    between partitions. Target partitions are restricted with a semi-join on
-    the source's partition values, which Spark turns into dynamic partition
-    pruning of the target scan; exactly those partitions are rewritten. Finer
-    partitions (day + hour) keep an incremental run's rewrite to the hours it
-    touches instead of whole days.
+    between partitions. The source is written once to the shared scratch
+    folder; its partition values (few: those one run touches) become literal
+    predicates, so only the touched partitions of the target are read, and
+    exactly those are rewritten. The target is read with the columns of all its
+    files, so a column that some partitions lack is never lost.
     """
     cols = [partition_col] if isinstance(partition_col, str) else list(partition_col)
-    try:
-        target = spark.read.parquet(path)
-    except AnalysisException:
+    target = stored(spark, path)
+    if target is None:
         write_table(source, path, cols)
         return
-    touched = target.join(source.select(*cols).distinct(), cols, "left_semi")
+    source = materialize(source, "merge_source")
+    values = source.select(*cols).distinct().limit(MAX_TOUCHED + 1).collect()
+    if not values:
+        return
+    if len(values) <= MAX_TOUCHED:
+        touched = target.filter(reduce(Column.__or__, (
+            reduce(Column.__and__, (F.col(c).eqNullSafe(F.lit(v[c])) for c in cols)) for v in values)))
+    else:   # a back-fill: leave the choice of partitions to a join
+        touched = target.join(source.select(*cols).distinct(), cols, "left_semi")
     merged = merge_frames(touched, source, keys, order, on_match)
     (merged.hint("rebalance", *cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path))
 
 
+def merge_silver(spark: SparkSession, source: DataFrame, path: str, by_hour: bool = False) -> None:
+    """Upsert silver rows, partitioned by day or by day and quote hour."""
+    if by_hour:
+        merge_into(spark, source.withColumn("quote_hour", F.hour("quote_ts")), path,
+                   partition_col=["trading_date", "quote_hour"])
+    else:
+        merge_into(spark, source, path)
+
+
 def compact(spark: SparkSession, path: str, partition_col: str | None = None) -> None:
-    """Rewrite a table into fewer, larger files without changing its rows.
+    """Rewrite a table into fewer, larger files without changing its rows or columns.
 
     Rebalancing targets ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
-    per file: small files are merged, a hot partition is still split.
+    per file: small files are merged, a hot partition is still split. The new
+    files are written in full to the shared scratch folder before the table is
+    replaced, so a crash in the second step leaves a whole copy to restore.
 
     A directory written by the streaming file sink is refused: its readers
     trust the sink's ``_spark_metadata`` log, which an in-place rewrite would
-    leave pointing at deleted files. Compact such data into a new table.
+    leave pointing at deleted files. Use :func:`compact_closed` there.
     """
     if _is_stream_sink_output(spark, path):
-        raise ValueError(f"{path} is a streaming file-sink output; compact it into a new table instead")
-    df = spark.read.parquet(path)
-    if partition_col:
-        (df.hint("rebalance", partition_col).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    else:
-        staged = path.rstrip("/") + "__compacted"
-        df.hint("rebalance").write.mode("overwrite").parquet(staged)
-        spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+        raise ValueError(f"{path} is a streaming file-sink output; use compact_closed")
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    cols = [partition_col] if partition_col else []
+    staged = materialize(df.hint("rebalance", *cols), "compacted", cols)
+    w = staged.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*cols) if cols else w).parquet(path)
+
+
+def compact_all(spark: SparkSession, tables: Mapping[str, str | None]) -> None:
+    """Compact a list of tables: path -> partition column (None: not partitioned)."""
+    for path, partition_col in tables.items():
+        compact(spark, path, partition_col)
+
+
+def compact_closed(spark: SparkSession, path: str, into: str, partition_col: str, before) -> None:
+    """Compact the closed partitions (value < ``before``) of a streamed table
+    into the table ``into``. The stream's own files and log stay untouched, so
+    it can go on and restart; batch readers use :func:`read_compacted`.
+    Running it again replaces the same partitions with the same rows."""
+    closed = spark.read.option("mergeSchema", True).parquet(path).filter(F.col(partition_col) < F.lit(before))
+    (closed.hint("rebalance", partition_col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(into))
+
+
+def read_compacted(spark: SparkSession, path: str, into: str, partition_col: str, before) -> DataFrame:
+    """A streamed table with its closed partitions from their compacted copy."""
+    still_open = spark.read.option("mergeSchema", True).parquet(path).filter(
+        (F.col(partition_col) >= F.lit(before)) | F.col(partition_col).isNull())
+    done = stored(spark, into)
+    return still_open if done is None else still_open.unionByName(
+        done.filter(F.col(partition_col) < F.lit(before)), allowMissingColumns=True)
 
 
 def _is_stream_sink_output(spark: SparkSession, path: str) -> bool:
     """Does ``path`` hold a streaming file sink's ``_spark_metadata`` log?"""
-    meta = f"{path.rstrip('/')}/_spark_metadata"
     try:
-        jvm = spark.sparkContext._jvm
-        hp = jvm.org.apache.hadoop.fs.Path(meta)
-        return bool(hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp))
-    except Exception:  # noqa: BLE001 - remote session: only local paths can be checked
-        import os
-        return os.path.isdir(meta[len("file:"):] if meta.startswith("file:") else meta)
+        return bool(spark.read.format("binaryFile").load(f"{path.rstrip('/')}/_spark_metadata").select("path").head(1))
+    except AnalysisException as e:
+        if is_absent(e):
+            return False
+        raise
 
 
-def show_query(spark: SparkSession, sql: str, max_rows: int = 50) -> tuple[DataFrame, int]:
-    """Ad-hoc SQL: the first ``max_rows`` rows and the total row count."""
+def show_query(spark: SparkSession, sql: str, max_rows: int = 50) -> tuple[DataFrame, DataFrame]:
+    """Ad-hoc SQL: the first ``max_rows`` rows, and the total row count as a
+    one-row frame that costs nothing until it is read."""
     df = spark.sql(sql)
-    return df.limit(max_rows), df.count()
+    return df.limit(max_rows), df.agg(F.count(F.lit(1)).alias("total_rows"))
 
 
 def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -164,4 +229,4 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     from candlewick.config import scratch_path
     path = scratch_path(df.sparkSession, name)
     write_table(df, path, partition_by)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

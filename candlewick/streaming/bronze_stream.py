@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from candlewick.config import MARKET_TZ
 from candlewick.operators.silver import silver_quotes
 from candlewick.sources.kafka import empty_bronze, to_bronze
-from candlewick.sources.tables import bootstrap_table, merge_into
+from candlewick.sources.tables import bootstrap_table, merge_silver
 
 
 def start_bronze(records: DataFrame, path: str, checkpoint: str, trigger: str | None = "15 seconds",
@@ -27,13 +27,16 @@ def start_bronze(records: DataFrame, path: str, checkpoint: str, trigger: str |
 
 
 def start_silver_upsert(bronze_stream: DataFrame, silver_path: str, checkpoint: str, tz: str = MARKET_TZ,
-                        available_now: bool = False, trigger: str | None = "15 seconds") -> StreamingQuery:
+                        available_now: bool = False, trigger: str | None = "15 seconds",
+                        by_hour: bool = False) -> StreamingQuery:
     """Each micro-batch of bronze rows is typed, deduplicated and merged into
     silver with first-wins semantics, so replays and late readings are
-    idempotent."""
+    idempotent. ``by_hour`` partitions silver by day and quote hour, so a batch
+    rewrites the hours it touches instead of whole days. The merge writes the
+    transformed batch once, so each batch is decoded once."""
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        merge_into(batch.sparkSession, silver_quotes(batch, tz), silver_path)
+        merge_silver(batch.sparkSession, silver_quotes(batch, tz), silver_path, by_hour)
 
     w = bronze_stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
@@ -75,15 +78,49 @@ class ProgressTotals(StreamingQueryListener):
         return spark.createDataFrame(rows, "query string, batches long, rows long")
 
 
-def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """``recentProgress`` (a bounded buffer) as rows: batch, input rows, running total, rate."""
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-    rows = [(p["batchId"], p["numInputRows"], float(p.get("processedRowsPerSecond") or 0.0))
-            for p in query.recentProgress]
-    df = spark.createDataFrame(rows, "batch_id long, rows long, rate double")
-    return df.withColumn("cumulative_rows", F.sum("rows").over(
-        Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)))
+class ProgressLog(ProgressTotals):
+    """Also keeps one JSON line per batch in a folder (any store pyarrow.fs
+    opens), named by query and batch, so a replayed batch replaces its line and
+    nothing depends on how many batches Spark retains."""
+
+    def __init__(self, folder: str, keep: int = 100) -> None:
+        super().__init__(keep)
+        self.folder = folder
+        self.ended: set[str] = set()
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        import json
+
+        from pyarrow import fs as pafs
+        super().onQueryProgress(event)
+        p = event.progress
+        uri = self.folder.replace("file:", "file://", 1) if self.folder.startswith("file:/") and not self.folder.startswith(
+            "file://") else self.folder
+        store, root = pafs.FileSystem.from_uri(uri)
+        store.create_dir(root, recursive=True)
+        row = {"query": p.name or str(p.id), "batch_id": p.batchId, "rows": p.numInputRows, "rate": p.processedRowsPerSecond}
+        with store.open_output_stream(f"{root}/{p.id}-{p.batchId}.json") as out:
+            out.write((json.dumps(row) + "\n").encode())
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.ended.add(str(event.id))
+
+    def wait(self, query: StreamingQuery, timeout_s: float = 60) -> None:
+        """Until all events of a query that has ended were seen."""
+        import time
+        until = time.monotonic() + timeout_s
+        while str(query.id) not in self.ended:
+            if time.monotonic() > until:
+                raise TimeoutError(f"no end event of stream {query.name}")
+            time.sleep(0.1)
+
+
+PROGRESS_SCHEMA = "query string, batch_id long, rows long, rate double"
+
+
+def progress_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """The logged batches of all runs: query, batch_id, rows, rate."""
+    return spark.read.schema(PROGRESS_SCHEMA).json(folder)
 
 
 def await_or_raise(query: StreamingQuery, timeout_s: float | None = None) -> None:
