@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyarrow import fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,13 @@ MAX_TOUCHED = 1000
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
+def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a folder for the driver's own small reads and writes."""
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    return pafs.FileSystem.from_uri(uri)
+
+
 def is_absent(e: AnalysisException) -> bool:
     """Does the error say that there is no table yet (and nothing else)?"""
     return e.getCondition() in _ABSENT
@@ -168,7 +176,7 @@ def compact(spark: SparkSession, path: str, partition_col: str | None = None) ->
     trust the sink's ``_spark_metadata`` log, which an in-place rewrite would
     leave pointing at deleted files. Use :func:`compact_closed` there.
     """
-    if _is_stream_sink_output(spark, path):
+    if _is_stream_sink_output(path):
         raise ValueError(f"{path} is a streaming file-sink output; use compact_closed")
     df = spark.read.option("mergeSchema", True).parquet(path)
     cols = [partition_col] if partition_col else []
@@ -202,14 +210,10 @@ def read_compacted(spark: SparkSession, path: str, into: str, partition_col: str
         done.filter(F.col(partition_col) < F.lit(before)), allowMissingColumns=True)
 
 
-def _is_stream_sink_output(spark: SparkSession, path: str) -> bool:
+def _is_stream_sink_output(path: str) -> bool:
     """Does ``path`` hold a streaming file sink's ``_spark_metadata`` log?"""
-    try:
-        return bool(spark.read.format("binaryFile").load(f"{path.rstrip('/')}/_spark_metadata").select("path").head(1))
-    except AnalysisException as e:
-        if is_absent(e):
-            return False
-        raise
+    store, root = open_store(path)
+    return store.get_file_info(f"{root.rstrip('/')}/_spark_metadata").type != pafs.FileType.NotFound
 
 
 def show_query(spark: SparkSession, sql: str, max_rows: int = 50) -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from candlewick.config import MARKET_TZ
 from candlewick.operators.silver import silver_quotes
 from candlewick.sources.kafka import empty_bronze, to_bronze
-from candlewick.sources.tables import bootstrap_table, merge_silver
+from candlewick.sources.tables import bootstrap_table, merge_silver, open_store
 
 
 def start_bronze(records: DataFrame, path: str, checkpoint: str, trigger: str | None = "15 seconds",
@@ -90,13 +90,9 @@ class ProgressLog(ProgressTotals):
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
         import json
-
-        from pyarrow import fs as pafs
         super().onQueryProgress(event)
         p = event.progress
-        uri = self.folder.replace("file:", "file://", 1) if self.folder.startswith("file:/") and not self.folder.startswith(
-            "file://") else self.folder
-        store, root = pafs.FileSystem.from_uri(uri)
+        store, root = open_store(self.folder)
         store.create_dir(root, recursive=True)
         row = {"query": p.name or str(p.id), "batch_id": p.batchId, "rows": p.numInputRows, "rate": p.processedRowsPerSecond}
         with store.open_output_stream(f"{root}/{p.id}-{p.batchId}.json") as out:

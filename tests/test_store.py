@@ -1,3 +1,4 @@
+import pytest
 import glob
 import json
 import os
@@ -86,7 +87,7 @@ def test_register_and_show_query(spark, tmp):
     register(spark, "lake_test", "numbers", p)
     register(spark, "lake_test", "numbers", p)
     top, n = show_query(spark, "SELECT * FROM lake_test.numbers")
-    assert n == 120 and top.count() == 50
+    assert n.first().total_rows == 120 and top.count() == 50
 
 
 def test_oplog_tail_skips_corrupt_lines(spark, tmp):
@@ -124,3 +125,85 @@ def test_merge_into_hour_partitions(spark, tmp):
     merge_into(spark, late, p, partition_col=["trading_date", "quote_hour"])
     assert {f: os.path.getmtime(f) for f in _files(p) if "quote_hour=13" in f} == before
     assert sorted(r.event_id for r in spark.read.parquet(p).collect()) == ["a13", "a14", "b14"]
+
+
+def _silver_like(spark, rows_):
+    return spark.createDataFrame(rows_, "ticker string, quote_ts timestamp_ntz, ingestion_ts timestamp_ntz, "
+                                 "kafka_offset long, trading_date date, v double")
+
+
+def test_merge_keeps_evolved_columns_and_prunes(spark, tmp):
+    import datetime as dt
+
+    from candlewick.sources.tables import compact, merge_into, stored
+    p = tmp + "/evolving"
+    at = lambda d, h: dt.datetime(2024, 1, d, h)
+    row = lambda t, d, h, o: (t, at(d, h), at(d, h), o, dt.date(2024, 1, d), float(o))
+    merge_into(spark, _silver_like(spark, [row("a", 1, 1, 1)]), p)
+    merge_into(spark, _silver_like(spark, [row("b", 2, 1, 2)]).withColumn("cap", F.lit(99.0)), p)
+    merge_into(spark, _silver_like(spark, [row("c", 2, 2, 3)]), p)
+    assert {r.ticker: r.cap for r in stored(spark, p).collect()} == {"a": None, "b": 99.0, "c": None}
+    compact(spark, p, "trading_date")
+    assert {r.ticker: r.cap for r in stored(spark, p).collect()} == {"a": None, "b": 99.0, "c": None}
+    day = stored(spark, p).filter(F.col("trading_date").eqNullSafe(F.lit(dt.date(2024, 1, 2))))
+    day.collect()
+    assert "trading_date" in day._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_unreadable_table_raises_and_keeps_its_files(spark, tmp):
+    import datetime as dt
+    import os
+
+    from candlewick.sources.tables import merge_into
+    p = tmp + "/broken"
+    os.makedirs(p)
+    with open(p + "/part-0.parquet", "wb") as f:
+        f.write(b"PAR1 this is no parquet file PAR1")
+    now = dt.datetime(2024, 1, 1)
+    with pytest.raises(Exception):
+        merge_into(spark, _silver_like(spark, [("a", now, now, 1, now.date(), 1.0)]), p)
+    assert os.listdir(p) == ["part-0.parquet"]
+
+
+def test_full_refresh_leaves_no_old_partition(spark, tmp):
+    p = tmp + "/full"
+    for d in ("d1", "d2"):
+        write_table(spark.createDataFrame([(1, d)], "v int, d string"), p, ["d"])
+    assert [r.d for r in spark.read.parquet(p).collect()] == ["d2"]
+
+
+def test_missing_checkpoint_folder_is_an_error():
+    from candlewick.config import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(_, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+
+
+def test_zone_free_times(spark):
+    from candlewick.functions.timeutil import parse_utc
+    d = spark.createDataFrame([("2024-01-01 13:00:00",), ("2024-01-01T13:00:00Z",), ("2024-01-01T13:00:00-03:00",),
+                               ("2024-01-01T13:00:00.5+02",), ("2024-01-01",), ("x",), (None,)], "t string")
+    seen = []
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/Sao_Paulo"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            seen.append([str(r[0]) for r in d.select(parse_utc("t")).collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert seen[0] == seen[1] == ["2024-01-01 13:00:00", "2024-01-01 13:00:00", "2024-01-01 16:00:00",
+                                  "2024-01-01 11:00:00.500000", "2024-01-01 00:00:00", "None", "None"]
