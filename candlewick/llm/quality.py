@@ -150,7 +150,10 @@ def judge(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
 def keep_good(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """The rows that pass, with their own columns."""
     named = df.select(F.struct("*").alias("__row"), F.col(text).alias("__text"))
-    return judge(named, "__text", rules).where("kept").select("__row.*")
+    # The non-deterministic column holds the filter above the counts; pushed
+    # below them it would repeat every count for every rule that uses it.
+    judged = judge(named, "__text", rules).select("__row", "kept", F.monotonically_increasing_id().alias("__n"))
+    return judged.where("kept AND __n >= 0").select("__row.*")
 
 
 def op8_quality_rules(spark, sf_dir) -> DataFrame:

@@ -58,3 +58,8 @@ def test_filter_keeps_columns(frame, texts):
 def test_no_user_functions(spark, sf_dir):
     plan = quality.op8_quality_rules(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_filter_computes_the_counts_once(spark, sf_dir):
+    kept = quality.keep_good(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 2
