@@ -88,8 +88,8 @@ def gold_candles(silver: DataFrame, as_of=None, tz: str = MARKET_TZ,
 
 
 def intraday_running_state(ticks: DataFrame, chunk: str = "1 second") -> DataFrame:
-    """Per tick, the day's open, running high/low, running tick count and
-    running max cumulative volume, reset at every trading date.
+    """Per tick, the day's open, running high/low, running tick count,
+    running max and running sum of the volume, reset at every trading date.
 
     A plain running window would put a whole (ticker, day) in one task. Here
     the day is cut into time chunks: chunk summaries are combined with a
@@ -105,7 +105,8 @@ def intraday_running_state(ticks: DataFrame, chunk: str = "1 second") -> DataFra
         F.max("price").alias("c_high"),
         F.min("price").alias("c_low"),
         F.count(F.lit(1)).alias("c_n"),
-        F.max("volume").alias("c_vol"))
+        F.max("volume").alias("c_vol"),
+        F.sum("volume").alias("c_sum"))
     wd = Window.partitionBy(*DAY).orderBy("__chunk")
     before = wd.rowsBetween(Window.unboundedPreceding, -1)
     carry = chunks.select(
@@ -114,7 +115,8 @@ def intraday_running_state(ticks: DataFrame, chunk: str = "1 second") -> DataFra
         F.max("c_high").over(before).alias("high_before"),
         F.min("c_low").over(before).alias("low_before"),
         F.coalesce(F.sum("c_n").over(before), F.lit(0)).alias("n_before"),
-        F.max("c_vol").over(before).alias("vol_before"))
+        F.max("c_vol").over(before).alias("vol_before"),
+        F.sum("c_sum").over(before).alias("sum_before"))
     wc = Window.partitionBy(*keys).orderBy("quote_ts")
     run = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     j = t.join(carry, keys, "inner")
@@ -124,4 +126,7 @@ def intraday_running_state(ticks: DataFrame, chunk: str = "1 second") -> DataFra
         F.least(F.col("low_before"), F.min("price").over(run)).alias("day_low"),
         (F.col("n_before") + F.row_number().over(wc)).alias("ticks_so_far"),
         F.greatest(F.col("vol_before"), F.max("volume").over(run)).alias("volume_so_far"),
+        # NULL only while no reading of the day has a volume.
+        F.coalesce(F.col("sum_before") + F.sum("volume").over(run), "sum_before", F.sum("volume").over(run))
+        .alias("volume_sum_so_far"),
     )

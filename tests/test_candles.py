@@ -91,5 +91,6 @@ def test_running_state_equals_plain_window(spark):
                    F.min("price").over(w).alias("day_low"),
                    F.row_number().over(Window.partitionBy("ticker", "trading_date").orderBy("quote_ts"))
                    .cast("long").alias("ticks_so_far"),
-                   F.max("volume").over(w).alias("volume_so_far"))
+                   F.max("volume").over(w).alias("volume_so_far"),
+                   F.sum("volume").over(w).alias("volume_sum_so_far"))
     assert rows(got) == rows(exp)
