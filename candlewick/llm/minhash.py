@@ -220,7 +220,8 @@ def _prefix_pairs(sides: DataFrame, texts: DataFrame, width: int, pct: int) -> D
     # Shingles of one set only match nothing; they hold the first places.
     common = every.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     own = Window.partitionBy("cls")
-    ranked = (every.join(common, "gram").join(sides, "cls")
+    # The planner cannot know how many shingles come out: no broadcast of them.
+    ranked = (every.hint("merge").join(common, "gram").join(sides, "cls")
               .withColumn("place", F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("c", "gram")) - 1)
               .where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * pct / 100))
               .select("gram", "cls", "n", "root", "outer", "place"))

@@ -169,4 +169,5 @@ def op9_feistel_shards(spark, sf_dir) -> DataFrame:
     rows, n = placed(pieces)
     back = read(write(rows, n, folder), folder)
     back = back.select("slot", F.col("length").alias("length"), F.crc32("ids").alias("ids_crc32"))
-    return rows.select("doc_id", "piece", "start", "slot", "shard", "position").join(back, "slot")
+    # Rows that come out of a reader have no size the planner could know: no broadcast.
+    return rows.select("doc_id", "piece", "start", "slot", "shard", "position").join(back.hint("merge"), "slot")
