@@ -8,10 +8,14 @@ near an entity reveals it when the corpus says so: with document frequencies
     PMI(e; t) / IC(e) = log(N n_et / (n_e n_t)) / log(N / n_e),
 
 1 when the term occurs only with the entity, 0 when it is independent of it.
-Terms at ``GENERALISE_AT`` or more are generalised to their word class, at
-``REMOVE_AT`` or more removed, next to that entity. A pair needs MIN_TEXTS
-different texts, so chance neighbours and copies of one text count for nothing;
-documents without personal data are never touched.
+It is weighted by the odds that the pair is no chance meeting: PRIOR_ODDS times
+the likelihood ratio of the k among the entity's n different texts that hold the
+term, at the share k / n against the term's share n_t / N of all documents. So
+entities seen once or twice are judged too, by how rare the term is, and copies
+of one text are evidence once. Terms whose weighted disclosure (``sure``) is
+``GENERALISE_AT`` or more are generalised to their word class, at ``REMOVE_AT``
+or more removed, next to that entity; documents without personal data are never
+touched.
 
 DataFrame functions only. The patterns use possessive repeats and look-behinds
 where these give the same matches, so no text needs deep recursion or quadratic
@@ -29,7 +33,7 @@ from candlewick.llm.common import let, materialise, table
 KINDS = ("email", "ip", "card", "phone")
 WINDOW_CHARS = 80
 MIN_TERM_CHARS = 3
-MIN_TEXTS = 3
+PRIOR_ODDS = 1e-3
 GENERALISE_AT = 0.75
 REMOVE_AT = 0.95
 BROADCAST_TERMS = 10_000
@@ -151,8 +155,17 @@ def _near(text: Column, spans: Column) -> Column:
         s["entity"].alias("entity"), F.filter(F.concat(side(s, True), side(s, False)), outside).alias("terms")))
 
 
+def _sure(disclosure: Column, total: Column) -> Column:
+    """Disclosure times the probability that the pair is no chance meeting, from
+    ``texts`` of the entity's ``texts_e`` texts and ``n_t`` of ``total`` documents."""
+    k, n, q0 = F.col("texts"), F.col("texts_e"), F.col("n_t") / total
+    q1 = k / n
+    ratio = k * F.log(q1 / q0) + F.when(k < n, (n - k) * F.log((1 - q1) / (1 - q0))).otherwise(0.0)
+    return F.when(q1 > q0, disclosure / (1 + F.exp(-ratio) / PRIOR_ODDS)).otherwise(0.0)
+
+
 def disclosing(found: DataFrame, documents: DataFrame, text: str) -> DataFrame:
-    """row_id, start, end, disclosure of the terms to sanitise.
+    """row_id, start, end, disclosure, sure of the terms to sanitise.
 
     ``found``: row_id, text_hash, near (entity, terms), materialised.
     ``documents``: all documents, for the corpus counts."""
@@ -161,30 +174,31 @@ def disclosing(found: DataFrame, documents: DataFrame, text: str) -> DataFrame:
         "row_id", "text_hash", "entity", "t.term", "t.start", "t.end")
     pairs = (mentions.select("entity", "term", "row_id", "text_hash").distinct()
              .groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
-             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("n_et"))
-             .where(F.col("texts") >= MIN_TEXTS))
-    pairs = materialise(pairs.select("entity", "term", "n_et"), "pairs")
+             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("n_et")))
+    pairs = materialise(pairs, "pairs")
     terms = materialise(pairs.select("term").distinct(), "terms")
     words = documents.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text)), NO_TERM))).alias("term"))
     if terms.count() <= BROADCAST_TERMS:
         counts = words.join(F.broadcast(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     else:
         counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term")
-    entities = (found.select(F.explode(F.array_distinct(F.transform("near", lambda m: m["entity"]))).alias("entity"))
-                .groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
+    entities = (found.select("text_hash", F.explode(F.array_distinct(F.transform("near", lambda m: m["entity"]))).alias("entity"))
+                .groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), F.count_distinct("text_hash").alias("texts_e")))
     total = F.lit(documents.count()).cast("double")
     rated = (pairs.join(counts, "term").join(entities, "entity")
              .withColumn("ic", F.log(total / F.col("n_e")))
              .withColumn("disclosure", F.when(F.col("ic") > 0, F.log(
                  total * F.col("n_et") / (F.col("n_e").cast("double") * F.col("n_t"))) / F.col("ic")))
-             .where(F.col("disclosure") >= GENERALISE_AT).select("entity", "term", "disclosure"))
+             .withColumn("sure", _sure(F.col("disclosure"), total))
+             .where(F.col("sure") >= GENERALISE_AT).select("entity", "term", "sure", "disclosure"))
     return (mentions.join(rated, ["entity", "term"])
-            .groupBy("row_id", "start", "end").agg(F.max("disclosure").alias("disclosure")))
+            .groupBy("row_id", "start", "end").agg(F.max(F.struct("sure", "disclosure")).alias("m"))
+            .select("row_id", "start", "end", "m.disclosure", "m.sure"))
 
 
 def detect(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (default: all) with ``base`` (spans by kind) and
-    ``terms`` (start, end, disclosure, sorted). Output names that exist are an error."""
+    ``terms`` (start, end, disclosure, sure, sorted). Output names that exist are an error."""
     if clash := {"row_id", "text_hash", "near", "base", "terms"} & {c.lower() for c in df.columns}:
         raise ValueError(f"input already has {sorted(clash)}")
     keep = df.columns if keep is None else keep
@@ -195,8 +209,8 @@ def detect(df: DataFrame, text: str = "text", keep: list[str] | None = None) ->
         F.when(F.size("__spans") > 0, _near(F.col("__text"), F.col("__spans"))).alias("near")), "found")
     marked = disclosing(found.select("row_id", "text_hash", "near").where("near is not null"),
                         df.select(t.alias("__text")), "__text")
-    terms = marked.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
-    empty = F.array().cast("array<struct<start:int,end:int,disclosure:double>>")
+    terms = marked.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure", "sure"))).alias("terms"))
+    empty = F.array().cast("array<struct<start:int,end:int,disclosure:double,sure:double>>")
     return (found.drop("near", "text_hash").join(terms, "row_id", "left")
             .withColumn("terms", F.coalesce("terms", empty)).drop("row_id"))
 
@@ -214,7 +228,7 @@ def sanitise(df: DataFrame, text: str = "text") -> DataFrame:
         return lambda s: F.lit(f"<{kind.upper()}>")
 
     def term(s: Column) -> Column:
-        return F.when(s["disclosure"] >= REMOVE_AT, F.lit("")).otherwise(F.lit("<TERM>"))
+        return F.when(s["sure"] >= REMOVE_AT, F.lit("")).otherwise(F.lit("<TERM>"))
 
     marks = [*(F.transform(F.col(f"base.{k}"), mark(tag(k))) for k in KINDS), F.transform("terms", mark(term))]
 

@@ -86,6 +86,18 @@ def test_sanitise(spark, frame, texts):
     assert disclosure.sanitise(d.limit(0)).collect() == []
 
 
+def test_entities_seen_once_or_twice(spark):
+    """Judged by how rare the term is; copies of one text are evidence once."""
+    few = ["Zorblat wrote to once@x.org yesterday", "Quillfeather wrote twice@x.org, yesterday 1",
+           "yesterday 2 twice@x.org Quillfeather wrote"] + ["copied@x.org from Mimblewick"] * 150
+    rest = spark.range(20000).selectExpr("concat('they wrote ', id, ' yesterday') AS text")
+    d = rest.union(spark.createDataFrame([(t,) for t in few], "text string"))
+    out = [r for r in disclosure.detect(d).collect() if not r.text.startswith("they")]
+    words = {r.text: [(r.text[s.start:s.end], s.sure >= disclosure.REMOVE_AT) for s in r.terms] for r in out}
+    assert len(out) == len(few)
+    assert [words[t] for t in few[:4]] == [[("Zorblat", True)], [("Quillfeather", True)], [("Quillfeather", True)], []]
+
+
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = disclosure.op7_disclosure(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
