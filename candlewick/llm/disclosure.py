@@ -2,8 +2,9 @@
 
 Base spans are e-mail addresses, IPv4 addresses, card numbers (Luhn) and phone
 numbers, found by patterns. Every distinct value is a protected entity. A term
-near an entity reveals it when the corpus says so: with document frequencies
-``n_e``, ``n_t``, ``n_et`` among ``N`` documents, the disclosure is
+in an entity's documents, wherever it stands, reveals it when the corpus says so:
+with document frequencies ``n_e``, ``n_t``, ``n_et`` among ``N`` documents, the
+disclosure is
 
     PMI(e; t) / IC(e) = log(N n_et / (n_e n_t)) / log(N / n_e),
 
@@ -14,8 +15,8 @@ term, at the share k / n against the term's share n_t / N of all documents. So
 entities seen once or twice are judged too, by how rare the term is, and copies
 of one text are evidence once. Terms whose weighted disclosure (``sure``) is
 ``GENERALISE_AT`` or more are generalised to their word class, at ``REMOVE_AT``
-or more removed, next to that entity; documents without personal data are never
-touched.
+or more removed, at every place in each document that holds that entity;
+documents without personal data are never touched.
 
 DataFrame functions only. The patterns use possessive repeats and look-behinds
 where these give the same matches, so no text needs deep recursion or quadratic
@@ -31,7 +32,6 @@ from pyspark.sql import functions as F
 from candlewick.llm.common import let, materialise, table
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW_CHARS = 80
 MIN_TERM_CHARS = 3
 PRIOR_ODDS = 1e-3
 GENERALISE_AT = 0.75
@@ -134,25 +134,10 @@ def _all_spans() -> Column:
     return F.concat(*(F.transform(F.col(f"base.{k}"), entity(n, k)) for n, k in enumerate(KINDS)))
 
 
-def _near(text: Column, spans: Column) -> Column:
-    """Terms within WINDOW_CHARS of each span, whole words outside all spans."""
-    def side(s: Column, left: bool) -> Column:
-        # One more character than the window tells whether its edge cuts a word.
-        first = F.greatest(s["start"] - WINDOW_CHARS - 1, F.lit(0)) if left else s["end"]
-        size = (s["start"] - first) if left else F.lit(WINDOW_CHARS + 1)
-        window = F.substring(text, first + 1, size)
-        return let(window, lambda w: F.transform(
-            F.filter(_spans(w, TERM), lambda x: (F.length(x["value"]) >= MIN_TERM_CHARS)
-                     & ((x["start"] > 0) | (first == 0) if left else
-                        (x["end"] < F.length(w)) | (F.length(w) <= WINDOW_CHARS))),
-            lambda x: F.struct((first + x["start"]).alias("start"), (first + x["end"]).alias("end"),
-                               F.lower(x["value"]).alias("term"))))
-
-    def outside(x: Column) -> Column:
-        return ~F.exists(spans, lambda o: (o["start"] < x["end"]) & (x["start"] < o["end"]))
-
-    return F.transform(spans, lambda s: F.struct(
-        s["entity"].alias("entity"), F.filter(F.concat(side(s, True), side(s, False)), outside).alias("terms")))
+def _words(text: Column) -> Column:
+    """The distinct terms of a text, in lower case."""
+    parts = F.filter(F.array_distinct(F.split(text, NO_TERM)), lambda w: F.length(w) >= MIN_TERM_CHARS)
+    return F.array_distinct(F.transform(parts, F.lower))
 
 
 def _sure(disclosure: Column, total: Column) -> Column:
@@ -164,55 +149,71 @@ def _sure(disclosure: Column, total: Column) -> Column:
     return F.when(q1 > q0, disclosure / (1 + F.exp(-ratio) / PRIOR_ODDS)).otherwise(0.0)
 
 
-def disclosing(found: DataFrame, documents: DataFrame, text: str) -> DataFrame:
+def _sets(holders: DataFrame) -> DataFrame:
+    """row_id, text_hash and the distinct sets of documents (set, n_e, texts_e) of
+    the entities in it: entities of the same documents share all their counts."""
+    held = holders.select("row_id", "text_hash", F.explode("entities").alias("entity"))
+    sets = held.groupBy("entity").agg(
+        F.struct(F.bit_xor(F.xxhash64("row_id")).alias("a"), F.bit_xor(F.xxhash64("row_id", F.lit(1))).alias("b")).alias("set"),
+        F.count(F.lit(1)).alias("n_e"), F.count_distinct("text_hash").alias("texts_e"))
+    return held.join(sets, "entity").drop("entity").distinct()
+
+
+def disclosing(holders: DataFrame, documents: DataFrame, text: str) -> DataFrame:
     """row_id, start, end, disclosure, sure of the terms to sanitise.
 
-    ``found``: row_id, text_hash, near (entity, terms), materialised.
-    ``documents``: all documents, for the corpus counts."""
-    mentions = found.select("row_id", "text_hash", F.explode("near").alias("m")).select(
-        "row_id", "text_hash", "m.entity", F.explode("m.terms").alias("t")).select(
-        "row_id", "text_hash", "entity", "t.term", "t.start", "t.end")
-    pairs = (mentions.select("entity", "term", "row_id", "text_hash").distinct()
-             .groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
-             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("n_et")))
-    pairs = materialise(pairs, "pairs")
-    terms = materialise(pairs.select("term").distinct(), "terms")
-    words = documents.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text)), NO_TERM))).alias("term"))
+    ``holders``: row_id, text_hash, entities, body (text) of the documents with
+    personal data, materialised. ``documents``: all documents, for the counts."""
+    mentioned = holders.select("row_id", F.explode(_words(F.col("body"))).alias("term"))
+    terms = materialise(mentioned.select("term").distinct(), "terms")
+    words = documents.select(F.explode(_words(F.col(text))).alias("term"))
     if terms.count() <= BROADCAST_TERMS:
         counts = words.join(F.broadcast(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     else:
         counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term")
-    entities = (found.select("text_hash", F.explode(F.array_distinct(F.transform("near", lambda m: m["entity"]))).alias("entity"))
-                .groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), F.count_distinct("text_hash").alias("texts_e")))
     total = F.lit(documents.count()).cast("double")
-    rated = (pairs.join(counts, "term").join(entities, "entity")
-             .withColumn("ic", F.log(total / F.col("n_e")))
-             .withColumn("disclosure", F.when(F.col("ic") > 0, F.log(
-                 total * F.col("n_et") / (F.col("n_e").cast("double") * F.col("n_t"))) / F.col("ic")))
+    ic = F.log(total / F.col("n_e"))
+    # n_et <= n_e, so no other pair can reach the threshold.
+    able = F.log(total / F.col("n_t")) >= GENERALISE_AT * ic - 1e-9
+    pairs = materialise(mentioned.join(counts, "term").join(_sets(holders), "row_id").where((ic > 0) & able), "pairs")
+    rated = (pairs.groupBy("set", "term", "n_e", "texts_e", "n_t", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+             .groupBy("set", "term", "n_e", "texts_e", "n_t").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("n_et"))
+             .withColumn("disclosure", F.log(
+                 total * F.col("n_et") / (F.col("n_e").cast("double") * F.col("n_t"))) / ic)
              .withColumn("sure", _sure(F.col("disclosure"), total))
-             .where(F.col("sure") >= GENERALISE_AT).select("entity", "term", "sure", "disclosure"))
-    return (mentions.join(rated, ["entity", "term"])
-            .groupBy("row_id", "start", "end").agg(F.max(F.struct("sure", "disclosure")).alias("m"))
-            .select("row_id", "start", "end", "m.disclosure", "m.sure"))
+             .where(F.col("sure") >= GENERALISE_AT).select("set", "term", "sure", "disclosure"))
+    marked = (pairs.select("row_id", "set", "term").join(rated, ["set", "term"])
+              .groupBy("row_id", "term").agg(F.max(F.struct("sure", "disclosure")).alias("m")))
+    places = (holders.select("row_id", F.explode(_spans(F.col("body"), TERM)).alias("s"))
+              .select("row_id", F.lower("s.value").alias("term"), "s.start", "s.end"))
+    return places.join(marked, ["row_id", "term"]).select("row_id", "start", "end", "m.disclosure", "m.sure")
 
 
 def detect(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (default: all) with ``base`` (spans by kind) and
     ``terms`` (start, end, disclosure, sure, sorted). Output names that exist are an error."""
-    if clash := {"row_id", "text_hash", "near", "base", "terms"} & {c.lower() for c in df.columns}:
+    if clash := {"row_id", "text_hash", "entities", "body", "base", "terms"} & {c.lower() for c in df.columns}:
         raise ValueError(f"input already has {sorted(clash)}")
     keep = df.columns if keep is None else keep
     t = F.coalesce(F.col(text), F.lit(""))
     based = find(df.select("*", t.alias("__text")), "__text").withColumn("__spans", _all_spans())
+    holds = F.size("__spans") > 0
     found = materialise(based.select(
         *keep, F.monotonically_increasing_id().alias("row_id"), F.xxhash64("__text").alias("text_hash"), "base",
-        F.when(F.size("__spans") > 0, _near(F.col("__text"), F.col("__spans"))).alias("near")), "found")
-    marked = disclosing(found.select("row_id", "text_hash", "near").where("near is not null"),
+        F.when(holds, F.array_distinct(F.transform("__spans", lambda x: x["entity"]))).alias("entities"),
+        F.when(holds, F.col("__text")).alias("body")), "found")
+    marked = disclosing(found.select("row_id", "text_hash", "entities", "body").where("body is not null"),
                         df.select(t.alias("__text")), "__text")
-    terms = marked.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure", "sure"))).alias("terms"))
+    terms = marked.groupBy("row_id").agg(
+        F.sort_array(F.collect_list(F.struct("start", "end", "disclosure", "sure"))).alias("terms"))
+    spans = F.concat(*(F.transform(F.col(f"base.{k}"), lambda x: F.struct(x["start"], x["end"])) for k in KINDS))
+
+    def outside(x: Column) -> Column:
+        return ~F.exists(spans, lambda o: (o["start"] < x["end"]) & (x["start"] < o["end"]))
+
     empty = F.array().cast("array<struct<start:int,end:int,disclosure:double,sure:double>>")
-    return (found.drop("near", "text_hash").join(terms, "row_id", "left")
-            .withColumn("terms", F.coalesce("terms", empty)).drop("row_id"))
+    return (found.drop("entities", "body", "text_hash").join(terms, "row_id", "left")
+            .withColumn("terms", F.coalesce(F.filter("terms", outside), empty)).drop("row_id"))
 
 
 def sanitise(df: DataFrame, text: str = "text") -> DataFrame:

@@ -98,6 +98,19 @@ def test_entities_seen_once_or_twice(spark):
     assert [words[t] for t in few[:4]] == [[("Zorblat", True)], [("Quillfeather", True)], [("Quillfeather", True)], []]
 
 
+def test_terms_far_from_the_span(spark, frame):
+    """Counted by document and sanitised at every place, also far from the span."""
+    gap = "they often walk along " * 20
+    t = [f"Quixworth {i} {gap} Brontide {gap} Quixworth, q.w@mail.org {gap} QUIXWORTH" for i in range(4)]
+    t += [f"they often walk along {i} miles" for i in range(200)]
+    rows = {r.word: r for r in disclosure.detect(frame(t)).collect()}
+    for i, text in enumerate(t):
+        words = [text[s.start:s.end] for s in rows[i].terms]
+        assert words == (["Quixworth", "Brontide", "Quixworth", "QUIXWORTH"] if i < 4 else [])
+    out = {r.word: r.text for r in disclosure.sanitise(frame(t)).collect()}
+    assert all("quixworth" not in out[i].lower() and "Brontide" not in out[i] for i in range(4)) and out[4] == t[4]
+
+
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = disclosure.op7_disclosure(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
