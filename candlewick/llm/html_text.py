@@ -5,7 +5,11 @@ for its length and commas to its container and, in falling shares, to the
 ancestors above; an element's points are discounted by its link density. The
 best container, widened to the article that holds it, is kept together with
 siblings that score like it; menus, headers, footers, asides, forms, notices,
-adverts and reader comments are left out by element, role and class.
+adverts and reader comments are left out by element, role and class. A form, role,
+class or id leaves an element out only if it holds neither the main element, the
+largest article nor most of the page's text; a name that is only partly one of
+boilerplate must hold a small share. Ids inside an article are taken as slugs. A
+page that would be empty is scored again with nothing left out but by element.
 
 Inside a block white space becomes one blank; blocks are joined by an empty
 line. Null or empty pages, and pages without text, give an empty text. Cut-off
@@ -45,8 +49,10 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
           "th": ("td", "th"), "option": ("option",)}
 HOLDER = frozenset("html body div article section main table ul ol dl td th aside nav header footer form".split())
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 # Elements, roles and class words of boilerplate.
-DROPPED = frozenset("nav aside footer form button select menu dialog svg template object canvas audio video map".split())
+DROPPED = frozenset("nav aside footer button select menu dialog svg template object canvas audio video map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 CLASSES = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion sidebar menu "
@@ -58,15 +64,20 @@ COMMENTS = frozenset("comment comments commentlist disqus respond reply replies
 BASE_POINTS = {"article": 25, "main": 20, "section": 5, "div": 5, "pre": 3, "td": 3, "blockquote": 3,
                "address": -3, "ul": -3, "ol": -3, "dl": -3, "form": -3, "th": -5}
 LEVELS = 5
+# How sure it is that an element is boilerplate, and the share of the page's text
+# outside links from which it is not left out all the same.
+PARTLY, NAMED, READERS, SURE = 1, 2, 3, 4
+SHARES = {PARTLY: 0.2, NAMED: 0.5}
 
 
 class Element:
-    __slots__ = ("tag", "parent", "dropped", "link", "points", "length", "linked")
+    __slots__ = ("tag", "parent", "dropped", "link", "points", "length", "linked", "doubt", "plain")
 
-    def __init__(self, tag: str, parent: Element | None, dropped: bool, link: bool):
+    def __init__(self, tag: str, parent: Element | None, dropped: bool, link: bool, doubt: int = 0):
         self.tag, self.parent, self.dropped, self.link = tag, parent, dropped, link
         self.points = 0.0
-        self.length = self.linked = 0
+        self.length = self.linked = self.plain = 0
+        self.doubt = doubt
 
     def up(self) -> Iterator[Element]:
         e = self
@@ -75,60 +86,99 @@ class Element:
             e = e.parent
 
 
-def _boilerplate(tag: str, attributes: str, inside: bool) -> bool:
-    """``inside``: within an article or main element."""
+def _boilerplate(tag: str, attributes: str, inside: bool) -> int:
+    """0 or one of PARTLY to SURE. ``inside``: within an article or main element."""
     if tag in DROPPED or tag == "header" and not inside:
-        return True
+        return SURE
+    level = NAMED if tag == "form" else 0
     if "=" not in attributes and "hidden" not in attributes or tag in ("html", "body", "main"):
-        return False
-    words: set[str] = set()
+        return level
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name in ("class", "id"):
             for c in value.split():
-                parts = re.split(r"[_-]+", c)
-                if parts[0] not in ("has", "no", "with", "is"):
-                    words.update(parts)
-        elif name == "role" and value in ROLES or name == "aria-hidden" and value == "true":
-            return True
+                parts = set(filter(None, re.split(r"[_-]+", c)))
+                if re.match(r"(?:has|no|with|is)(?:[_-]|$)", c):
+                    continue
+                if parts and parts <= COMMENTS and tag not in HEADINGS:
+                    level = max(level, READERS)
+                elif tag == "article" or name == "id" and inside:
+                    continue
+                elif parts and parts <= CLASSES or c == "header" and not inside:
+                    level = max(level, NAMED)
+                elif parts & CLASSES or "header" in parts and not inside:
+                    level = max(level, PARTLY)
+        elif name == "aria-hidden" and value == "true":
+            return SURE
+        elif name == "role" and value in ROLES:
+            level = max(level, NAMED)
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return SURE
     if re.search(r"(?:^|\s)hidden(?:\s|$)", attributes.lower()):
-        return True
-    if tag == "article":
-        return bool(words & COMMENTS)
-    return bool(words & CLASSES) or "header" in words and not inside
+        return SURE
+    return level
+
+
+def _leave_out(elements: list[Element]) -> None:
+    """Mark the elements that are left out for their names, with all inside."""
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.plain += e.plain
+    page = elements[0].plain
+    whole = [e for e in elements if e.tag == "main" and not e.dropped]
+    articles = [e for e in elements if e.tag == "article" and not e.dropped
+                and not any(x.doubt == READERS for x in e.up())]
+    if articles:
+        whole.append(max(articles, key=lambda e: e.plain))
+    holders = {x for e in whole for x in e.up()}
+    for e in elements:
+        if e.parent is not None and e.parent.dropped:
+            e.dropped = True
+        elif e.doubt and e not in holders:
+            e.dropped = e.dropped or e.doubt == READERS or e.plain < SHARES[e.doubt] * page or not e.plain
 
 
 def blocks(html: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
     """Text blocks in page order, without boilerplate: the element that holds
     the block, its text, and how many of its characters are link text. And all
     elements, parents first."""
-    out: list[tuple[Element, str, int]] = []
+    read, elements = _read(html)
+    _leave_out(elements)
+    out = _join(read, lambda e: not e.dropped)
+    return out or _join(read, lambda e: True), elements
+
+
+def _join(read: list[tuple[Element, list[tuple[Element, str]]]], stays) -> list[tuple[Element, str, int]]:
+    out = []
+    for holder, pieces in read:
+        pieces = [(e, s) for e, s in pieces if stays(e)]
+        if t := " ".join("".join(s for _, s in pieces).split()):
+            out.append((holder, t, min(sum(len(s.strip()) for e, s in pieces if e.link), len(t))))
+    return out
+
+
+def _read(html: str) -> tuple[list[tuple[Element, list[tuple[Element, str]]]], list[Element]]:
+    """Per block the element that holds it and its pieces of text with the
+    elements they stand in, but for what is surely boilerplate. And all elements."""
+    out: list[tuple[Element, list[tuple[Element, str]]]] = []
     root = now = Element("#page", None, False, False)
     elements = [root]
     opened: dict[str, int] = {}
-    text: list[str] = []
-    linked = 0
+    text: list[tuple[Element, str]] = []
     articles = 0  # open article and main elements
 
     def flush() -> None:
-        nonlocal linked
         if text:
-            t = " ".join("".join(text).split())
-            if t:
-                holder = next(e for e in now.up() if e.tag in BLOCK or e is root)
-                out.append((holder, t, min(linked, len(t))))
+            holder = next(e for e in now.up() if e.tag in BLOCK or e is root)
+            out.append((holder, text.copy()))
             text.clear()
-        linked = 0
 
     def add(s: str) -> None:
-        nonlocal linked
         if s and not now.dropped:
             s = unescape(s) if "&" in s else s
-            text.append(s)
-            if now.link:
-                linked += len(s.strip())
+            text.append((now, s))
+            if not now.link:
+                now.plain += len(s.strip())
 
     def close(e: Element) -> None:
         """Leave the open elements up to and with e."""
@@ -185,7 +235,8 @@ def blocks(html: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
                 if last is not None:
                     close(last)
                 flush()
-            now = Element(tag, now, now.dropped or _boilerplate(tag, attributes, articles > 0), now.link or tag == "a")
+            doubt = _boilerplate(tag, attributes, articles > 0)
+            now = Element(tag, now, now.dropped or doubt == SURE, now.link or tag == "a", doubt % SURE)
             elements.append(now)
             opened[tag] = opened.get(tag, 0) + 1
             articles += tag in ("article", "main")

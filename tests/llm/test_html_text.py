@@ -46,6 +46,21 @@ def test_siblings_are_kept():
     assert main_text(page) == f"Head\n\n{LONG}\n\n{LONG}\n\n{LONG}"
 
 
+def test_names_do_not_hide_the_article():
+    both = f"{LONG}\n\n{LONG}"
+    body = f"<p>{LONG}</p><p>{LONG}</p>"
+    nav = f"<nav><a href=1>{LONG}</a></nav>"
+    for page in (f'{nav}<div class="content-sidebar-wrap"><main>{body}</main></div>',
+                 f'{nav}<div class="content right-sidebar">{body}</div>', f"<body><form>{nav}{body}</form></body>",
+                 f'<div id="overlay"><article>{body}</article></div><div class="sidebar"><p>{LONG} side</p></div>',
+                 f'<div class="comments">{body}</div>'):
+        assert main_text(page) == both, page
+    page = f"""<article><h2 id="sharing-your-data">Head</h2><section id="social-impact">{body}</section>
+      <section id="menu-options"><p>{LONG}</p></section><h2 id="notice">End</h2><div class="ad">{LONG}</div>
+      <p>{LONG}<span class="share">x</span></p></article><section id="comments"><article class="comment">{body * 9}</article></section>"""
+    assert main_text(page) == f"Head\n\n{both}\n\n{LONG}\n\nEnd\n\n{LONG}"
+
+
 def test_odd_inputs():
     assert main_text(None) == main_text("") == main_text("<div></div>") == main_text("<!-- x") == ""
     assert main_text("just text &am &#x41;&#0;") == "just text &am A�"
