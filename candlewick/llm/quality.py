@@ -15,7 +15,7 @@ one, so repeats and ties need no rule; other columns pass through.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +58,11 @@ RULES = (
 )
 
 
+# The filter judges long texts by their ratios, as any other length; only the
+# registered query keeps the upper bound that its SQL states.
+FILTER_RULES = tuple(replace(r, high=None) if r.name == "words" else r for r in RULES)
+
+
 def _repeat_words(words: Column) -> Column:
     """Word positions inside a 3-word window that occurs twice or more.
 
@@ -147,7 +152,7 @@ def judge(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
                     (~base & (F.size(failed) == 0)).alias("kept"))
 
 
-def keep_good(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
+def keep_good(df: DataFrame, text: str = "text", rules=FILTER_RULES) -> DataFrame:
     """The rows that pass, with their own columns."""
     named = df.select(F.struct("*").alias("__row"), F.col(text).alias("__text"))
     # The non-deterministic column holds the filter above the counts; pushed

@@ -55,6 +55,13 @@ def test_filter_keeps_columns(frame, texts):
     assert quality.keep_good(clash).columns == clash.columns
 
 
+def test_filter_keeps_books(frame):
+    book = " ".join("the " + "".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(50_001))
+    assert len(book.split()) == 100_002
+    assert [r.text for r in quality.keep_good(frame([book])).collect()] == [book]
+    assert quality.keep_good(frame([book]), rules=quality.RULES).collect() == []
+
+
 def test_no_user_functions(spark, sf_dir):
     plan = quality.op8_quality_rules(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
