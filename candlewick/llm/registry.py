@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from candlewick.llm import (byte_bpe, disclosure, hamming, html_text, lexical_search, minhash, packing,
-                            quality, sharding, token_output, warc)
+from candlewick.llm import (byte_bpe, conversation_repair, disclosure, hamming, html_text, language_id,
+                            lexical_search, minhash, packing, quality, sharding, token_output, warc)
 
 QUERIES = {
     "op1_proportional_interleave": sharding.op1_proportional_interleave,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_feistel_shards": token_output.op9_feistel_shards,
     "op10_superminhash": minhash.op10_superminhash,
+    "op11_glr_repair": conversation_repair.op11_glr_repair,
+    "op12_subword_softmax": language_id.op12_subword_softmax,
     "op13_pipelined_terms": lexical_search.op13_pipelined_terms,
 }
 
@@ -23,5 +25,6 @@ SQL: dict[str, str] = {
     "op4_multi_index_hashing": hamming.SQL,
     "op5_warc_salvage": warc.SQL,
     "op8_quality_rules": quality.SQL,
+    "op11_glr_repair": conversation_repair.SQL,
     "op13_pipelined_terms": lexical_search.SQL,
 }
