@@ -7,8 +7,8 @@ trained together by stochastic gradient descent in numpy; each step draws a few
 of a text's subwords, so that short texts are met as well as long ones.
 
 Training takes at most ``PER_LANGUAGE`` labelled rows of each language (a
-documented bound; languages are a closed set), those of the smallest seeded hash.
-Their whole texts are counted by Spark, one task trains, and every fifth row is
+documented bound; languages are a closed set), those of the smallest seeded hash
+among about twice as many drawn by that hash. Their whole texts are counted by Spark, one task trains, and every fifth row is
 kept aside to calibrate: a temperature is fitted to it, and the rejection
 threshold is the lowest score at and above which its predictions are right
 ``TARGET`` of the time. Rejected rows keep their language and are marked.
@@ -190,15 +190,16 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     labelled = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & _has_letter("text")).withColumn(
         "h", F.xxhash64(F.lit(SEED), "key", F.length("text")))
-    least = Window.partitionBy("lang").orderBy("h")
-    few = F.row_number().over(least) <= per_language
-    bounds = {r["lang"]: r["h"] for r in labelled.select("lang", "h").withColumn("few", few).where("few")
-              .groupBy("lang").agg(F.max("h").alias("h")).collect()}
-    if not bounds:
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}   # one row per language
+    if not sizes:
         return None
-    bound = F.create_map(*(F.lit(x) for item in bounds.items() for x in item))[F.col("lang")]
-    sample = subwords(labelled.where(F.col("h") <= bound).select("lang", "h", "text")).where(F.length("ids") > 0)
-    sample = materialise(sample.withColumn("few", few).where("few").drop("few"), "language-sample")
+    # About twice the rows wanted, by the hash alone: what is ranked stays small.
+    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, 2.0 * per_language / n)))[F.col("lang")]
+    drawn = labelled.where(F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53)) < share)
+    sample = subwords(drawn.select("lang", "h", "text")).where(F.length("ids") > 0)
+    least = Window.partitionBy("lang").orderBy("h")
+    sample = materialise(sample.withColumn("few", F.row_number().over(least) <= per_language).where("few").drop("few"),
+                         "language-sample")
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["h", "lang", "ids", "counts"], ignore_index=True)
