@@ -81,7 +81,8 @@ def epoch_seconds(ts_utc: Column | str) -> Column:
     return F.unix_timestamp(_c(ts_utc))
 
 
-def _interval_micros(width: str) -> int:
+def interval_micros(width: str) -> int:
+    """Micro-seconds of a width such as "15 minutes"."""
     n, unit = width.strip().split()
     unit = unit.lower().rstrip("s")
     scale = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
@@ -95,7 +96,7 @@ def bucket_start(ts_utc: Column | str, width: str) -> Column:
     Exact integer NTZ arithmetic: equals ``date_trunc`` for minute/hour widths
     in any session time zone and supports arbitrary widths.
     """
-    w = F.lit(_interval_micros(width))
+    w = F.lit(interval_micros(width))
     epoch = F.expr(_EPOCH)
     micros = F.timestamp_diff("MICROSECOND", epoch, _c(ts_utc))
     return F.timestamp_add("MICROSECOND", micros - F.pmod(micros, w), epoch)
@@ -104,7 +105,7 @@ def bucket_start(ts_utc: Column | str, width: str) -> Column:
 def market_is_open(ts_utc: Column | str, tz: str, open_at: str = MARKET_OPEN,
                    close_at: str = MARKET_CLOSE) -> Column:
     """Regular session: Monday-Friday, open <= local time <= close (inclusive), no holidays."""
-    clock = F.pmod(_local_micros(ts_utc, tz), F.lit(_interval_micros("1 day")))
+    clock = F.pmod(_local_micros(ts_utc, tz), F.lit(interval_micros("1 day")))
     return (F.weekday(market_local(ts_utc, tz)) < 5) & clock.between(_clock_micros(open_at), _clock_micros(close_at))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from candlewick.config import MARKET_TZ, REPROCESS_MINUTES
 from candlewick.functions.quotes import change_pct, feed_delay_seconds
 from candlewick.functions.timeutil import market_date
+from candlewick.functions.widening import conform, widen
 from candlewick.operators.common import top1_per_key
 from candlewick.schemas import SILVER_COLUMNS
 
@@ -98,8 +99,10 @@ def high_water_value(silver: DataFrame, reprocess_minutes: int = REPROCESS_MINUT
 
 def align(target: DataFrame, source: DataFrame) -> DataFrame:
     """Schema evolution: union by name; columns new in the source are appended
-    and are NULL for old rows."""
-    return target.unionByName(source, allowMissingColumns=True)
+    and are NULL for old rows; a column whose type differs takes the wider of both
+    (an error names those without a common type)."""
+    schema = widen(target.schema, source.schema)
+    return conform(target, schema).unionByName(conform(source, schema))
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str] = SILVER_KEY,

@@ -11,7 +11,6 @@ from candlewick.operators.common import lookback_filter, top1_per_key
 from candlewick.schemas import SNAPSHOT_COLUMNS
 
 
-
 def latest_reading() -> list:
     return [F.col("ingestion_ts").desc(), F.col("kafka_offset").desc()]
 
@@ -49,15 +48,18 @@ def ticker_snapshot(silver: DataFrame, candles: DataFrame, dim: DataFrame, as_of
     shuffle join. The day aggregate is restricted to the lookback first,
     which gives the same rows because the left side is already restricted.
     """
+    ticks = lookback_filter(silver, as_of_col(as_of), tz, lookback_days)
+    day = day_aggregate(ticks).drop("volume_dia")
+    return snapshot_of(latest_tick(ticks).join(day, ["ticker", "trading_date"], "left"), candles, dim, as_of, digits)
+
+
+def snapshot_of(latest: DataFrame, candles: DataFrame, dim: DataFrame, as_of=None, digits: int = 4) -> DataFrame:
+    """The snapshot's columns for the latest reading of each ticker, which
+    brings the tick count of its day (``n_ticks_dia``)."""
     at = as_of_col(as_of)
-    ticks = lookback_filter(silver, at, tz, lookback_days)
-    tick = latest_tick(ticks)
     candle = latest_candle(candles).withColumnRenamed("window_start", "last_candle_window")
-    day = day_aggregate(ticks).drop("volume_dia")
     d = dim.select("ticker", "company_name", "sector", "b3_index")
-    j = (tick.join(d, "ticker", "left")
-         .join(candle, "ticker", "left")
-         .join(day, ["ticker", "trading_date"], "left"))
+    j = latest.join(d, "ticker", "left").join(candle, "ticker", "left")
     return j.select(
         "ticker", "company_name", "sector", "b3_index",
         F.col("price").alias("last_price"),

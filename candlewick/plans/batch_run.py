@@ -10,15 +10,18 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.config import GOLD_LOOKBACK_DAYS, MARKET_TZ, REPROCESS_MINUTES, RUN_FAILED, RUN_OK
+from candlewick.config import GOLD_LOOKBACK_DAYS, MARKET_TZ, REPROCESS_MINUTES, RUN_FAILED, RUN_OK, as_of_col
 from candlewick.operators.candles import gold_candles
+from candlewick.operators.common import lookback_filter
+from candlewick.operators.incremental import log_changes, pending_changes, refresh_candles, refresh_day_states, \
+    settle, snapshot_from_states, touched_buckets
 from candlewick.operators.sectors import sector_performance
 from candlewick.operators.silver import high_water_value, incremental_slice, silver_quotes
 from candlewick.operators.snapshot import ticker_snapshot
-from candlewick.plans.checks import Check, evaluate, gold_suite, seed_suite, silver_suite
-from candlewick.schemas import LAYER_COUNTS
+from candlewick.plans.checks import Check, Watch, evaluate, gold_suite, seed_suite, silver_suite, status_of
+from candlewick.schemas import CANDLE_COLUMNS, LAYER_COUNTS
 from candlewick.sources.oplog import append_json
-from candlewick.sources.tables import materialize, merge_silver, stored, write_seed, write_table
+from candlewick.sources.tables import materialize, merge_silver, stored, touched_part, write_seed, write_table
 
 
 def results_frame(spark: SparkSession, rows: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -90,12 +93,15 @@ class _Run:
         self.rows.append((uid, layer, "success"))
         return True
 
-    def checks(self, suite: Sequence[Check], tables: Mapping[str, DataFrame]) -> bool:
-        """Evaluate a suite (one small row per check comes back). A suite that
+    def checks(self, suite: Sequence[Check], tables: Mapping[str, DataFrame], seen: Mapping[str, int]) -> bool:
+        """Evaluate a suite (one small row per check comes back). Checks that were
+        ``seen`` while their table was written are not run again. A suite that
         cannot run has status error throughout."""
         try:
-            found = [(r.unique_id, r.layer, r.status) for r in
-                     evaluate(suite, tables, self.as_of).select("unique_id", "layer", "status").collect()]
+            found = [(c.unique_id, c.layer, status_of(seen[c.unique_id], c.severity)) for c in suite if c.unique_id in seen]
+            left = [c for c in suite if c.unique_id not in seen]
+            found += [(r.unique_id, r.layer, r.status) for r in
+                      evaluate(left, tables, self.as_of).select("unique_id", "layer", "status").collect()] if left else []
         except Exception as e:  # noqa: BLE001
             found = [(c.unique_id, c.layer, "error") for c in suite]
             self.errors.update((c.unique_id, str(e)) for c in suite)
@@ -113,17 +119,21 @@ def build(spark: SparkSession, bronze: DataFrame, dim: DataFrame, root: str, as_
           check_all_days: bool = False, run_id: str | None = None, logical_date: str = ""):
     """The batch build: seed (+checks) -> silver (+checks) -> gold (+checks).
 
-    Every layer is written as a table under ``root`` and the checks and the
-    next layer read it back, so nothing is recomputed and each check scans
-    only its columns. With ``gate`` a layer whose checks fail stops the build
+    Every layer is written as a table under ``root`` and the next layer reads it
+    back, so nothing is recomputed. Row-level checks are counted while their table
+    is written; only checks on sets of rows (keys, relationships) scan it again,
+    and only their columns. With ``gate`` a layer whose checks fail stops the build
     before the next one starts. A model or suite that raises has status
     ``error``; it stops the build likewise, and the run is still recorded.
 
     With ``incremental`` and an existing silver table, only bronze at or after
     the stored high-water mark is read (partition-pruned) and merged first-wins
     into silver; the bronze checks run on that slice and the silver checks on
-    the days it touches (``check_all_days``: on the whole table). ``by_hour``
-    partitions silver by day and quote hour.
+    the days it touches (``check_all_days``: on the whole table). Gold follows the
+    merge: only candles that the slice changes, directly or through their
+    metrics' look-back, are recomputed (the tables' parameters must not change
+    between incremental runs). ``by_hour`` partitions silver and candles by day
+    and hour.
 
     With ``run_id`` the run's record and its alerts are appended under
     ``root/logs`` whatever happened. Returns ``(tables, results)``; results hold
@@ -131,59 +141,95 @@ def build(spark: SparkSession, bronze: DataFrame, dim: DataFrame, root: str, as_
     """
     began = time.monotonic()
     root = root.rstrip("/")
-    p = {n: f"{root}/{n}" for n in ("dim_tickers", "silver", "candles", "snapshot", "sectors", "high_water")}
+    p = {n: f"{root}/{n}" for n in ("dim_tickers", "silver", "candles", "day_states", "snapshot", "sectors",
+                                     "high_water", "changes")}
     tables = {"bronze": bronze}
     parent = {"dim_tickers": dim_parent} if dim_parent is not None else {}
     run = _Run(spark, as_of)
 
+    watched: list[Watch] = []
+
+    def watch(name: str, suite: Sequence[Check]) -> Callable[[DataFrame], DataFrame]:
+        watched.append(Watch(suite, name, as_of))
+        return watched[-1].attach
+
     def saved(name: str, work: Callable[[], None]) -> Callable[[], None]:
         def go() -> None:
             work()
-            tables[name] = spark.read.option("mergeSchema", True).parquet(p[name])
+            tables[name] = stored(spark, p[name])
         return go
 
     def silver() -> None:
         current = stored(spark, p["silver"]) if incremental else None
-        days = None
         if current is not None:
             hwm = _stored_mark(spark, p["high_water"], reprocess_minutes)
             hwm = high_water_value(current, reprocess_minutes) if hwm is None else hwm
             tables["bronze"] = incremental_slice(bronze, None, reprocess_minutes, tz, hwm=hwm)
             new = materialize(silver_quotes(tables["bronze"], tz, digits), "silver_slice")
-            days = [r[0] for r in new.select("trading_date").distinct().collect()]   # the days one slice touches
-            merge_silver(spark, new, p["silver"], by_hour)
+            log_changes(spark, touched_buckets(new, bucket), p["changes"])
+            # The merge rewrites the touched days, the rows that the checks are about.
+            whole_days = not by_hour and not check_all_days
+            merge_silver(spark, new, p["silver"], by_hour, watch("silver", silver_suite()) if whole_days else None)
         else:
             new = silver_quotes(bronze, tz, digits)
             if by_hour:
-                write_table(new.withColumn("quote_hour", F.hour("quote_ts")), p["silver"], ["trading_date", "quote_hour"])
+                write_table(new.withColumn("quote_hour", F.hour("quote_ts")), p["silver"], ["trading_date", "quote_hour"],
+                            watch=watch("silver", silver_suite()))
             else:
-                write_table(new, p["silver"], ["trading_date"])
-            new = spark.read.parquet(p["silver"])
+                write_table(new, p["silver"], ["trading_date"], watch=watch("silver", silver_suite()))
+            new = stored(spark, p["silver"])
         new.agg(F.max("ingestion_ts").alias("mark")).filter("mark IS NOT NULL").write.mode("append").parquet(p["high_water"])
-        whole = spark.read.option("mergeSchema", True).parquet(p["silver"])
-        tables["silver"] = whole
-        touched["silver"] = whole if days is None or check_all_days else whole.filter(F.col("trading_date").isin(days))
-
-    touched: dict[str, DataFrame] = {}
+        whole = tables["silver"] = stored(spark, p["silver"])
+        checked["silver"] = whole if current is None or check_all_days else touched_part(whole, new, ["trading_date"])
+        changed["keys"], changed["last"] = pending_changes(spark, p["changes"])
+        if current is None:   # everything changed
+            changed["keys"] = None
+
+    def candles() -> None:
+        """Follow the merged keys; without any, rebuild."""
+        if changed["keys"] is None:
+            full = gold_candles(tables["silver"], as_of, tz, lookback_days, bucket, digits, sma_digits)
+            if by_hour:
+                write_table(full.withColumn("candle_hour", F.hour("window_start")), p["candles"],
+                            ["trading_date", "candle_hour"], watch=watch("candles", gold_suite()))
+            else:
+                write_table(full, p["candles"], ["trading_date"], watch=watch("candles", gold_suite()))
+        else:
+            refresh_candles(spark, tables["silver"], changed["keys"], p["candles"], as_of, tz, lookback_days, bucket,
+                            digits, sma_digits, by_hour)
+        tables["candles"] = lookback_filter(stored(spark, p["candles"]).select(*CANDLE_COLUMNS), as_of_col(as_of), tz,
+                                            lookback_days)
+
+    def snapshot() -> DataFrame:
+        if not incremental and stored(spark, p["day_states"]) is None:
+            return ticker_snapshot(tables["silver"], tables["candles"], tables["dim_tickers"], as_of, tz, lookback_days,
+                                   digits)
+        refresh_day_states(spark, tables["silver"], changed["keys"], p["day_states"], as_of, tz, lookback_days)
+        return snapshot_from_states(stored(spark, p["day_states"]), tables["candles"], tables["dim_tickers"], as_of, tz,
+                                    lookback_days, digits)
+
+    def sectors() -> None:
+        write_table(sector_performance(tables["snapshot"], digits), p["sectors"], watch=watch("sectors", gold_suite()))
+        settle(spark, p["changes"], changed["last"])
+
+    changed: dict = {}
+    checked: dict[str, DataFrame] = {}
     layers: list[tuple[str, list[tuple[str, Callable[[], None]]], list[Check], Callable[[], dict[str, DataFrame]]]] = [
         ("seed", [("seed.dim_tickers", saved("dim_tickers", lambda: write_seed(dim, p["dim_tickers"])))],
          seed_suite(), lambda: {**tables, **parent}),
-        ("silver", [("model.silver_quotes", silver)], silver_suite(), lambda: {**tables, **touched, **parent}),
+        ("silver", [("model.silver_quotes", silver)], silver_suite(), lambda: {**tables, **checked, **parent}),
         ("gold", [
-            ("model.gold_intraday_candles", saved("candles", lambda: write_table(
-                gold_candles(tables["silver"], as_of, tz, lookback_days, bucket, digits, sma_digits), p["candles"],
-                ["trading_date"]))),
+            ("model.gold_intraday_candles", candles),
             ("model.gold_ticker_snapshot", saved("snapshot", lambda: write_table(
-                ticker_snapshot(tables["silver"], tables["candles"], tables["dim_tickers"], as_of, tz, lookback_days,
-                                digits), p["snapshot"]))),
-            ("model.gold_sector_performance", saved("sectors", lambda: write_table(
-                sector_performance(tables["snapshot"], digits), p["sectors"]))),
+                snapshot(), p["snapshot"], watch=watch("snapshot", gold_suite())))),
+            ("model.gold_sector_performance", saved("sectors", sectors)),
         ], gold_suite(), lambda: {**tables, **parent}),
     ]
     for layer, models, suite, frames in layers:
         if not all(run.model(uid, layer, work) for uid, work in models):
             break
-        if not run.checks(suite, frames()) and gate:
+        seen = {uid: n for w in watched for uid, n in w.failures().items()}
+        if not run.checks(suite, frames(), seen) and gate:
             break
     results = run.frame()
     if run_id is not None:

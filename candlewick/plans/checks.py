@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from candlewick.config import (
@@ -95,6 +95,35 @@ def _fused(table_checks: Sequence[Check], df: DataFrame, as_of) -> DataFrame:
     return one.select(F.inline(F.array(*items)))
 
 
+class Watch:
+    """The row-level checks of one table, counted in the pass that writes it.
+
+    ``attach`` is applied to the rows just before they are written, in the stage
+    that writes them, so a lost executor's earlier stages do not count twice;
+    ``failures`` gives the counts once the write has succeeded. Freshness looks at
+    a table's newest row and stays with :func:`evaluate`.
+    """
+
+    def __init__(self, suite: Sequence[Check], table: str, as_of=None) -> None:
+        self.checks = [c for c in suite if c.table == table and c.kind in ROW_LEVEL - {"fresh"}]
+        self.as_of = as_of
+        self.seen: Observation | None = None
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        if not self.checks:
+            return df
+        self.seen = Observation()
+        return df.observe(self.seen, *(F.count_if(_violation(c, self.as_of)).alias(c.unique_id) for c in self.checks))
+
+    def failures(self) -> dict[str, int]:
+        """unique_id -> offending rows; empty when nothing was written."""
+        return {} if self.seen is None else {c.unique_id: int(self.seen.get[c.unique_id]) for c in self.checks}
+
+
+def status_of(failures: int, severity: str) -> str:
+    return "pass" if failures == 0 else "warn" if severity == "warn" else "fail"
+
+
 def evaluate(checks: Sequence[Check], tables: Mapping[str, DataFrame], as_of=None) -> DataFrame:
     """One row per check: unique_id, layer, failures, status.
 

@@ -5,24 +5,32 @@ dynamic partition overwrite: only partitions the source touches are read,
 merged and rewritten. Writers must run one at a time (no optimistic
 concurrency on plain Parquet), and a rewrite is not atomic for concurrent
 readers of the same partition.
+
+A table's schema is kept beside it (``<path>.schema``), so reading it back opens
+no file's footer: files that lack a column read it as NULL, files of a narrower
+type read as the wider one. Tables written by others have no such record; their
+footers are merged until a merge or compaction of this module records it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyarrow import fs as pafs
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
+from candlewick.functions.widening import widen
 from candlewick.operators.silver import merge_frames
 from candlewick.schemas import DIM_SCHEMA
 
 
 MAX_TOUCHED = 1000
+COMPACT_BYTES = 128 * 1024 * 1024
 
 # The error conditions of a path that does not exist or holds no data files.
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -40,11 +48,32 @@ def is_absent(e: AnalysisException) -> bool:
     return e.getCondition() in _ABSENT
 
 
+def schema_of(spark: SparkSession, path: str) -> StructType | None:
+    """The recorded schema of the table at ``path`` (None: not recorded)."""
+    try:
+        line = spark.read.text(f"{path.rstrip('/')}.schema", wholetext=True).first()
+    except AnalysisException as e:
+        if is_absent(e):
+            return None
+        raise
+    return StructType.fromJson(json.loads(line[0])) if line else None
+
+
+def record_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Keep the schema beside the table; nothing is written when it is known."""
+    wide = StructType([StructField(f.name, f.dataType, True) for f in schema])
+    if schema_of(spark, path) != wide:
+        spark.createDataFrame([(wide.json(),)], "value string").coalesce(1).write.mode("overwrite").text(
+            f"{path.rstrip('/')}.schema")
+
+
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path`` with the columns of all its files, or None while
     there is none. An unreadable table raises."""
+    schema = schema_of(spark, path)
     try:
-        return spark.read.option("mergeSchema", True).parquet(path)
+        reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
+        return reader.parquet(path)
     except AnalysisException as e:
         if is_absent(e):
             return None
@@ -55,10 +84,13 @@ def bootstrap_table(empty: DataFrame, path: str, partition_by: Sequence[str] = (
     """Create the table with exactly ``empty``'s schema if it does not exist (idempotent).
 
     Plain Parquet cannot record the schema of an empty *partitioned* table in
-    its files, so it is kept where readers look for it: pass the schema to
-    :func:`read_table`, or give ``table`` (``db.name``) to register it in the
-    catalog with explicit columns and partitioning.
+    its files, so it is kept beside them; ``table`` (``db.name``) also registers
+    it in the catalog with explicit columns and partitioning. If the table exists
+    with fewer or narrower columns, its recorded schema grows (rows so far read
+    the new columns as NULL).
     """
+    known = schema_of(empty.sparkSession, path)
+    record_schema(empty.sparkSession, path, empty.schema if known is None else widen(known, empty.schema))
     w = empty.write.mode("ignore")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -93,18 +125,23 @@ def write_seed(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Full-refresh materialisation.
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
+                watch: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Full-refresh materialisation. ``watch`` is applied to the rows in the stage
+    that writes them (see :class:`~candlewick.plans.checks.Watch`).
 
     Partitioned writes are rebalanced on the partition columns first: AQE
     splits a hot partition value into several files and merges small ones,
     so one huge day does not end up as one task and one file. The whole table
     is replaced whatever the session's overwrite mode: no partition survives.
     """
-    w = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite").format(fmt)
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    w = (watch(rows) if watch else rows).write.mode("overwrite").format(fmt)
     w = w.option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if fmt == "parquet":
+        record_schema(df.sparkSession, path, df.schema)
     w.save(path)
 
 
@@ -112,7 +149,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                columns: Sequence[str] | None = None, since=None, partition_col: str = "ingestion_date") -> DataFrame:
     """Partition- and column-pruned read; a missing or still empty table reads as empty."""
     try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
+        known = schema if schema is not None else schema_of(spark, path)
+        reader = spark.read.schema(known) if known is not None else spark.read.option("mergeSchema", True)
         df = reader.parquet(path)
     except AnalysisException as e:
         if schema is None or not is_absent(e):
@@ -123,72 +161,134 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     return df.select(*columns) if columns else df
 
 
+def touched_part(target: DataFrame, source: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The rows of ``target`` in the partitions that ``source`` (materialised)
+    holds rows of. A few partitions become literal predicates, which prune the
+    scan before it starts; a back-fill of more than ``MAX_TOUCHED`` leaves the
+    choice to a join."""
+    values = source.select(*cols).distinct().limit(MAX_TOUCHED + 1).collect()
+    if not values:
+        return target.limit(0)
+    if len(values) > MAX_TOUCHED:
+        on = reduce(Column.__and__, (target[c].eqNullSafe(F.col(f"__{c}")) for c in cols))
+        return target.join(source.select(*(F.col(c).alias(f"__{c}") for c in cols)).distinct(), on, "left_semi")
+    return target.filter(any_of([reduce(Column.__and__, (F.col(c).eqNullSafe(F.lit(v[c])) for c in cols))
+                                 for v in values]))
+
+
+def any_of(terms: list[Column]) -> Column:
+    """A balanced OR: as deep as the logarithm of its length."""
+    half = len(terms) // 2
+    return terms[0] if not half else any_of(terms[:half]) | any_of(terms[half:])
+
+
 def merge_into(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str] = ("ticker", "quote_ts"),
                partition_col: str | Sequence[str] = "trading_date", order: Sequence[Column] | None = None,
-               on_match: str = "first") -> None:
+               on_match: str = "first", watch: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Keyed upsert of ``source`` into the partitioned table at ``path``.
 
     Partition columns must be functions of the key (trading_date, or
     trading_date plus the quote hour, of quote_ts), so a key never moves
     between partitions. The source is written once to the shared scratch
-    folder; its partition values (few: those one run touches) become literal
-    predicates, so only the touched partitions of the target are read, and
-    exactly those are rewritten. The target is read with the columns of all its
-    files, so a column that some partitions lack is never lost.
+    folder; only the partitions it touches are read from the target, and
+    exactly those are rewritten. A column that one side lacks, or holds in a
+    narrower type, is evolved (see :func:`~candlewick.operators.silver.align`).
+    ``watch`` is applied to all rows of the rewritten partitions.
     """
     cols = [partition_col] if isinstance(partition_col, str) else list(partition_col)
     target = stored(spark, path)
     if target is None:
-        write_table(source, path, cols)
+        write_table(source, path, cols, watch=watch)
         return
     source = materialize(source, "merge_source")
-    values = source.select(*cols).distinct().limit(MAX_TOUCHED + 1).collect()
-    if not values:
-        return
-    if len(values) <= MAX_TOUCHED:
-        touched = target.filter(reduce(Column.__or__, (
-            reduce(Column.__and__, (F.col(c).eqNullSafe(F.lit(v[c])) for c in cols)) for v in values)))
-    else:   # a back-fill: leave the choice of partitions to a join
-        touched = target.join(source.select(*cols).distinct(), cols, "left_semi")
-    merged = merge_frames(touched, source, keys, order, on_match)
-    (merged.hint("rebalance", *cols).write.mode("overwrite")
+    schema = widen(target.schema, source.schema)
+    merged = merge_frames(touched_part(target, source, cols), source, keys, order, on_match)
+    # The wider schema first: it reads the files of before and after alike.
+    record_schema(spark, path, schema)
+    rows = merged.hint("rebalance", *cols)
+    ((watch(rows) if watch else rows).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path))
 
 
-def merge_silver(spark: SparkSession, source: DataFrame, path: str, by_hour: bool = False) -> None:
+def merge_silver(spark: SparkSession, source: DataFrame, path: str, by_hour: bool = False,
+                 watch: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Upsert silver rows, partitioned by day or by day and quote hour."""
     if by_hour:
         merge_into(spark, source.withColumn("quote_hour", F.hour("quote_ts")), path,
-                   partition_col=["trading_date", "quote_hour"])
+                   partition_col=["trading_date", "quote_hour"], watch=watch)
     else:
-        merge_into(spark, source, path)
+        merge_into(spark, source, path, watch=watch)
+
 
+def file_sizes(spark: SparkSession, path: str, cols: Sequence[str] = ()) -> DataFrame:
+    """One row per data file: its partition values, ``file`` and ``size``. Taken
+    from the listing; no file is opened."""
+    listed = spark.read.format("binaryFile").load(path)
+    names = {c.lower(): c for c in listed.columns}
+    return listed.select(*(F.col(names[c.lower()]).alias(c) for c in cols), F.col("_metadata.file_path").alias("file"),
+                         F.col("_metadata.file_size").alias("size")).filter(F.col("file").endswith(".parquet"))
 
-def compact(spark: SparkSession, path: str, partition_col: str | None = None) -> None:
-    """Rewrite a table into fewer, larger files without changing its rows or columns.
 
-    Rebalancing targets ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
-    per file: small files are merged, a hot partition is still split. The new
-    files are written in full to the shared scratch folder before the table is
-    replaced, so a crash in the second step leaves a whole copy to restore.
+def plan_compaction(files: DataFrame, cols: Sequence[str], target_bytes: int) -> DataFrame:
+    """The files of the partitions worth rewriting, and the bin each goes to.
 
-    A directory written by the streaming file sink is refused: its readers
-    trust the sink's ``_spark_metadata`` log, which an in-place rewrite would
-    leave pointing at deleted files. Use :func:`compact_closed` there.
+    Files under half of ``target_bytes`` are small. A partition's small files are
+    packed in order of size into bins of about ``target_bytes``; larger files are
+    a bin each. A partition is rewritten only if that leaves fewer files.
+    """
+    own = Window.partitionBy(*cols, "small")
+    before = F.sum("size").over(own.orderBy("size", "file").rowsBetween(Window.unboundedPreceding, -1))
+    packed = files.withColumn("small", F.col("size") * 2 < target_bytes)
+    packed = packed.withColumn("bin", F.when(F.col("small"), F.floor(F.coalesce(before, F.lit(0)) / target_bytes)).otherwise(
+        -F.row_number().over(own.orderBy("size", "file"))).cast("long"))
+    gain = F.when(F.col("small"), F.count(F.lit(1)).over(own) - F.max("bin").over(own) - 1).otherwise(0)
+    packed = packed.withColumn("gain", gain)
+    best = F.max("gain").over(Window.partitionBy(*cols)) if cols else F.max("gain").over(Window.partitionBy(F.lit(0)))
+    return packed.withColumn("gain", best).filter("gain > 0").drop("small", "gain")
+
+
+def compact(spark: SparkSession, path: str, partition_col: str | Sequence[str] | None = None,
+            target_bytes: int = COMPACT_BYTES) -> int:
+    """Rewrite the partitions of a table that hold many small files into fewer
+    files of about ``target_bytes``, without changing rows or columns; returns the
+    number of files rewritten. Other partitions keep their files, and a second
+    run has nothing to do.
+
+    New files are written in full beside the old ones before a partition is
+    swapped. A directory written by the streaming file sink is refused: its
+    readers trust the sink's ``_spark_metadata`` log, which an in-place rewrite
+    would leave pointing at deleted files. Use :func:`compact_closed` there.
     """
     if _is_stream_sink_output(path):
         raise ValueError(f"{path} is a streaming file-sink output; use compact_closed")
-    df = spark.read.option("mergeSchema", True).parquet(path)
-    cols = [partition_col] if partition_col else []
-    staged = materialize(df.hint("rebalance", *cols), "compacted", cols)
-    w = staged.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (w.partitionBy(*cols) if cols else w).parquet(path)
-
-
-def compact_all(spark: SparkSession, tables: Mapping[str, str | None]) -> None:
-    """Compact a list of tables: path -> partition column (None: not partitioned)."""
-    for path, partition_col in tables.items():
-        compact(spark, path, partition_col)
+    cols = [partition_col] if isinstance(partition_col, str) else list(partition_col or ())
+    plan = materialize(plan_compaction(file_sizes(spark, path, cols), cols, target_bytes), "compaction_plan")
+    n = plan.count()
+    if not n:
+        return 0
+    table = stored(spark, path)
+    place = [*cols, "bin"]
+    bins = plan.select(*place).distinct()   # one row per file to write
+    numbered = bins.select(*(F.col(c).alias(f"__{c}") for c in place),
+                           (F.row_number().over(Window.orderBy(*place)) - 1).cast("int").alias("__to"))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in place))
+    into = plan.join(numbered, same).select(F.col("file").alias("__file"), "__to")
+    rows = table.withColumn("__file", F.col("_metadata.file_path"))
+    rows = (touched_part(rows, plan, cols) if cols else rows).join(into, "__file")
+    out = rows.repartitionById(bins.count(), F.col("__to")).select(*table.columns)
+    record_schema(spark, path, table.schema)
+    if cols:
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
+    else:   # every file is read and replaced: write a whole copy first
+        staged = materialize(out, "compacted")
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return n
+
+
+def compact_all(spark: SparkSession, tables: Mapping[str, str | Sequence[str] | None]) -> dict[str, int]:
+    """Compact a list of tables: path -> partition column(s) (None: not
+    partitioned). Returns the files rewritten per path."""
+    return {path: compact(spark, path, cols) for path, cols in tables.items()}
 
 
 def compact_closed(spark: SparkSession, path: str, into: str, partition_col: str, before) -> None:
@@ -196,14 +296,14 @@ def compact_closed(spark: SparkSession, path: str, into: str, partition_col: str
     into the table ``into``. The stream's own files and log stay untouched, so
     it can go on and restart; batch readers use :func:`read_compacted`.
     Running it again replaces the same partitions with the same rows."""
-    closed = spark.read.option("mergeSchema", True).parquet(path).filter(F.col(partition_col) < F.lit(before))
+    closed = read_table(spark, path).filter(F.col(partition_col) < F.lit(before))
     (closed.hint("rebalance", partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(into))
 
 
 def read_compacted(spark: SparkSession, path: str, into: str, partition_col: str, before) -> DataFrame:
     """A streamed table with its closed partitions from their compacted copy."""
-    still_open = spark.read.option("mergeSchema", True).parquet(path).filter(
+    still_open = read_table(spark, path).filter(
         (F.col(partition_col) >= F.lit(before)) | F.col(partition_col).isNull())
     done = stored(spark, into)
     return still_open if done is None else still_open.unionByName(
@@ -232,5 +332,6 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     """
     from candlewick.config import scratch_path
     path = scratch_path(df.sparkSession, name)
-    write_table(df, path, partition_by)
+    w = (df.hint("rebalance", *partition_by) if partition_by else df).write
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
