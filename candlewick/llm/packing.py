@@ -30,21 +30,28 @@ VOCABULARY = "word_bpe_49k.json"
 SEQUENCE = 2048
 END_ID = 0
 GROUP_PIECES = 50_000
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 600_000
 
 
-class WordIds:
+# Upper case of ASCII to lower, and its breaks to blanks, before texts are cut.
+FOLD = bytes(0x20 if b in b"\n\t\r" else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+# ASCII marks that end a pre-token of letters; the apostrophe may go on with one.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+class WordIds(dict):
     """Ids of whole texts by a tokenizers file that lower-cases, drops white
     space and splits letters from marks.
 
     Its pre-tokens never cross white space and its normaliser never joins what
-    white space separates, so blank-separated chunks encode independently and a
-    bounded cache of chunks serves most of a text. A chunk of Latin letters is
-    one pre-token and goes to the merges directly; one of letters and a mark is
-    the letters' ids and the mark's; anything else takes the whole tokenizer.
-    Strings of special tokens are ordinary text."""
+    white space separates, so blank-separated chunks encode independently. This
+    is a bounded cache of chunks to their ids, filled as chunks are met: a chunk
+    of Latin letters is one pre-token and goes to the merges directly; one of
+    letters and marks is the letters' ids and the marks'; anything else takes the
+    whole tokenizer. Strings of special tokens are ordinary text."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -52,54 +59,46 @@ class WordIds:
         self.tok.encode_special_tokens = True
         self.merge = self.tok.model.tokenize
         self.chars = {b: ord(c) for b, c in enumerate(byte_chars())}
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.four = [i.to_bytes(4, "little") for i in range(self.tok.get_vocab_size())]
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self._encode(chunk)
+        self[chunk] = ids
+        return ids
+
+    def _encode(self, chunk: bytes) -> bytes:
+        if chunk.isalpha():   # ASCII letters
+            return self._merged(chunk.decode())
+        letters = chunk.rstrip(MARKS)
+        if letters and len(letters) < len(chunk) and (letters.isalpha() or self._latin(letters.decode())):
+            return self[letters] + self[chunk[len(letters):]]
+        text = chunk.decode()
+        if self._latin(text):
+            return self._merged(text.lower().encode().decode("latin-1").translate(self.chars))
+        four = self.four
+        return b"".join([four[i] for i in self.tok.encode(text, add_special_tokens=False).ids])
 
     @staticmethod
     def _latin(s: str) -> bool:
         # A capital I with dot turns into two characters in lower case.
         return s.isalpha() and max(s) < "\u0250" and "\u0130" not in s
 
-    def _word(self, s: str) -> bytes:
-        s = s.lower()
-        if not s.isascii():
-            s = s.encode().decode("latin-1").translate(self.chars)
-        return np.array([t.id for t in self.merge(s)], dtype="<u4").tobytes()
-
-    def _learn(self, new: set[str]) -> None:
-        """Put the chunks into the cache."""
-        known, older = self.cache, self.older
-        marked, other = [], [m for m in ".,!?:;" if m not in known]
-        for s in new:
-            if (ids := older.get(s)) is not None:
-                known[s] = ids
-            elif self._latin(s):
-                known[s] = self._word(s)
-            elif s[-1] in ".,!?:;" and self._latin(s[:-1]):
-                marked.append(s)
-            else:
-                other.append(s)
-        for i in range(0, len(other), 2_000):
-            part = other[i:i + 2_000]
-            for s, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                known[s] = np.array(e.ids, dtype="<u4").tobytes()
-        for s in marked:
-            w = s[:-1]
-            ids = known.get(w) or older.get(w) or self._word(w)
-            known[w] = ids
-            known[s] = ids + known[s[-1]]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        # The vocabulary is lower case; lowering ASCII first saves entries.
-        split = [(t or "").encode().lower().decode().replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-                 for t in texts]
-        if len(self.cache) >= CACHE_ENTRIES:
-            self.cache, self.older = {}, self.cache
-        self.cache[""] = b""
-        self._learn(set().union(*split) - self.cache.keys())
-        get = self.cache.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+    def _merged(self, s: str) -> bytes:
+        four = self.four
+        return b"".join([four[t.id] for t in self.merge(s)])
+
+    def encode(self, texts: list[str | bytes | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text (str or UTF-8)."""
+        if len(self) >= CACHE_ENTRIES:
+            self.older = dict(self)
+            self.clear()
+        self[b""] = b""
+        get = self.__getitem__
+        return [b"".join(map(get, (t.encode() if isinstance(t, str) else t or b"").translate(FOLD).split(b" ")))
+                for t in texts]
 
 
 @lru_cache(maxsize=2)
@@ -118,6 +117,7 @@ def tokenise(df: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     Rows with equal or null keys stay separate rows."""
     tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
     step = 4 * size
+    recode = None if dtype == "<u4" else dtype
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = word_ids(path)
@@ -130,16 +130,18 @@ def tokenise(df: DataFrame, key: str = "doc_id", text: str = "text", size: int =
                     for k in range(0, len(b), step):
                         rows.append(r)
                         piece.append(k // step)
-                        ids.append(np.frombuffer(b[k:k + step], "<u4"))
+                        ids.append(b[k:k + step] if len(b) > step else b)
                 n = np.array(piece, dtype=np.int32)
+                length = [len(x) // 4 for x in ids]
+                if recode:
+                    ids = [np.frombuffer(x, "<u4").astype(recode).tobytes() for x in ids]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0).take(pa.array(rows, pa.int32())), pa.array(n), pa.array(n.astype(np.int64) * size),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([x.astype(dtype).tobytes() for x in ids], pa.binary())],
+                    pa.array(length, pa.int64()), pa.array(ids, pa.binary())],
                     names=["key", "piece", "start", "length", "ids"])
 
     kind = df.schema[key].dataType.simpleString()
-    out = df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
+    out = df.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text")).mapInArrow(
         cut, f"key {kind}, piece int, start long, length long, ids binary")
     return out.withColumnRenamed("key", key)
 
