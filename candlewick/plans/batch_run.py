@@ -6,7 +6,9 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +22,11 @@ from candlewick.operators.silver import high_water_value, incremental_slice, sil
 from candlewick.operators.snapshot import ticker_snapshot
 from candlewick.plans.checks import Check, Watch, evaluate, gold_suite, seed_suite, silver_suite, status_of
 from candlewick.schemas import CANDLE_COLUMNS, LAYER_COUNTS
-from candlewick.sources.oplog import append_json
-from candlewick.sources.tables import materialize, merge_silver, stored, touched_part, write_seed, write_table
+from candlewick.sources.oplog import append_json, read_run_results, results_files
+from candlewick.sources.tables import is_absent, materialize, merge_silver, stored, touched_part, write_seed, write_table
+
+
+NOT_RUN = "not run"
 
 
 def results_frame(spark: SparkSession, rows: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -51,6 +56,36 @@ def run_summary(results: DataFrame) -> DataFrame:
         F.when((F.col("tests_fail") == 0) & (F.col("errors") == 0), RUN_OK).otherwise(RUN_FAILED).alias("status"))
 
 
+def artifact_summary(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """The run's summary from what its layers left behind: per layer and in total
+    the counts of :func:`run_summary`, the summed ``elapsed_time`` of the results
+    files, and whether the layer ran. A layer without results did not run; it has
+    zero counts and makes the run neither ok nor failed by itself."""
+    found = {layer: path for layer, path in paths.items() if _has_results(spark, path)}
+    nodes = [read_run_results(spark, path, layer).select("unique_id", "layer", "status") for layer, path in found.items()]
+    times = [results_files(spark, path).select(F.lit(layer).alias("layer"), F.round("elapsed_time", 2).alias("t"))
+             for layer, path in found.items()]
+    layers = spark.createDataFrame([(layer, layer in found) for layer in paths], "layer string, ran boolean")
+    counts = run_summary(reduce(DataFrame.unionByName, nodes, results_frame(spark, [])))
+    elapsed = reduce(DataFrame.unionByName, times, spark.createDataFrame([], "layer string, t double")).rollup(
+        "layer").agg(F.round(F.sum("t"), 2).alias("elapsed_seconds")).withColumn("layer", F.coalesce("layer", F.lit("total")))
+    every = layers.unionByName(layers.agg(F.lit("total").alias("layer"), F.bool_and("ran").alias("ran")))
+    out = every.join(counts, "layer", "left").join(elapsed, "layer", "left")
+    return out.select("layer", "ran", *(F.coalesce(f.name, F.lit(0).cast("long")).alias(f.name) for f in LAYER_COUNTS.fields),
+                      F.coalesce("elapsed_seconds", F.lit(0.0)).alias("elapsed_seconds"),
+                      F.when(F.col("ran") | (F.col("layer") == "total"), F.coalesce("status", F.lit(RUN_OK)))
+                      .otherwise(NOT_RUN).alias("status"))
+
+
+def _has_results(spark: SparkSession, path: str) -> bool:
+    try:
+        return not results_files(spark, path).isEmpty()
+    except AnalysisException as e:
+        if is_absent(e):
+            return False
+        raise
+
+
 def alerts_from(results: DataFrame, run_id: str, dag_id: str = "batch_lakehouse",
                 detected_at: str | None = None) -> DataFrame:
     """Failed nodes -> alert records (severity error), ready for ``append_json``."""

@@ -611,18 +611,39 @@ def q_alerts_log(spark, d):
     return log.groupBy("run_id", "task_id").agg(F.count(F.lit(1)).alias("n_alerts"))
 
 
-def q_run_results_read(spark, d):
-    """Nested run-results files, one per customer nation, read as one row per node."""
-    from candlewick.sources.oplog import read_run_results
+RESULTS_NODES = 5000   # nodes in one results file
+
+
+def _results_files(spark, d):
+    """One folder of nested run-results files per market segment; a file holds a
+    bounded number of nodes, one per customer of a nation."""
     path = scratch_path(spark, "results")
     c = table(spark, d, "customer")
+    buckets = max(1, -(-c.count() // RESULTS_NODES))
     node = F.struct(F.concat(F.lit("test.c"), F.col("c_custkey").cast("string")).alias("unique_id"),
                     F.when(F.col("c_acctbal") < 0, "fail").otherwise("pass").alias("status"),
                     (F.col("c_custkey") / 4).alias("execution_time"))
-    (c.groupBy("c_nationkey").agg(F.collect_list(node).alias("results")).select(
-        "results", F.size("results").cast("double").alias("elapsed_time"), F.col("c_nationkey").alias("file"))
-     .write.partitionBy("file").json(path))
-    return read_run_results(spark, path, "seed")
+    nations = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).cast("double").alias("elapsed_time"))
+    files = c.withColumn("bucket", F.pmod(F.xxhash64("c_custkey"), F.lit(buckets))).groupBy(
+        "c_mktsegment", "c_nationkey", "bucket").agg(F.collect_list(node).alias("results")).join(nations, "c_nationkey")
+    (files.select("results", "elapsed_time", F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"),
+                  F.col("bucket").alias("file")).write.partitionBy("segment", "nation", "file").json(path))
+    return path
+
+
+def q_run_results_read(spark, d):
+    """Nested run-results files read as one row per node."""
+    from candlewick.sources.oplog import read_run_results
+    return read_run_results(spark, _results_files(spark, d), "seed")
+
+
+def q_run_artifacts(spark, d):
+    """The summary of a run whose layers are market segments, of which one left no
+    results: counts, summed elapsed times, and what did not run."""
+    from candlewick.plans.batch_run import artifact_summary
+    path = _results_files(spark, d)
+    layers = {x: f"{path}/segment={x}" for x in ("BUILDING", "MACHINERY", "HOUSEHOLD")}
+    return artifact_summary(spark, {**layers, "absent": f"{path}/segment=none"})
 
 
 def q_incremental_gold(spark, d):
@@ -633,7 +654,7 @@ def q_incremental_gold(spark, d):
         "ticker", F.col("ticker").alias("company_name"), F.lit("all").alias("sector"), F.lit(None).cast("string").alias("b3_index"))
     for part in (b.filter(F.col("ingestion_ts") < _at(SLICE_CUT)), b):
         tables, _ = build(spark, part, dm, root, AS_OF, TZ, LOOKBACK_DAYS, BUCKET, 4, SMA_DIGITS, gate=False,
-                          incremental=True, by_hour=True)
+                          incremental=True)
     return tables["candles"]
 
 
@@ -673,6 +694,256 @@ def q_bootstrap_empty(spark, d):
     return full.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(none.isEmpty()).alias("was_empty"))
 
 
+# --- gold that follows its merges ------------------------------------------------------------
+
+def _corrections(s):
+    """Silver in three deliveries: most rows, and twice some that come late."""
+    late = F.pmod(F.xxhash64("event_id"), F.lit(50))
+    return [s.filter(late > 1), s.filter(late == 0), s.filter(late == 1)]
+
+
+def q_incremental_corrections(spark, d):
+    """Candles after two rounds of late corrections all over the month."""
+    from candlewick.operators.incremental import refresh_candles, touched_buckets
+    from candlewick.sources.tables import merge_silver, stored
+    root = scratch_path(spark, "corrections")
+    for part in _corrections(silver_table(spark, d)):
+        merge_silver(spark, part, f"{root}/silver")
+        refresh_candles(spark, stored(spark, f"{root}/silver"), touched_buckets(part, BUCKET), f"{root}/candles", AS_OF, TZ,
+                        LOOKBACK_DAYS, BUCKET, 4, SMA_DIGITS)
+    return stored(spark, f"{root}/candles")
+
+
+def q_incremental_snapshot(spark, d):
+    """The snapshot of day states that followed two rounds of late corrections."""
+    from candlewick.operators.incremental import refresh_day_states, snapshot_from_states, touched_buckets
+    from candlewick.sources.tables import merge_silver, stored
+    root = scratch_path(spark, "states")
+    for part in _corrections(silver_table(spark, d, "user")):
+        merge_silver(spark, part, f"{root}/silver")
+        refresh_day_states(spark, stored(spark, f"{root}/silver"), touched_buckets(part, BUCKET), f"{root}/days", AS_OF, TZ,
+                           LOOKBACK_DAYS)
+    c = gold_candles(stored(spark, f"{root}/silver"), AS_OF, TZ, LOOKBACK_DAYS, BUCKET, 4, SMA_DIGITS)
+    return snapshot_from_states(stored(spark, f"{root}/days"), c, dim(spark, d), AS_OF, TZ, LOOKBACK_DAYS)
+
+
+# --- streams with state ----------------------------------------------------------------------
+
+FEED_CUTS = ("2024-01-11 13:00:00", "2024-01-20 12:00:00")   # in the middle of trading days
+
+
+def _timed_feed(spark, s, src):
+    """Silver ticks as three files in time order, and a clock tick long after
+    them; returns the functions that append the files."""
+    cuts = ["0001-01-01 00:00:00", *FEED_CUTS, "9999-01-01 00:00:00"]
+    ts = F.col("quote_ts")
+    parts = [s.filter((ts >= _at(a)) & (ts < _at(b))) for a, b in zip(cuts, cuts[1:])]
+    clock = s.limit(1).withColumn("ticker", F.lit("~clock")).withColumn("quote_ts", _at("2024-06-01 00:00:00"))
+    return [lambda p=p: p.coalesce(1).write.mode("append").parquet(src) for p in [*parts, clock]]
+
+
+def _stream_ticks(spark, d, work, late=None):
+    """The ticks of the feed through a stateful stream that is stopped in the
+    middle of a day and started again; what it appended, without the clock."""
+    from candlewick.streaming.bronze_stream import await_or_raise
+    from candlewick.streaming.stateful import start_append, stateful_session
+    src, out, chk = (scratch_path(spark, n) for n in ("ticks_src", "ticks_out", "ticks_chk"))
+    s = silver_table(spark, d)
+    session = stateful_session(spark, spark.sparkContext.defaultParallelism)
+    put = _timed_feed(spark, s, src)
+    for files in (put[:1], [*put[1:3], *([lambda: late(s).write.mode("append").parquet(src)] if late else []), put[3]]):
+        for f in files:
+            f()
+        ticks = session.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        await_or_raise(start_append(work(ticks), out, chk, available_now=True))
+    return spark.read.parquet(out)
+
+
+def q_stream_running_state(spark, d):
+    """W09 by a stream with a state and timers per instrument, restarted in mid-day."""
+    from candlewick.streaming.stateful import running_state
+    out = _stream_ticks(spark, d, lambda t: running_state(t, tz=TZ))
+    return out.select("ticker", "trading_date", "quote_ts", "price", "day_open", "day_high", "day_low", "ticks_so_far",
+                      "volume_so_far", "volume_sum_so_far")
+
+
+def q_stream_candles(spark, d):
+    """Candles emitted as the watermark closes them; ticks later than it are dropped."""
+    from candlewick.streaming.stateful import candles_stream
+    late = lambda s: s.filter(F.col("quote_ts") < _at(FEED_CUTS[0])).withColumn("price", F.col("price") + 1000.0)
+    out = _stream_ticks(spark, d, candles_stream, late)
+    return out.select("ticker", "window_start", "open_price", "high_price", "low_price", "close_price", "n_ticks",
+                      "volume_cumulative", "source")
+
+
+def q_stream_deliver_once(spark, d):
+    """Silver from a stream in which every event is delivered twice."""
+    from candlewick.functions.timeutil import utc_instant
+    from candlewick.sources.kafka import quote_stream
+    from candlewick.streaming.bronze_stream import await_or_raise
+    from candlewick.streaming.stateful import deliver_once, start_append
+    src, out, chk = (scratch_path(spark, n) for n in ("twice_src", "twice_bronze", "twice_chk"))
+    rec = kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp"))
+    for _ in range(2):
+        rec.write.mode("append").parquet(src)
+    stream = to_bronze(quote_stream(spark, "parquet", src, maxBytesPerTrigger=STREAM_BATCH), as_of=AS_OF, tz=TZ)
+    # The whole month is one delivery: copies come within it.
+    await_or_raise(start_append(deliver_once(stream, "40 days"), out, chk, ["ingestion_date"], available_now=True))
+    return spark.read.parquet(out).groupBy("ingestion_date", "ticker").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_stream_schema_growth(spark, d):
+    """A bronze stream restarted with an event schema that has one more field."""
+    from pyspark.sql.types import StructType
+    from candlewick.functions.timeutil import utc_instant
+    from candlewick.schemas import QUOTE_SCHEMA
+    from candlewick.sources.kafka import quote_stream
+    from candlewick.sources.tables import read_table
+    from candlewick.streaming.bronze_stream import await_or_raise, start_bronze
+    src, out, chk = (scratch_path(spark, n) for n in ("grow_src", "grow_bronze", "grow_chk"))
+    rec = kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp"))
+    older = StructType([f for f in QUOTE_SCHEMA if f.name != "market_cap"])
+    for schema, part in ((older, F.col("offset") % 2 == 0), (QUOTE_SCHEMA, F.col("offset") % 2 == 1)):
+        rec.filter(part).write.mode("append").parquet(src)
+        await_or_raise(start_bronze(quote_stream(spark, "parquet", src, maxBytesPerTrigger=STREAM_BATCH), out, chk,
+                                    available_now=True, tz=TZ, schema=schema))
+    return read_table(spark, out).drop("processing_ts")
+
+
+def _damaged_records(spark, d):
+    """Kafka records of which some are no JSON, have no ticker or no value, and
+    some offsets are missing."""
+    from candlewick.functions.timeutil import utc_instant
+    k = F.col("offset") % 50
+    value = (F.when(k == 7, F.concat(F.lit("{"), "value")).when(k == 8, F.regexp_replace("value", '"ticker"', '"tick"'))
+             .when(k == 9, "").otherwise(F.col("value")))
+    rec = kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp"))
+    return rec.withColumn("value", value).filter(~(F.col("offset") % 97).isin(13, 14, 60))
+
+
+def q_dead_letters(spark, d):
+    """Records that bronze drops, and why."""
+    from candlewick.sources.kafka import dead_letters
+    return dead_letters(_damaged_records(spark, d)).drop("kafka_ts", "value")
+
+
+def q_offset_gaps(spark, d):
+    """Holes in each partition's offsets (a ticker's offsets are a partition's own
+    only in parts here, so the feed itself has holes as well)."""
+    from candlewick.sources.kafka import offset_gaps
+    r = _damaged_records(spark, d).select(F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"))
+    return offset_gaps(r, block=1024)
+
+
+def q_repeated_offsets(spark, d):
+    """Offsets that were delivered twice."""
+    from candlewick.sources.kafka import repeated_offsets
+    r = _damaged_records(spark, d).select(F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"))
+    return repeated_offsets(r.unionByName(r.filter(F.col("kafka_offset") % 10 == 3)))
+
+
+def q_stream_split(spark, d):
+    """Bronze, dead letters and gaps from one stream of two batches, the second
+    after a restart: rows per output."""
+    from candlewick.sources.kafka import quote_stream
+    from candlewick.streaming.bronze_stream import await_or_raise, start_bronze_split
+    src, out, dead, gaps, chk = (scratch_path(spark, n) for n in ("split_src", "split_bronze", "split_dead", "split_gaps", "split_chk"))
+    rec = _damaged_records(spark, d).withColumn("offset", F.col("offset").cast("long"))
+    half = rec.agg(F.max("offset")).first()[0] // 2
+    for part in (F.col("offset") <= half, F.col("offset") > half):
+        rec.filter(part).write.mode("append").parquet(src)
+        await_or_raise(start_bronze_split(quote_stream(spark, "parquet", src, maxBytesPerTrigger=STREAM_BATCH), out, dead, gaps,
+                                          chk, available_now=True, tz=TZ))
+    n = lambda df, kind: df.agg(F.lit(kind).alias("output"), F.count(F.lit(1)).alias("n_rows"))
+    return n(spark.read.parquet(out), "bronze").unionByName(n(spark.read.parquet(dead), "dead letters")).unionByName(
+        n(spark.read.parquet(gaps), "gaps"))
+
+
+def q_stream_heartbeat(spark, d):
+    """The last heartbeat of a stream: all rows counted, none late."""
+    from candlewick.functions.timeutil import utc_instant
+    from candlewick.sources.kafka import quote_stream
+    from candlewick.streaming.bronze_stream import ProgressLog, await_or_raise, heartbeat, progress_frame, start_bronze
+    src, out, chk, log = (scratch_path(spark, n) for n in ("beat_src", "beat_bronze", "beat_chk", "beat"))
+    kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp")).write.parquet(src)
+    listener = ProgressLog(log)
+    spark.streams.addListener(listener)
+    try:
+        qy = start_bronze(quote_stream(spark, "parquet", src, maxFilesPerTrigger=2), out, chk, available_now=True, tz=TZ)
+        await_or_raise(qy)
+        listener.wait(qy)
+    finally:
+        spark.streams.removeListener(listener)
+    return heartbeat(progress_frame(spark, log)).groupBy("query").agg(
+        F.max_by("rows_so_far", "batch_id").alias("rows_so_far"), F.max_by("late_so_far", "batch_id").alias("late_so_far"),
+        (F.max_by("mean_rate", "batch_id") > 0).alias("has_rate"))
+
+
+# --- anomalies, compaction, widening, ad-hoc totals --------------------------------------------
+
+ANOMALY = {"size": "6 hours", "slide": "1 hour", "threshold": 3.0, "min_ticks": 5}
+
+
+def q_price_anomalies(spark, d):
+    """Prices far from the median of the six hours that end in their hour."""
+    from candlewick.operators.anomalies import price_anomalies
+    return price_anomalies(ticks(spark, d, "type"), **ANOMALY)
+
+
+def q_anomaly_alerts(spark, d):
+    """The anomalies as alert records on the wire."""
+    from candlewick.operators.anomalies import anomaly_alerts
+    a = anomaly_alerts(q_price_anomalies(spark, d), "run-" + AS_OF[:10], AS_OF.replace(" ", "T") + "+00:00")
+    return encode_events(a.select("severity", "task_id", "run_id"), key="task_id")
+
+
+def q_compact_fragmented(spark, d):
+    """A table of which the second day is in many files: compaction rewrites that
+    day and no other, and a second run rewrites nothing."""
+    from candlewick.sources.tables import compact, file_sizes, record_schema, stored
+    path = scratch_path(spark, "fragmented")
+    s = silver_table(spark, d)
+    second = s.select("trading_date").distinct().orderBy("trading_date").limit(2).agg(F.max("trading_date")).scalar()
+    s.filter(F.col("trading_date") != second).repartition("trading_date").write.partitionBy("trading_date").parquet(path)
+    s.filter(F.col("trading_date") == second).repartition(12).write.mode("append").partitionBy("trading_date").parquet(path)
+    record_schema(spark, path, s.schema)
+    before = materialize(file_sizes(spark, path, ["trading_date"]), "files_before")
+    compact(spark, path, "trading_date")
+    again = compact(spark, path, "trading_date")
+    after = file_sizes(spark, path, ["trading_date"]).select("trading_date", "file").join(
+        before.select("file", F.lit(True).alias("same")), "file", "left")
+    kept = after.groupBy("trading_date").agg(F.bool_and(F.coalesce("same", F.lit(False))).alias("untouched"))
+    rows = stored(spark, path).groupBy("trading_date").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("volume").alias("volume"))
+    return rows.join(kept, "trading_date").withColumn("second_run_files", F.lit(again))
+
+
+def q_merge_widening(spark, d):
+    """Three merges on disk: offsets as int and dates, then as long and times, then
+    as int and dates again; then compaction over the mixed files."""
+    from candlewick.sources.tables import compact, merge_into, stored
+    s, first, last = _days(spark, d)
+    day, path = F.col("trading_date"), scratch_path(spark, "widening")
+    s = s.withColumn("seen", F.col("ingestion_ts"))
+    narrow = lambda df: df.withColumn("kafka_offset", F.col("kafka_offset").cast("int")).withColumn(
+        "seen", F.col("ingestion_ts").cast("date"))
+    merge_into(spark, narrow(s.filter(day == F.lit(first))), path)
+    merge_into(spark, s.filter(day > F.lit(first)).withColumn("kafka_offset", F.col("kafka_offset") + (1 << 40)), path)
+    merge_into(spark, narrow(s.filter((day == F.lit(last)) & (F.col("kafka_offset") % 2 == 0))).withColumn(
+        "ingestion_ts", F.col("ingestion_ts") + F.expr("INTERVAL 1 DAY")), path)
+    compact(spark, path, "trading_date")
+    return stored(spark, path).select("ticker", "quote_ts", "kafka_offset", "seen")
+
+
+def q_top_movers_total(spark, d):
+    """How many rows the ad-hoc query has, beside the fifty it shows."""
+    from candlewick.sources.tables import show_query
+    view = "movers_" + scratch_path(spark, "v").rsplit("-", 1)[-1]
+    snapshot(spark, d).createOrReplaceTempView(view)
+    _, total = show_query(spark, f"SELECT ticker, change_pct FROM {view}", 50)
+    spark.catalog.dropTempView(view)
+    return total
+
+
 QUERIES = {
     "bronze_decode": q_bronze_decode,
     "api_normalize": q_api_normalize,
@@ -745,4 +1016,21 @@ QUERIES = {
     "sectors_ascending": q_sectors_ascending,
     "candles_minute": q_candles_minute,
     "bootstrap_empty": q_bootstrap_empty,
+    "run_artifacts": q_run_artifacts,
+    "incremental_corrections": q_incremental_corrections,
+    "incremental_snapshot": q_incremental_snapshot,
+    "stream_running_state": q_stream_running_state,
+    "stream_candles": q_stream_candles,
+    "stream_deliver_once": q_stream_deliver_once,
+    "stream_schema_growth": q_stream_schema_growth,
+    "dead_letters": q_dead_letters,
+    "offset_gaps": q_offset_gaps,
+    "repeated_offsets": q_repeated_offsets,
+    "stream_split": q_stream_split,
+    "stream_heartbeat": q_stream_heartbeat,
+    "price_anomalies": q_price_anomalies,
+    "anomaly_alerts": q_anomaly_alerts,
+    "compact_fragmented": q_compact_fragmented,
+    "merge_widening": q_merge_widening,
+    "top_movers_total": q_top_movers_total,
 }

@@ -39,15 +39,16 @@ def quote_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = Non
     return reader.load(path) if path is not None else reader.load()
 
 
-def to_bronze(records: DataFrame, as_of=None, tz: str = MARKET_TZ) -> DataFrame:
-    """Kafka-shaped records -> typed bronze rows (21 columns).
+def to_bronze(records: DataFrame, as_of=None, tz: str = MARKET_TZ, schema: StructType = QUOTE_SCHEMA) -> DataFrame:
+    """Kafka-shaped records -> typed bronze rows (21 columns, or those of another
+    event ``schema``, as an older or newer producer writes it).
 
     Malformed JSON, top-level arrays and records without a ticker are dropped;
     a wrong-typed field becomes NULL while the others survive; unparsable
     timestamps become NULL. ``ingestion_date`` is the market-local date of
     ``ingestion_ts`` and is the partition column of the bronze table.
     """
-    parsed = F.from_json(F.col("value").cast("string"), QUOTE_SCHEMA)
+    parsed = F.from_json(F.col("value").cast("string"), schema)
     # One array element per decodable record, none otherwise: the generator
     # drops bad records itself and keeps later predicates from being pushed
     # below it, which would repeat the parser once per predicate.
@@ -58,14 +59,14 @@ def to_bronze(records: DataFrame, as_of=None, tz: str = MARKET_TZ) -> DataFrame:
         F.col("offset").cast("long").alias("kafka_offset"),
         to_utc_ntz("timestamp", records.schema["timestamp"].dataType).alias("kafka_ts"))
     times = {"quote_ts", "ingestion_ts"}
-    fields = [parse_utc(F.col(f"q.{n}")).alias(n) if n in times else F.col(f"q.{n}") for n in QUOTE_SCHEMA.names]
+    fields = [parse_utc(F.col(f"q.{n}")).alias(n) if n in times else F.col(f"q.{n}") for n in schema.names]
     return event.select(*fields, "kafka_partition", "kafka_offset", "kafka_ts", as_of_col(as_of).alias("processing_ts"),
                         market_date(parse_utc(F.col("q.ingestion_ts")), tz).alias("ingestion_date"))
 
 
-def empty_bronze(spark: SparkSession, tz: str = MARKET_TZ) -> DataFrame:
+def empty_bronze(spark: SparkSession, tz: str = MARKET_TZ, schema: StructType = QUOTE_SCHEMA) -> DataFrame:
     """Zero-row bronze frame with exactly the streaming schema."""
-    return to_bronze(spark.createDataFrame([], KAFKA_SHAPE), tz=tz)
+    return to_bronze(spark.createDataFrame([], KAFKA_SHAPE), tz=tz, schema=schema)
 
 
 def encode_events(df: DataFrame, key: str = "ticker") -> DataFrame:

@@ -31,9 +31,13 @@ def tail_json(spark: SparkSession, path: str, schema: StructType, ts_col: str, n
     return df.orderBy(F.col(ts_col).desc(), *(F.col(c).desc() for c in tie)).limit(n)
 
 
+def results_files(spark: SparkSession, path: str) -> DataFrame:
+    """Nested run-results JSON, one row per file."""
+    return spark.read.schema(RUN_RESULTS_SCHEMA).option("multiLine", True).json(path)
+
+
 def read_run_results(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:
     """Nested run-results JSON -> one row per executed node."""
-    raw = spark.read.schema(RUN_RESULTS_SCHEMA).option("multiLine", True).json(path)
-    out = raw.select(F.explode("results").alias("r"), "elapsed_time").select(
+    out = results_files(spark, path).select(F.explode("results").alias("r"), "elapsed_time").select(
         "r.unique_id", "r.status", "r.execution_time", "elapsed_time")
     return out.withColumn("layer", F.lit(layer)) if layer else out

@@ -10,6 +10,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from candlewick.config import MARKET_TZ
 from candlewick.operators.silver import silver_quotes
+from candlewick.schemas import QUOTE_SCHEMA
 from candlewick.sources.kafka import dead_letters, empty_bronze, offset_gaps, to_bronze
 from candlewick.sources.tables import bootstrap_table, materialize, merge_silver, open_store, read_table
 from candlewick.streaming.stateful import deliver_once
@@ -19,14 +20,19 @@ ENDS_SCHEMA = StructType([StructField("kafka_partition", IntegerType()), StructF
 
 
 def start_bronze(records: DataFrame, path: str, checkpoint: str, trigger: str | None = "15 seconds",
-                 available_now: bool = False, tz: str = MARKET_TZ, query_name: str = "bronze_quotes") -> StreamingQuery:
+                 available_now: bool = False, tz: str = MARKET_TZ, query_name: str = "bronze_quotes",
+                 schema: StructType = QUOTE_SCHEMA) -> StreamingQuery:
     """Append decoded quotes to the bronze table, partitioned by ingestion_date.
 
+    A stream restarted with a ``schema`` that has more fields goes on with the same
+    checkpoint: the table's recorded schema grows, and rows from before read the
+    new columns as NULL.
+
     The file sink plus the checkpoint give exactly-once appends across
     restarts: a restarted query resumes from the last committed offsets.
     """
-    bootstrap_table(empty_bronze(records.sparkSession, tz), path, ["ingestion_date"])
-    w = (to_bronze(records, tz=tz).writeStream.format("parquet").outputMode("append")
+    bootstrap_table(empty_bronze(records.sparkSession, tz, schema), path, ["ingestion_date"])
+    w = (to_bronze(records, tz=tz, schema=schema).writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("ingestion_date").queryName(query_name))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start(path)
