@@ -5,11 +5,13 @@ for its length and commas to its container and, in falling shares, to the
 ancestors above; an element's points are discounted by its link density. The
 best container, widened to the article that holds it, is kept together with
 siblings that score like it; menus, headers, footers, asides, forms, notices,
-adverts and reader comments are left out by element, role and class. A form, role,
-class or id leaves an element out only if it holds neither the main element, the
-largest article nor most of the page's text; a name that is only partly one of
-boilerplate must hold a small share. Ids inside an article are taken as slugs. A
-page that would be empty is scored again with nothing left out but by element.
+adverts and reader comments are left out by element, role and class. Whatever it
+is named, an element that holds the main element or the longest article stays, as
+does a form around the page's own landmarks. A name that is boilerplate only in
+part halves the points of what it holds; such an element stays if the best
+container lies in it, or if it is all the text of its article. Of several articles
+the one whose paragraphs score best is the text (the first of equals). A page of
+boilerplate alone has an empty text.
 
 Inside a block white space becomes one blank; blocks are joined by an empty
 line. Null or empty pages, and pages without text, give an empty text. Cut-off
@@ -64,10 +66,11 @@ COMMENTS = frozenset("comment comments commentlist disqus respond reply replies
 BASE_POINTS = {"article": 25, "main": 20, "section": 5, "div": 5, "pre": 3, "td": 3, "blockquote": 3,
                "address": -3, "ul": -3, "ol": -3, "dl": -3, "form": -3, "th": -5}
 LEVELS = 5
-# How sure it is that an element is boilerplate, and the share of the page's text
-# outside links from which it is not left out all the same.
-PARTLY, NAMED, READERS, SURE = 1, 2, 3, 4
-SHARES = {PARTLY: 0.2, NAMED: 0.5}
+# How sure it is that an element is boilerplate: part of a name says so, it is a
+# form, its whole name says so, it holds readers' comments, or its kind says so.
+PARTLY, FORM, NAMED, READERS, SURE = 1, 2, 3, 4, 5
+LANDMARKS = frozenset("nav header footer main article".split())
+PARTLY_WEIGHT = 0.5
 
 
 class Element:
@@ -87,31 +90,33 @@ class Element:
 
 
 def _boilerplate(tag: str, attributes: str, inside: bool) -> int:
-    """0 or one of PARTLY to SURE. ``inside``: within an article or main element."""
+    """0 or one of PARTLY to SURE. ``inside``: within an article or main element,
+    where an id names boilerplate only if it is nothing but such words: longer
+    ones, and those of headings, are made from titles."""
     if tag in DROPPED or tag == "header" and not inside:
         return SURE
-    level = NAMED if tag == "form" else 0
+    level = FORM if tag == "form" else 0
     if "=" not in attributes and "hidden" not in attributes or tag in ("html", "body", "main"):
         return level
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name in ("class", "id"):
             for c in value.split():
-                parts = set(filter(None, re.split(r"[_-]+", c)))
-                if re.match(r"(?:has|no|with|is)(?:[_-]|$)", c):
+                parts = {x for x in re.split(r"[_-]+", c) if x and not x.isdigit()}
+                if re.match(r"(?:has|no|with|is)(?:[_-]|$)", c) or name == "id" and tag in HEADINGS:
                     continue
                 if parts and parts <= COMMENTS and tag not in HEADINGS:
                     level = max(level, READERS)
-                elif tag == "article" or name == "id" and inside:
-                    continue
                 elif parts and parts <= CLASSES or c == "header" and not inside:
                     level = max(level, NAMED)
+                elif name == "id" and inside or tag == "article":
+                    continue
                 elif parts & CLASSES or "header" in parts and not inside:
                     level = max(level, PARTLY)
         elif name == "aria-hidden" and value == "true":
             return SURE
         elif name == "role" and value in ROLES:
-            level = max(level, NAMED)
+            level = max(level, FORM if value == "form" else NAMED)
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return SURE
     if re.search(r"(?:^|\s)hidden(?:\s|$)", attributes.lower()):
@@ -119,33 +124,25 @@ def _boilerplate(tag: str, attributes: str, inside: bool) -> int:
     return level
 
 
-def _leave_out(elements: list[Element]) -> None:
-    """Mark the elements that are left out for their names, with all inside."""
+def _leave_out(elements: list[Element]) -> set[Element]:
+    """Mark the elements that are left out for their names, with all inside.
+    Whatever it is named, an element that holds the page's main element or its
+    longest article stays, and so does a form around the page's own landmarks.
+    Returns the elements that stay so."""
     for e in reversed(elements):
         if e.parent is not None:
             e.parent.plain += e.plain
-    page = elements[0].plain
     whole = [e for e in elements if e.tag == "main" and not e.dropped]
-    articles = [e for e in elements if e.tag == "article" and not e.dropped
+    articles = [e for e in elements if e.tag == "article" and not e.dropped and e.doubt < NAMED
                 and not any(x.doubt == READERS for x in e.up())]
     if articles:
         whole.append(max(articles, key=lambda e: e.plain))
     holders = {x for e in whole for x in e.up()}
+    holders |= {x for e in elements if e.tag in LANDMARKS for x in e.up() if x.doubt == FORM}
     for e in elements:
-        if e.parent is not None and e.parent.dropped:
+        if e.parent is not None and e.parent.dropped or e.doubt >= FORM and e not in holders:
             e.dropped = True
-        elif e.doubt and e not in holders:
-            e.dropped = e.dropped or e.doubt == READERS or e.plain < SHARES[e.doubt] * page or not e.plain
-
-
-def blocks(html: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
-    """Text blocks in page order, without boilerplate: the element that holds
-    the block, its text, and how many of its characters are link text. And all
-    elements, parents first."""
-    read, elements = _read(html)
-    _leave_out(elements)
-    out = _join(read, lambda e: not e.dropped)
-    return out or _join(read, lambda e: True), elements
+    return holders
 
 
 def _join(read: list[tuple[Element, list[tuple[Element, str]]]], stays) -> list[tuple[Element, str, int]]:
@@ -247,15 +244,22 @@ def _read(html: str) -> tuple[list[tuple[Element, list[tuple[Element, str]]]], l
     return out, elements
 
 
-def main_text(html: str | None) -> str:
-    """The page's main text."""
-    found, elements = blocks(html or "")
-    if not found:
-        return ""
+def _points(t: str, linked: int) -> float:
+    """What a block is worth: length and commas, less for links."""
+    return (1 - linked / len(t)) * ((len(t) >= 25) + t.count(",") + min(len(t) / 100, 3.0))
+
+
+def _rate(found: list[tuple[Element, str, int]], elements: list[Element], holders: set[Element]) -> dict[Element, float]:
+    """Lengths and points of all elements; the scores of those with text that
+    may be a container."""
+    for e in elements:
+        e.points, e.length, e.linked = 0.0, 0, 0
     for e, t, linked in found:
         e.length += len(t)
         e.linked += linked
-        share = (1 - linked / len(t)) * ((len(t) >= 25) + t.count(",") + min(len(t) / 100, 3.0))
+        share = _points(t, linked)
+        if any(x.doubt == PARTLY and x not in holders for x in e.up()):
+            share *= PARTLY_WEIGHT
         x = e.parent if e.tag in UNIT and e.parent is not None else e
         for level in range(LEVELS):
             if x is None:
@@ -266,19 +270,51 @@ def main_text(html: str | None) -> str:
         if e.parent is not None:
             e.parent.length += e.length
             e.parent.linked += e.linked
-    order = [e for e in elements if e.length]
 
     def score(e: Element) -> float:
         points = e.points + (BASE_POINTS.get(e.tag, 0) if e.points > 0 else 0)
         return points * (1 - e.linked / e.length)
 
-    scores = {e: score(e) for e in order if e.tag not in UNIT or e.tag in ("td", "blockquote", "pre")}
+    return {e: score(e) for e in elements if e.length and (e.tag not in UNIT or e.tag in ("td", "blockquote", "pre"))}
+
+
+def _leave_out_partly(best: Element, found: list[tuple[Element, str, int]], elements: list[Element],
+                      holders: set[Element]) -> None:
+    """Leave out the elements that are boilerplate by part of their name and do not
+    hold ``best``. In an article or main element with no paragraph beside them
+    they are the text itself, and stay."""
+    around = set(best.up()) | holders
+
+    def named(e: Element) -> Element | None:
+        return next((x for x in e.up() if x.doubt == PARTLY and x not in around), None)
+
+    if best.tag in ("article", "main"):
+        own = [e for e, t, linked in found if best in e.up() and e.tag not in HEADINGS and _points(t, linked) > 0.5]
+        if own and all(named(e) for e in own):
+            around |= {x for e in own for x in e.up()}
+    for e in elements:
+        if e.parent is not None and e.parent.dropped or e.doubt == PARTLY and e not in around:
+            e.dropped = True
+
+
+def main_text(html: str | None) -> str:
+    """The page's main text."""
+    read, elements = _read(html or "")
+    holders = _leave_out(elements)
+    found = _join(read, lambda e: not e.dropped)
+    if not found:
+        return ""
+    scores = _rate(found, elements, holders)
     best = max(scores, key=scores.get)
-    top = scores[best]
     for tag in ("article", "main"):
         if holder := next((e for e in best.up() if e.tag == tag), None):
             best = holder
             break
+    _leave_out_partly(best, found, elements, holders)
+    found = _join(read, lambda e: not e.dropped)
+    scores = _rate(found, elements, holders)
+    order = [e for e in elements if e.length]
+    top = max((v for e, v in scores.items() if best in e.up()), default=0)
     kept = {best}
     if best.tag not in ("article", "main") and best.parent is not None:
         # Siblings that read like the text: headings, high scores, long plain paragraphs.
@@ -301,9 +337,7 @@ def _main_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def extract(df: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
-    """Add the main text of every page. An output name that exists is an error."""
-    if out.lower() in (c.lower() for c in df.columns):
-        raise ValueError(f"input already has {out}")
+    """Add the main text of every page; a column of that name is replaced."""
     return df.withColumn(out, F.coalesce(_main_texts(F.coalesce(F.col(html), F.lit(""))), F.lit("")))
 
 

@@ -53,7 +53,11 @@ def test_names_do_not_hide_the_article():
     for page in (f'{nav}<div class="content-sidebar-wrap"><main>{body}</main></div>',
                  f'{nav}<div class="content right-sidebar">{body}</div>', f"<body><form>{nav}{body}</form></body>",
                  f'<div id="overlay"><article>{body}</article></div><div class="sidebar"><p>{LONG} side</p></div>',
-                 f'<div class="comments">{body}</div>'):
+                 f'<article><h2 class="x"></h2><div class="post-widget">{body}</div></article>',
+                 f'<article>{body}</article><div class="sidebar">{body * 3}</div>',
+                 f'<div>{body}</div><div class="related-posts">{body}</div>',
+                 f'<article>{body}<div id="ad-1">{body}</div><div id="newsletter">{body}</div></article>',
+                 f'<article>{body}<div class="ad">{body}</div><div class="promo-box">{body}</div></article>'):
         assert main_text(page) == both, page
     page = f"""<article><h2 id="sharing-your-data">Head</h2><section id="social-impact">{body}</section>
       <section id="menu-options"><p>{LONG}</p></section><h2 id="notice">End</h2><div class="ad">{LONG}</div>
@@ -61,6 +65,21 @@ def test_names_do_not_hide_the_article():
     assert main_text(page) == f"Head\n\n{both}\n\n{LONG}\n\nEnd\n\n{LONG}"
 
 
+def test_pages_of_boilerplate_alone_are_empty():
+    body = f"<p>{LONG}</p><p>{LONG}</p>"
+    for page in (f'<div class="cookie-notice">{body}</div>', f'<section id="comments">{body}</section>',
+                 f"<body><form>{body}</form></body>", f'<div class="comments">{body}</div>', f"<nav>{body}</nav>",
+                 f'<div class="sidebar">{body}</div>', f'<article class="comment">{body}</article>',
+                 f'<div role="navigation">{body}</div>'):
+        assert main_text(page) == "", page
+
+
+def test_of_two_articles_the_better_one():
+    first, second = f"<p>{LONG} one</p>", f"<p>{LONG} two</p><p>{LONG} three</p>"
+    assert main_text(f"<article>{first}</article><article>{second}</article>") == f"{LONG} two\n\n{LONG} three"
+    assert main_text(f"<article>{first}</article><article>{first}</article>") == f"{LONG} one"
+
+
 def test_odd_inputs():
     assert main_text(None) == main_text("") == main_text("<div></div>") == main_text("<!-- x") == ""
     assert main_text("just text &am &#x41;&#0;") == "just text &am A�"
