@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.config import scratch_path
@@ -36,12 +36,31 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name that does not clash with the columns of ``df``."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without columns of these names (in any case): they are about to be
+    replaced by results of the same name."""
+    taken = {n.lower() for n in names}
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in taken))
+
+
+PART_BITS = 33  # of monotonically_increasing_id: partition above, row below
+
+
+def numbered(rows: DataFrame, name: str = "sequences", out: str = "number") -> tuple[DataFrame, int]:
+    """The rows, written, with ``out`` gapless from 0 in the order of the frame
+    (of a sorted frame: its order); and their count.
+
+    The row ids written with them are gapless inside each writing partition, so
+    only one count per partition has to be summed."""
+    kept = materialise(without(rows, out).withColumn("__uid", F.monotonically_increasing_id()), name)
+    part = F.shiftright("__uid", PART_BITS)
+    counts = materialise(kept.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("n")), "counts")
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    joined = kept.withColumn("__part", part).join(first, "__part")
+    low = F.col("__uid").bitwiseAND(F.lit((1 << PART_BITS) - 1))
+    return joined.withColumn(out, F.col("__first") + low).drop("__part", "__first", "__uid"), total
 
 
 def portions(batch: pa.RecordBatch, column: int, rows: int = 500, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:

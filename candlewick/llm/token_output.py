@@ -6,10 +6,16 @@ needs no sort key and no state. Slots are cut into shards of ``shard_rows``;
 rows go to their shard's range partition, are written in slot order with a fixed
 stride, and any slot can be found by arithmetic: reads resume anywhere.
 
-A row of a shard is an unsigned 32-bit length and ``size`` ids, zero-filled.
+A row of a shard is an unsigned 32-bit length and ``size`` ids, zero-filled. To
+waste no stride, documents (their ids and the end id) follow each other in the
+rows of their task, which are full but for the task's last; ``pieces`` tells what
+of which document stands where in a row. Until they are placed, ids travel
+compressed.
+
 Shards are written under names that no other attempt uses; the manifest lists
 those of the attempts that finished. Null texts hold the end id alone; repeated
-rows are separate sequences; an empty table has no shard.
+rows are separate documents; an empty table has no shard. Columns named like those
+that are added are replaced.
 """
 
 from __future__ import annotations
@@ -19,13 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.config import scratch_path
-from candlewick.llm.common import materialise, open_store, table
-from candlewick.llm.packing import tokenise
+from candlewick.llm.common import materialise, numbered, open_store, table
+from candlewick.llm.packing import END_ID, word_ids
 
 SIZE = 512
 DTYPE = "<u2"  # the vocabulary has fewer than 65,536 ids
@@ -33,7 +39,68 @@ SHARD_ROWS = 8192
 KEY = 20240131
 ROUNDS = 6
 MAX_TASKS = 20_000
-PART_BITS = 33  # of monotonically_increasing_id: partition above, row below
+
+
+CODEC = "zstd"
+
+
+def filled(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, end_id: int = END_ID,
+           dtype: str = DTYPE, path: str | None = None) -> DataFrame:
+    """Rows of up to ``size`` ids: pieces (array of key, start in the document,
+    offset in the row, length), length, ids (compressed)."""
+    tail = int(end_id).to_bytes(4, "little")
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = word_ids(path)
+        pieces: list[tuple] = []   # of the rows that are done and the open one
+        ends, lengths, ids = [0], [], []
+        row: list[np.ndarray] = []
+        used = 0
+        kind = None
+
+        def close() -> None:
+            nonlocal row, used
+            ends.append(len(pieces))
+            lengths.append(used)
+            ids.append(pa.compress(np.concatenate(row).astype(dtype).tobytes(), codec=CODEC, asbytes=True))
+            row, used = [], 0
+
+        def frame() -> pa.RecordBatch:
+            nonlocal pieces, ends, lengths, ids
+            done = pieces[:ends[-1]]
+            keys, start, offset, length = zip(*done)
+            struct = pa.StructArray.from_arrays(
+                [pa.array(keys, kind), pa.array(start, pa.int64()), pa.array(offset, pa.int32()), pa.array(length, pa.int32())],
+                names=[key, "start", "offset", "length"])
+            out = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), struct),
+                                              pa.array(lengths, pa.int64()), pa.array(ids, pa.binary())],
+                                             names=["pieces", "length", "ids"])
+            pieces, ends, lengths, ids = pieces[ends[-1]:], [0], [], []
+            return out
+
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                for k, raw in zip(part.column(0).to_pylist(), w.encode(part.column(1).to_pylist())):
+                    own = np.frombuffer(raw + tail, "<u4")
+                    at_id = 0
+                    while at_id < len(own):
+                        take = min(size - used, len(own) - at_id)
+                        pieces.append((k, at_id, used, take))
+                        row.append(own[at_id:at_id + take])
+                        at_id, used = at_id + take, used + take
+                        if used == size:
+                            close()
+                if lengths:
+                    yield frame()
+        if used:
+            close()
+            yield frame()
+
+    field = df.schema[key].dataType.simpleString()
+    return df.select(key, F.col(text).cast("binary").alias("text")).mapInArrow(
+        fill, f"pieces array<struct<`{key}`:{field},start:long,offset:int,length:int>>, length long, ids binary")
 
 
 def permute(i: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -59,22 +126,6 @@ def permute(i: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def numbered(rows: DataFrame, name: str = "sequences") -> tuple[DataFrame, int]:
-    """The rows, written, with ``number`` gapless from 0; and their count.
-
-    The row ids written with them are gapless inside each writing partition, so
-    only one count per partition has to be summed."""
-    kept = materialise(rows.withColumn("__uid", F.monotonically_increasing_id()), name)
-    part = F.shiftright("__uid", PART_BITS)
-    counts = materialise(kept.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")), "counts")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    joined = kept.withColumn("part", part).join(first, "part")
-    low = F.col("__uid").bitwiseAND(F.lit((1 << PART_BITS) - 1))
-    return joined.withColumn("number", F.col("first") + low).drop("part", "first", "__uid"), total
-
-
 def placed(rows: DataFrame, key: int = KEY, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
     """``rows`` with slot, shard and position; and the number of rows."""
     kept, n = numbered(rows)
@@ -84,16 +135,18 @@ def placed(rows: DataFrame, key: int = KEY, shard_rows: int = SHARD_ROWS) -> tup
         for batch in numbers:
             yield pa.array(permute(batch.to_numpy(zero_copy_only=False), n, key))
 
-    kept = kept.withColumn("slot", to_slot("number"))
+    kept = kept.drop("shard", "position").withColumn("slot", to_slot("number"))
     return kept.select("*", F.expr(f"slot div {shard_rows}").alias("shard"), (F.col("slot") % shard_rows).alias("position")), n
 
 
-def write(rows: DataFrame, n: int, folder: str, size: int = SIZE, dtype: str = DTYPE, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def write(rows: DataFrame, n: int, folder: str, size: int = SIZE, dtype: str = DTYPE, shard_rows: int = SHARD_ROWS,
+          codec: str | None = None) -> DataFrame:
     """Write the shards of placed rows (slot, length, ids); returns the
-    manifest (shard, file, first_slot, rows)."""
+    manifest (shard, file, first_slot, rows). ``codec``: how ids are compressed."""
     shards = max(1, -(-n // shard_rows))
     tasks = min(shards, MAX_TASKS)
-    width = np.dtype(dtype).itemsize * size
+    item = np.dtype(dtype).itemsize
+    width = item * size
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_store(folder)
@@ -117,6 +170,8 @@ def write(rows: DataFrame, n: int, folder: str, size: int = SIZE, dtype: str = D
                     out = fs.open_output_stream(f"{root}/{name}", compression=None, buffer_size=1 << 20)
                 if slot != shard * shard_rows + count:
                     raise ValueError(f"slot {slot} does not follow")
+                if codec:
+                    ids = pa.decompress(ids, length * item, codec=codec, asbytes=True)
                 out.write(length.to_bytes(4, "little") + ids.ljust(width, b"\0"))
                 count += 1
         if out is not None:
@@ -162,12 +217,12 @@ def read(manifest: DataFrame, folder: str, size: int = SIZE, dtype: str = DTYPE,
         load, "slot long, length long, ids binary")
 
 
-def op9_feistel_shards(spark, sf_dir) -> DataFrame:
-    """Every sequence of every document with its slot, read back from the shards."""
+def op9_feistel_shards(spark, sf_dir, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Every training sequence with its slot, what it holds of which document, and
+    the ids read back from the shards."""
     folder = scratch_path(spark, "tokens")
-    pieces = tokenise(table(spark, sf_dir, "documents").select("doc_id", "text"), size=SIZE, dtype=DTYPE)
-    rows, n = placed(pieces)
-    back = read(write(rows, n, folder), folder)
-    back = back.select("slot", F.col("length").alias("length"), F.crc32("ids").alias("ids_crc32"))
+    rows, n = placed(filled(table(spark, sf_dir, "documents").select("doc_id", "text")), shard_rows=shard_rows)
+    back = read(write(rows, n, folder, shard_rows=shard_rows, codec=CODEC), folder)
+    back = back.select("slot", "length", F.crc32("ids").alias("ids_crc32"))
     # Rows that come out of a reader have no size the planner could know: no broadcast.
-    return rows.select("doc_id", "piece", "start", "slot", "shard", "position").join(back.hint("merge"), "slot")
+    return rows.select("slot", "shard", "position", "pieces").join(back.hint("merge"), "slot")

@@ -60,5 +60,34 @@ def test_empty_and_fewer_rows_than_shards(spark):
     assert sharding.interleave(d, "source", ["doc_id"]).collect() == []
     d = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, source string")
     assert sorted((r.shard, r.slot) for r in sharding.interleave(d, "source", ["doc_id"]).collect()) == [(0, 0), (1, 0)]
-    with pytest.raises(ValueError):
-        sharding.interleave(d.withColumn("Slot", F.lit(1)), "source", ["doc_id"])
+    clash = d.withColumns({"Slot": F.lit(9), "number": F.lit(2), "part": F.lit(3)})
+    out = sharding.interleave(clash, "source", ["doc_id"])
+    assert out.columns == ["doc_id", "source", "number", "part", "shard", "slot"]
+    assert sorted(r.slot for r in out.collect()) == [0, 0]
+
+
+def test_against_plain_ranks(spark):
+    """The same order by two plain windows."""
+    import duckdb
+    d = spark.range(700).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").when(
+        F.col("id") % 3 == 1, F.concat(F.lit("one"), F.col("id").cast("string"))).otherwise(
+        F.concat(F.lit("s"), (F.col("id") % 9).cast("string"))).alias("source"))
+    pdf = d.withColumn("u", F.xxhash64(F.lit(sharding.SEED), "doc_id")).withColumn(
+        "b", F.shiftrightunsigned("u", 33) % 7).toPandas()  # noqa: F841 - read by name
+    want = duckdb.sql("""
+        WITH r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY b, u, doc_id) - 1 AS rank,
+                          count(*) OVER (PARTITION BY source) AS n FROM pdf),
+        p AS (SELECT doc_id, row_number() OVER (ORDER BY (rank * 2 + 1) / (n * 2), u, source, doc_id) - 1 AS pos FROM r)
+        SELECT doc_id, pos // 100 AS shard, pos % 100 AS slot FROM p""").fetchall()
+    got = sharding.interleave(d, "source", ["doc_id"], shards=7, bucket_rows=100).select("doc_id", "shard", "slot").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_one_row_sources_are_spread(spark):
+    """All fractions are equal: the sort's ties go by the hash, over all tasks."""
+    from candlewick.llm.common import numbered
+    d = spark.range(0, 4000, 1, 4).withColumn("f", F.lit(0.5)).withColumn("u", F.xxhash64("id"))
+    kept, n = numbered(d.repartitionByRange(4, "f", "u").sortWithinPartitions("f", "u"))
+    rows = sorted(kept.collect(), key=lambda r: r.number)
+    assert n == 4000 and [r.u for r in rows] == sorted(r.u for r in rows)
+    assert [r.number for r in rows] == list(range(4000))

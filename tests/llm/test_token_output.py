@@ -18,19 +18,38 @@ def test_permutation(n):
         assert (token_output.permute(np.arange(n)[::-1], n, 1)[::-1] == p).all()
 
 
-def test_query(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(token_output, "SHARD_ROWS", 50)
+def test_query(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
-    out = token_output.op9_feistel_shards(spark, sf_dir).collect()
+    out = token_output.op9_feistel_shards(spark, sf_dir, shard_rows=50).collect()
     assert sorted(r.slot for r in out) == list(range(len(out)))
+    assert {(r.shard, r.position) for r in out} == {divmod(s, 50) for s in range(len(out))} and len({r.shard for r in out}) > 3
     w = packing.word_ids()
-    length = dict.fromkeys(docs, 0)
+    ids = {d: np.frombuffer(w.encode([t])[0] + bytes(4), "<u4").astype("<u2") for d, t in docs.items()}
+    held = {d: [] for d in docs}
     for r in out:
-        ids = np.frombuffer(w.encode([docs[r.doc_id]])[0] + bytes(4), "<u4").astype("<u2")
-        assert r.ids_crc32 == zlib.crc32(ids[r.start:r.start + r.length].tobytes())
-        length[r.doc_id] += r.length
-        assert length[r.doc_id] <= len(ids)
-    assert len({r.doc_id for r in out}) == len(docs)
+        assert [p.offset for p in r.pieces] == np.cumsum([0, *(p.length for p in r.pieces[:-1])]).tolist()
+        assert r.length == sum(p.length for p in r.pieces)
+        row = np.concatenate([ids[p.doc_id][p.start:p.start + p.length] for p in r.pieces])
+        assert r.ids_crc32 == zlib.crc32(row.tobytes())
+        for p in r.pieces:
+            held[p.doc_id].append((p.start, p.length))
+    for d, pieces in held.items():
+        pieces.sort()
+        assert [s for s, _ in pieces] == np.cumsum([0, *(n for _, n in pieces[:-1])]).tolist()
+        assert sum(n for _, n in pieces) == len(ids[d])
+    # Every task leaves one row that is not full.
+    assert sum(r.length < token_output.SIZE for r in out) <= 8
+
+
+def test_filled_rows(spark, frame, texts):
+    out = token_output.filled(frame(texts).coalesce(1), size=8).collect()
+    w = packing.word_ids()
+    every = np.concatenate([np.frombuffer(x + bytes(4), "<u4") for x in w.encode(texts)])
+    rows = [np.frombuffer(__import__("pyarrow").decompress(r.ids, 2 * r.length, codec="zstd", asbytes=True), "<u2") for r in out]
+    assert (np.concatenate(rows) == every).all() and [len(r) for r in rows[:-1]] == [8] * (len(rows) - 1)
+    clash = frame(["a"]).withColumnsRenamed({"word": "number", "source": "part"})
+    rows, n = token_output.placed(clash.select("*", *(token_output.F.lit(x).alias(x) for x in ("shard", "position"))))
+    assert n == 1 and rows.columns == ["doc_id", "text", "number", "slot", "shard", "position"]
 
 
 def test_resume(spark, frame, texts, tmp):
@@ -45,6 +64,6 @@ def test_resume(spark, frame, texts, tmp):
 
 
 def test_empty(spark, frame, tmp):
-    rows, n = token_output.placed(packing.tokenise(frame(["x"]).limit(0), dtype="<u2"))
-    m = token_output.write(rows, n, tmp + "/t")
+    rows, n = token_output.placed(token_output.filled(frame(["x"]).limit(0)))
+    m = token_output.write(rows, n, tmp + "/t", codec=token_output.CODEC)
     assert n == 0 and m.collect() == [] and token_output.read(m, tmp + "/t").collect() == []
