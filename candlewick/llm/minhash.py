@@ -26,6 +26,7 @@ so repeated rows and null or repeated keys are fine.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import materialise, portions, table
+from candlewick.llm.common import materialise, portions, table, without
 
 WIDTH = 5
 SIMILARITY_PCT = 80
@@ -200,6 +201,9 @@ def _parts(pairs: DataFrame) -> DataFrame:
     return pairs.join(many, "a", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
 
 
+LENGTH_BAND = 1.05  # sets of one band differ by less than this in length
+
+
 def _prefix_pairs(sides: DataFrame, texts: DataFrame, width: int, pct: int) -> DataFrame:
     """Pairs a < b of different roots, one of them ``outer``, that may be links.
 
@@ -207,7 +211,8 @@ def _prefix_pairs(sides: DataFrame, texts: DataFrame, width: int, pct: int) -> D
     are similar enough share one of their first n - ceil(n pct / 100) + 1
     shingles, and behind the first shared one enough shingles are left for the
     overlap needed. Exact: what this leaves out is no link. Passages that many
-    texts share come last in the order, so they make no pairs."""
+    texts share come last in the order, so they make no pairs; which places will
+    do is part of the join's key, so pairs that can't be links are not formed."""
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in portions(batch, 1):
@@ -226,10 +231,23 @@ def _prefix_pairs(sides: DataFrame, texts: DataFrame, width: int, pct: int) -> D
               .where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * pct / 100))
               .select("gram", "cls", "n", "root", "outer", "place"))
     ranked = materialise(ranked, "prefixes")
-    x = ranked.where("outer").select("gram", *(F.col(c).alias(f"x_{c}") for c in ("cls", "n", "root", "place")))
-    y = ranked.select("gram", *(F.col(c).alias(f"y_{c}") for c in ("cls", "n", "root", "outer", "place")))
+    # Both sides name, beside the shingle, the length bands of the two sets, and
+    # only bands for whose shortest set enough shingles are left: a family of texts
+    # just below the threshold shares shingles, but not at places that could do.
+    band = F.floor(F.log("n") / math.log(LENGTH_BAND))
+
+    def keyed(side: DataFrame, own: str, other: str) -> DataFrame:
+        reach = math.ceil(math.log(100 / pct) / math.log(LENGTH_BAND)) + 1
+        s = side.withColumn(own, band).withColumn(other, F.explode(F.sequence(F.col(own) - reach, F.col(own) + reach)))
+        shortest = F.greatest(F.lit(1), F.floor(F.pow(F.lit(LENGTH_BAND), F.col(other)) - 1))
+        return s.where((F.col("n") - F.col("place")) * (100 + pct) >= (F.col("n") + shortest) * pct)
+
+    x = keyed(ranked.where("outer"), "x_band", "y_band").select(
+        "gram", "x_band", "y_band", *(F.col(c).alias(f"x_{c}") for c in ("cls", "n", "root", "place")))
+    y = keyed(ranked, "y_band", "x_band").select(
+        "gram", "x_band", "y_band", *(F.col(c).alias(f"y_{c}") for c in ("cls", "n", "root", "outer", "place")))
     left = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place"))
-    return (x.join(y, (x["gram"] == y["gram"]) & (F.col("x_root") != F.col("y_root"))
+    return (x.join(y, ["gram", "x_band", "y_band"]).where((F.col("x_root") != F.col("y_root"))
                    & (~F.col("y_outer") | (F.col("x_cls") < F.col("y_cls")))
                    & (F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * pct)
                    & (left * (100 + pct) >= (F.col("x_n") + F.col("y_n")) * pct))
@@ -289,9 +307,8 @@ def union_find(edges: DataFrame) -> DataFrame:
 def group(df: DataFrame, text: str = "text", width: int = WIDTH, similarity_pct: int = SIMILARITY_PCT,
           bands: int = BANDS, band_slots: int = BAND_SLOTS) -> DataFrame:
     """``df`` with ``row_id`` (unique), ``n_shingles`` and ``group_id`` (the
-    smallest row_id of its group). Output names that exist are an error."""
-    if clash := {"row_id", "n_shingles", "group_id"} & {c.lower() for c in df.columns}:
-        raise ValueError(f"input already has {sorted(clash)}")
+    smallest row_id of its group); columns of these names are replaced."""
+    df = without(df, "row_id", "n_shingles", "group_id")
     # Own names for the input's columns; the text is the last.
     own = {c: f"o{i}" for i, c in enumerate(df.columns)}
     flat = df.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items()), F.monotonically_increasing_id().alias("row_id"))
@@ -347,8 +364,9 @@ def group(df: DataFrame, text: str = "text", width: int = WIDTH, similarity_pct:
 def keep_one(df: DataFrame, text: str = "text", **parameters) -> DataFrame:
     """The rows without later copies: of each group the row of smallest row_id
     stays, with its own columns."""
-    g = group(df, text, **parameters)
-    return g.where(F.col("row_id") == F.col("group_id")).select(*df.columns)
+    g = group(df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("own"), F.col(f"`{text}`").alias("text")),
+              **parameters)
+    return g.where(F.col("row_id") == F.col("group_id")).select("own.*")
 
 
 def op10_superminhash(spark, sf_dir) -> DataFrame:

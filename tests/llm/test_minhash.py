@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from candlewick.llm import minhash
 
@@ -126,5 +127,24 @@ def test_keep_one(frame, texts):
     assert out.columns == d.columns
     assert sorted(r.word for r in out.collect()) == [0, 2, 3, 4, 5]
     assert minhash.keep_one(d.limit(0)).collect() == []
-    with pytest.raises(ValueError):
-        minhash.group(d.withColumnRenamed("word", "Group_ID"))
+    clash = d.withColumnsRenamed({"word": "Group_ID", "source": "row_id"})
+    assert minhash.group(clash).columns == ["doc_id", "text", "row_id", "n_shingles", "group_id"]
+    kept = minhash.keep_one(clash)
+    assert kept.columns == ["doc_id", "text", "row_id", "Group_ID"]
+    assert sorted(r.Group_ID for r in kept.collect()) == [0, 2, 3, 4, 5]
+
+
+def test_a_family_just_below_the_threshold_makes_no_pairs(spark):
+    """Texts of one length that share three quarters of their shingles, all of
+    them open: the positions in the join key keep them apart."""
+    shared = " ".join(f"t{i}" for i in range(120))
+    texts = [(i, f"{shared} " + " ".join(f"u{i}_{j}" for j in range(20))) for i in range(60)]
+    docs = spark.createDataFrame(texts, "cls long, text string")
+    grams = [[tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)] for _, t in texts]
+    assert len(set(grams[0]) & set(grams[1])) / len(set(grams[0]) | set(grams[1])) < 0.76
+    sides = docs.select("cls", F.lit(len(set(grams[0]))).cast("long").alias("n"), F.col("cls").alias("root"), F.lit(True).alias("outer"))
+    assert minhash._prefix_pairs(sides, docs, 5, 80).count() == 0
+    # Texts of one length that do share enough still meet.
+    near = spark.createDataFrame([(i, f"{shared} {shared[::-1]} u{i}") for i in range(6)], "cls long, text string")
+    n = near.select("cls", F.lit(len(f"{shared} {shared}".split()) + 1 - 4).cast("long").alias("n")).join(sides.drop("n"), "cls")
+    assert minhash._prefix_pairs(n, near, 5, 80).count() == 15
