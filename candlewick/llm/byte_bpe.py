@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import portions, table
+from candlewick.llm.common import portions, table, without
 
 RANKS = "byte_bpe_50k.tiktoken"
 CACHE_ENTRIES = 200_000
@@ -97,10 +97,13 @@ class ByteBPE:
         import regex
         import sentencepiece
 
-        self.tokens = read_ranks(path)
-        self.whole = {t: i for i, t in enumerate(self.tokens)}
-        self.sp = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(self.tokens))
+        ranks = read_ranks(path)
+        self.whole = {t: i for i, t in enumerate(ranks)}
+        self.sp = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(ranks))
         self.chars = {b: ord(c) for b, c in enumerate(byte_chars())}
+        # Decoding: an id's piece, each character mapped back to its byte.
+        back = {c: b for b, c in enumerate(byte_chars())}
+        self.tokens = [bytes(back[c] for c in self.sp.id_to_piece(i)) for i in range(len(ranks))]
         self.find = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]")
                                   .replace(r"\S", f"[^{WHITE}]"), regex.V0).findall
         self.odd_blank = re.compile(f" [{WHITE}]|[{WHITE}] |^ | $").search
@@ -147,12 +150,6 @@ def coder(path: str | None = None) -> ByteBPE:
     return ByteBPE(path or public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
-def _new(df: DataFrame, *names: str) -> None:
-    taken = {c.lower() for c in df.columns}
-    if clash := [n for n in names if n.lower() in taken]:
-        raise ValueError(f"input already has {clash}")
-
-
 def _fields(df: DataFrame) -> str:
     return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema)
 
@@ -161,8 +158,8 @@ def encode(df: DataFrame, text: str = "text", out: str = "ids", decoded: str | N
            path: str | None = None) -> DataFrame:
     """Add the token ids of every text; with ``decoded`` also the bytes that
     these ids stand for, mapped back in the same worker. ``keep_text=False``
-    leaves the text out of the result."""
-    _new(df, out, *([decoded] if decoded else []))
+    leaves the text out of the result. Columns named like those added are replaced."""
+    df = without(df, out, *([decoded] if decoded else []))
     names = df.columns
     at = names.index(text)
     kept = df if keep_text else df.drop(text)
@@ -185,7 +182,7 @@ def encode(df: DataFrame, text: str = "text", out: str = "ids", decoded: str | N
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None) -> DataFrame:
     """Add the bytes that the ids stand for. Null ids decode to nothing."""
-    _new(df, out)
+    df = without(df, out)
     at = df.columns.index(ids)
     result = [*df.columns, out]
 

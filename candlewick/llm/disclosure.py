@@ -36,7 +36,6 @@ MIN_TERM_CHARS = 3
 PRIOR_ODDS = 1e-3
 GENERALISE_AT = 0.75
 REMOVE_AT = 0.95
-BROADCAST_TERMS = 10_000
 PART = 256
 
 # The contract's patterns. A local part, or a number, can only start where a run
@@ -167,10 +166,7 @@ def disclosing(holders: DataFrame, documents: DataFrame, text: str) -> DataFrame
     mentioned = holders.select("row_id", F.explode(_words(F.col("body"))).alias("term"))
     terms = materialise(mentioned.select("term").distinct(), "terms")
     words = documents.select(F.explode(_words(F.col(text))).alias("term"))
-    if terms.count() <= BROADCAST_TERMS:
-        counts = words.join(F.broadcast(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    else:
-        counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term")
+    counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term")
     total = F.lit(documents.count()).cast("double")
     ic = F.log(total / F.col("n_e"))
     # n_et <= n_e, so no other pair can reach the threshold.
@@ -191,15 +187,16 @@ def disclosing(holders: DataFrame, documents: DataFrame, text: str) -> DataFrame
 
 def detect(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (default: all) with ``base`` (spans by kind) and
-    ``terms`` (start, end, disclosure, sure, sorted). Output names that exist are an error."""
-    if clash := {"row_id", "text_hash", "entities", "body", "base", "terms"} & {c.lower() for c in df.columns}:
-        raise ValueError(f"input already has {sorted(clash)}")
-    keep = df.columns if keep is None else keep
-    t = F.coalesce(F.col(text), F.lit(""))
-    based = find(df.select("*", t.alias("__text")), "__text").withColumn("__spans", _all_spans())
+    ``terms`` (start, end, disclosure, sure, sorted); columns of these two names
+    are replaced."""
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in ("base", "terms")]
+    own = {c: f"own{i}" for i, c in enumerate(keep)}
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    based = find(df.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items()), t.alias("__text")), "__text")
+    based = based.withColumn("__spans", _all_spans())
     holds = F.size("__spans") > 0
     found = materialise(based.select(
-        *keep, F.monotonically_increasing_id().alias("row_id"), F.xxhash64("__text").alias("text_hash"), "base",
+        *own.values(), F.monotonically_increasing_id().alias("row_id"), F.xxhash64("__text").alias("text_hash"), "base",
         F.when(holds, F.array_distinct(F.transform("__spans", lambda x: x["entity"]))).alias("entities"),
         F.when(holds, F.col("__text")).alias("body")), "found")
     marked = disclosing(found.select("row_id", "text_hash", "entities", "body").where("body is not null"),
@@ -212,13 +209,14 @@ def detect(df: DataFrame, text: str = "text", keep: list[str] | None = None) ->
         return ~F.exists(spans, lambda o: (o["start"] < x["end"]) & (x["start"] < o["end"]))
 
     empty = F.array().cast("array<struct<start:int,end:int,disclosure:double,sure:double>>")
-    return (found.drop("entities", "body", "text_hash").join(terms, "row_id", "left")
-            .withColumn("terms", F.coalesce(F.filter("terms", outside), empty)).drop("row_id"))
+    return found.join(terms, "row_id", "left").select(
+        *(F.col(n).alias(c) for c, n in own.items()), "base", F.coalesce(F.filter("terms", outside), empty).alias("terms"))
 
 
 def sanitise(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with base spans replaced by <EMAIL>, <IP>, <CARD> or <PHONE>,
-    disclosing terms by their class or nothing. Null texts stay null."""
+    disclosing terms by their class (<NUMBER>, <NAME> for a capital, <WORD>) or
+    nothing. Null texts stay null."""
     own = {c: f"o{i}" for i, c in enumerate(df.columns)}
     t = own[text]
     d = detect(df.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items())), t)
@@ -229,7 +227,9 @@ def sanitise(df: DataFrame, text: str = "text") -> DataFrame:
         return lambda s: F.lit(f"<{kind.upper()}>")
 
     def term(s: Column) -> Column:
-        return F.when(s["sure"] >= REMOVE_AT, F.lit("")).otherwise(F.lit("<TERM>"))
+        value = F.substring(F.col(t), s["start"] + 1, s["end"] - s["start"])
+        return F.when(s["sure"] >= REMOVE_AT, F.lit("")).when(F.rlike(value, F.lit("^[0-9]+$")), F.lit("<NUMBER>")).when(
+            F.rlike(value, F.lit(r"^\p{Lu}")), F.lit("<NAME>")).otherwise(F.lit("<WORD>"))
 
     marks = [*(F.transform(F.col(f"base.{k}"), mark(tag(k))) for k in KINDS), F.transform("terms", mark(term))]
 

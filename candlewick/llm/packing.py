@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.byte_bpe import byte_chars
-from candlewick.llm.common import materialise, table
+from candlewick.llm.common import materialise, table, without
 
 VOCABULARY = "word_bpe_49k.json"
 SEQUENCE = 2048
@@ -214,9 +214,9 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE, length: str = "length", gr
     """Add sequence_id and offset to every piece; other columns pass through.
 
     Rows get an id when they are written to the shared folder, so equal rows
-    are packed as separate pieces. An empty table gives an empty table."""
-    if clash := {"sequence_id", "offset"} & {c.lower() for c in pieces.columns}:
-        raise ValueError(f"input already has {sorted(clash)}")
+    are packed as separate pieces. An empty table gives an empty table; columns
+    named like those added are replaced."""
+    pieces = without(pieces, "sequence_id", "offset")
     kept = materialise(pieces.withColumn("__uid", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-kept.count() // group_pieces))
     kept = kept.withColumn("__group", F.pmod(F.xxhash64("__uid"), F.lit(groups)))

@@ -15,12 +15,12 @@ one, so repeats and ties need no rule; other columns pass through.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import let, table
+from candlewick.llm.common import let, table, without
 
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
@@ -46,7 +46,7 @@ class Rule:
 
 # Thresholds: length, symbol, stop-word and line ratios.
 RULES = (
-    Rule("words", "n_words", None, 50, 100_000),
+    Rule("words", "n_words", None, 50, None),
     Rule("word_length", "word_chars", "n_words", 3, 12),
     Rule("symbols", "n_symbols", "n_words", None, 0.1),
     Rule("stop_words", "n_stop_words", "n_words", 0.02, None),
@@ -58,11 +58,6 @@ RULES = (
 )
 
 
-# The filter judges long texts by their ratios, as any other length; only the
-# registered query keeps the upper bound that its SQL states.
-FILTER_RULES = tuple(replace(r, high=None) if r.name == "words" else r for r in RULES)
-
-
 def _repeat_words(words: Column) -> Column:
     """Word positions inside a 3-word window that occurs twice or more.
 
@@ -102,12 +97,17 @@ def _repeat_words(words: Column) -> Column:
     return let(found, lambda s: covered(repeated(s)))
 
 
+COUNTS = frozenset("n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_stop_words n_letters n_capitals "
+                   "n_marks".split())
+
+
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add the counts the rules use."""
+    """Add the counts the rules use; columns of their names are replaced."""
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     lines = F.filter(F.split(t, "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
-    d = (df.withColumn("__t", t).withColumn("__w", words).withColumn("__l", lines))
+    own = [c for c in df.columns if c.lower() not in COUNTS]
+    d = df.select(*(F.col(f"`{c}`") for c in own), t.alias("__t"), words.alias("__w"), lines.alias("__l"))
     t = F.col("__t")
     w, ln = F.col("__w"), F.col("__l")
     counts = {
@@ -122,7 +122,7 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
         "n_capitals": F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}+", "")),
         "n_marks": F.length(t) - F.length(F.regexp_replace(t, r"[.!?]+", "")),
     }
-    return d.select(*df.columns, *(c.cast("long").alias(n) for n, c in counts.items()))
+    return d.select(*(F.col(f"`{c}`") for c in own), *(c.cast("long").alias(n) for n, c in counts.items()))
 
 
 def compile_rules(rules=RULES) -> dict[str, Column]:
@@ -143,8 +143,9 @@ def compile_rules(rules=RULES) -> dict[str, Column]:
 
 
 def judge(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
-    """All counts, ``base_failed``, ``failed_rules`` and ``kept``."""
-    m = measure(df, text)
+    """All counts, ``base_failed``, ``failed_rules`` and ``kept``; columns of
+    these names are replaced."""
+    m = measure(without(df, "base_failed", "failed_rules", "kept"), text)
     checks = compile_rules(rules)
     base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PCT)
     failed = F.filter(F.array(*(F.when(~c, F.lit(n)) for n, c in checks.items())), lambda x: x.isNotNull())
@@ -152,7 +153,7 @@ def judge(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
                     (~base & (F.size(failed) == 0)).alias("kept"))
 
 
-def keep_good(df: DataFrame, text: str = "text", rules=FILTER_RULES) -> DataFrame:
+def keep_good(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """The rows that pass, with their own columns."""
     named = df.select(F.struct("*").alias("__row"), F.col(text).alias("__text"))
     # The non-deterministic column holds the filter above the counts; pushed

@@ -59,7 +59,9 @@ def test_filter_keeps_books(frame):
     book = " ".join("the " + "".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(50_001))
     assert len(book.split()) == 100_002
     assert [r.text for r in quality.keep_good(frame([book])).collect()] == [book]
-    assert quality.keep_good(frame([book]), rules=quality.RULES).collect() == []
+    clash = frame([book]).withColumnsRenamed({"word": "n_words", "source": "kept"})
+    out = quality.judge(clash).collect()
+    assert out[0].n_words == 100_002 and out[0].kept and len(out[0]) == 2 + 10 + 3
 
 
 def test_no_user_functions(spark, sf_dir):
