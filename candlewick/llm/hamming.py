@@ -11,7 +11,7 @@ Equal codes are one entry that holds its k + 1 smallest ids, so groups of copies
 cost no more than one vector. The entries are dealt into blocks of bounded size;
 every block answers every block of queries by itself, and only each block's best
 k + 1 rows are merged. Ties are broken by id. Null vectors and null ids take no
-part; null and NaN elements count as not positive.
+part; null and NaN elements count as not positive; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,19 +33,25 @@ SEGMENT = 16
 BLOCK_CODES = 1 << 16
 QUERY_BLOCK = 1 << 10
 QUERY_EVERY = 20
+MAX_TASKS = 20_000
 
 
 def codes(df: DataFrame, key: str, vector: str, bits: int) -> DataFrame:
     """id and code (binary): bit i is set where element i is positive."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for v in batch.column(1).to_pylist():
-                x = np.zeros(-(-bits // 64) * 64, bool)
-                v = v[:bits]
-                x[:len(v)] = [e is not None and e > 0 for e in v]
-                out.append(np.packbits(x).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["id", "code"])
+            for at in range(0, batch.num_rows, 2_000):
+                part = batch.slice(at, 2_000)
+                positive = pc.fill_null(pc.greater(part.column(1).flatten(), 0), False).to_numpy(zero_copy_only=False)
+                size = pc.list_value_length(part.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
+                row = np.repeat(np.arange(len(size)), size)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+                x = np.zeros((len(size), -(-bits // 64) * 64), bool)
+                own = place < bits
+                x[row[own], place[own]] = positive[own]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([c.tobytes() for c in np.packbits(x, axis=1)], pa.binary())],
+                    names=["id", "code"])
 
     d = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
     return d.mapInArrow(sign, "id long, code binary")
@@ -151,6 +158,10 @@ def top_k(coded: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         "q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
     a = asked.withColumn("q", F.pmod(F.xxhash64(F.lit(7), "code"), F.lit(parts))).withColumn(
         "e", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    # The work of a pair of blocks has nothing to do with its bytes: as many tasks as
+    # pairs, which the planner must not merge.
+    tasks = min(MAX_TASKS, blocks * parts)
+    e, a = (x.repartition(tasks, "e", "q") for x in (e, a))
     near = e.groupBy("e", "q").cogroup(a.groupBy("e", "q")).applyInPandas(
         _answer(k + 1), "query_code binary, id long, distance int")
     merge = Window.partitionBy("query_code").orderBy("distance", "id")
@@ -174,7 +185,7 @@ def op4_multi_index_hashing(spark, sf_dir) -> DataFrame:
 
 SQL = f"""
 WITH c AS (
-  SELECT vec_id, CAST(array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS BIT) AS code
+  SELECT vec_id, CAST(array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 AND NOT isnan(x) THEN '1' ELSE '0' END), '') AS BIT) AS code
   FROM embeddings
 ), p AS (
   SELECT q.vec_id AS query_id, n.vec_id AS neighbor_id, CAST(bit_count(xor(q.code, n.code)) AS INTEGER) AS distance

@@ -34,9 +34,11 @@ def test_round_trip(spark, pages, tmp):
     assert warc.write(pages.limit(0), tmp + "/none").count() == 0
 
 
-def test_query_rolls_archives(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(warc, "ROLL_BYTES", 10_000)
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+def test_archives_roll(spark, sf_dir, tmp):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").coalesce(1)
+    m = warc.write(pages, tmp + "/w", roll_bytes=10_000).collect()
+    assert len(m) > 3 and sum(r.records for r in m) == pages.count()
+    assert all(r.bytes >= 10_000 for r in sorted(m, key=lambda r: r.bytes)[1:])
     assert warc.op5_warc_salvage(spark, sf_dir).count() == pages.count()
 
 
