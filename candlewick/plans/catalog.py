@@ -727,6 +727,17 @@ def q_incremental_snapshot(spark, d):
     return snapshot_from_states(stored(spark, f"{root}/days"), c, dim(spark, d), AS_OF, TZ, LOOKBACK_DAYS)
 
 
+def q_merge_bucketed(spark, d):
+    """The target and a high-water slice merged in buckets of their key."""
+    from candlewick.sources.bucketed import create_bucketed, merge_bucketed
+    _, target, sl = _target_and_slice(spark, d)
+    path = scratch_path(spark, "buckets")
+    name = "lake.silver_" + path.rsplit("-", 1)[-1]
+    create_bucketed(spark, target, name, path, spark.sparkContext.defaultParallelism)
+    merge_bucketed(spark, silver_quotes(sl, TZ), name)
+    return spark.table(name)
+
+
 # --- streams with state ----------------------------------------------------------------------
 
 FEED_CUTS = ("2024-01-11 13:00:00", "2024-01-20 12:00:00")   # in the middle of trading days
@@ -1019,6 +1030,7 @@ QUERIES = {
     "run_artifacts": q_run_artifacts,
     "incremental_corrections": q_incremental_corrections,
     "incremental_snapshot": q_incremental_snapshot,
+    "merge_bucketed": q_merge_bucketed,
     "stream_running_state": q_stream_running_state,
     "stream_candles": q_stream_candles,
     "stream_deliver_once": q_stream_deliver_once,
