@@ -9,8 +9,8 @@ stride, and any slot can be found by arithmetic: reads resume anywhere.
 A row of a shard is an unsigned 32-bit length and ``size`` ids, zero-filled. To
 waste no stride, documents (their ids and the end id) follow each other in the
 rows of their task, which are full but for the task's last; ``pieces`` tells what
-of which document stands where in a row. Until they are placed, ids travel
-compressed.
+of which document stands where in a row. On the way to their shard, ids are
+compressed with a dictionary made from a few rows.
 
 Shards are written under names that no other attempt uses; the manifest lists
 those of the attempts that finished. Null texts hold the end id alone; repeated
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,13 +42,28 @@ ROUNDS = 6
 MAX_TASKS = 20_000
 
 
-CODEC = "zstd"
+SAMPLE_ROWS = 1_500  # of which the dictionary is made; the ids are the same with any
+DICTIONARY_BYTES = 1 << 16
+LEVEL = 6
+
+
+def _dictionary(rows: DataFrame) -> bytes | None:
+    """A dictionary for the ids of some rows (None: too few to make one)."""
+    try:
+        return zstandard.train_dictionary(
+            DICTIONARY_BYTES, [bytes(r.ids) for r in rows.select("ids").limit(SAMPLE_ROWS).collect()]).as_bytes()
+    except zstandard.ZstdError:
+        return None
+
+
+def _codec(kind: type, dictionary: bytes | None, **options):
+    return kind(dict_data=dictionary and zstandard.ZstdCompressionDict(dictionary), **options)
 
 
 def filled(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, end_id: int = END_ID,
            dtype: str = DTYPE, path: str | None = None) -> DataFrame:
     """Rows of up to ``size`` ids: pieces (array of key, start in the document,
-    offset in the row, length), length, ids (compressed)."""
+    offset in the row, length), length, ids (binary, of ``dtype``)."""
     tail = int(end_id).to_bytes(4, "little")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,7 +78,7 @@ def filled(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
             nonlocal row, used
             ends.append(len(pieces))
             lengths.append(used)
-            ids.append(pa.compress(np.concatenate(row).astype(dtype).tobytes(), codec=CODEC, asbytes=True))
+            ids.append(np.concatenate(row).astype(dtype).tobytes())
             row, used = [], 0
 
         def frame() -> pa.RecordBatch:
@@ -139,17 +155,23 @@ def placed(rows: DataFrame, key: int = KEY, shard_rows: int = SHARD_ROWS) -> tup
     return kept.select("*", F.expr(f"slot div {shard_rows}").alias("shard"), (F.col("slot") % shard_rows).alias("position")), n
 
 
-def write(rows: DataFrame, n: int, folder: str, size: int = SIZE, dtype: str = DTYPE, shard_rows: int = SHARD_ROWS,
-          codec: str | None = None) -> DataFrame:
+def write(rows: DataFrame, n: int, folder: str, size: int = SIZE, dtype: str = DTYPE, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Write the shards of placed rows (slot, length, ids); returns the
-    manifest (shard, file, first_slot, rows). ``codec``: how ids are compressed."""
+    manifest (shard, file, first_slot, rows)."""
     shards = max(1, -(-n // shard_rows))
     tasks = min(shards, MAX_TASKS)
-    item = np.dtype(dtype).itemsize
-    width = item * size
+    width = np.dtype(dtype).itemsize * size
+    dictionary = _dictionary(rows)
+
+    @F.arrow_udf(T.BinaryType())
+    def squeezed(ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pack = _codec(zstandard.ZstdCompressor, dictionary, level=LEVEL, write_checksum=False, write_dict_id=False).compress
+        for batch in ids:
+            yield pa.array([pack(x.as_py()) for x in batch], pa.binary())
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_store(folder)
+        unpack = _codec(zstandard.ZstdDecompressor, dictionary).decompress
         out, shard, name, count = None, None, "", 0
 
         def closed() -> pa.RecordBatch:
@@ -170,15 +192,13 @@ def write(rows: DataFrame, n: int, folder: str, size: int = SIZE, dtype: str = D
                     out = fs.open_output_stream(f"{root}/{name}", compression=None, buffer_size=1 << 20)
                 if slot != shard * shard_rows + count:
                     raise ValueError(f"slot {slot} does not follow")
-                if codec:
-                    ids = pa.decompress(ids, length * item, codec=codec, asbytes=True)
-                out.write(length.to_bytes(4, "little") + ids.ljust(width, b"\0"))
+                out.write(length.to_bytes(4, "little") + unpack(ids).ljust(width, b"\0"))
                 count += 1
         if out is not None:
             yield closed()
 
     # Range partitions: consecutive shards, in order.
-    dealt = rows.select("slot", "length", "ids").repartitionById(tasks, F.expr(f"int(slot div {shard_rows} * {tasks} div {shards})"))
+    dealt = rows.select("slot", "length", squeezed("ids").alias("ids")).repartitionById(tasks, F.expr(f"int(slot div {shard_rows} * {tasks} div {shards})"))
     return materialise(dealt.sortWithinPartitions("slot").mapInArrow(
         save, "shard long, file string, first_slot long, rows long"), "shards")
 
@@ -222,7 +242,7 @@ def op9_feistel_shards(spark, sf_dir, shard_rows: int = SHARD_ROWS) -> DataFrame
     the ids read back from the shards."""
     folder = scratch_path(spark, "tokens")
     rows, n = placed(filled(table(spark, sf_dir, "documents").select("doc_id", "text")), shard_rows=shard_rows)
-    back = read(write(rows, n, folder, shard_rows=shard_rows, codec=CODEC), folder)
+    back = read(write(rows, n, folder, shard_rows=shard_rows), folder)
     back = back.select("slot", "length", F.crc32("ids").alias("ids_crc32"))
     # Rows that come out of a reader have no size the planner could know: no broadcast.
     return rows.select("slot", "shard", "position", "pieces").join(back.hint("merge"), "slot")
