@@ -49,7 +49,7 @@ def test_filled_rows(spark, frame, texts):
     assert (np.concatenate(rows) == every).all() and [len(r) for r in rows[:-1]] == [8] * (len(rows) - 1)
     clash = frame(["a"]).withColumnsRenamed({"word": "number", "source": "part"})
     rows, n = token_output.placed(clash.select("*", *(token_output.F.lit(x).alias(x) for x in ("shard", "position"))))
-    assert n == 1 and rows.columns == ["doc_id", "text", "number", "slot", "shard", "position"]
+    assert n == 1 and rows.columns == ["doc_id", "text", "part", "number", "slot", "shard", "position"]
 
 
 def test_resume(spark, frame, texts, tmp):
