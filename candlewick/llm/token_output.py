@@ -44,7 +44,7 @@ MAX_TASKS = 20_000
 
 SAMPLE_ROWS = 1_500  # of which the dictionary is made; the ids are the same with any
 DICTIONARY_BYTES = 1 << 16
-LEVEL = 6
+LEVEL = 1
 
 
 def _dictionary(rows: DataFrame) -> bytes | None:
@@ -65,12 +65,13 @@ def filled(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     """Rows of up to ``size`` ids: pieces (array of key, start in the document,
     offset in the row, length), length, ids (binary, of ``dtype``)."""
     tail = int(end_id).to_bytes(4, "little")
+    item = np.dtype(dtype).itemsize
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = word_ids(path)
         pieces: list[tuple] = []   # of the rows that are done and the open one
         ends, lengths, ids = [0], [], []
-        row: list[np.ndarray] = []
+        row: list[bytes] = []
         used = 0
         kind = None
 
@@ -78,7 +79,7 @@ def filled(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
             nonlocal row, used
             ends.append(len(pieces))
             lengths.append(used)
-            ids.append(np.concatenate(row).astype(dtype).tobytes())
+            ids.append(b"".join(row))
             row, used = [], 0
 
         def frame() -> pa.RecordBatch:
@@ -99,12 +100,12 @@ def filled(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 for k, raw in zip(part.column(0).to_pylist(), w.encode(part.column(1).to_pylist())):
-                    own = np.frombuffer(raw + tail, "<u4")
-                    at_id = 0
-                    while at_id < len(own):
-                        take = min(size - used, len(own) - at_id)
+                    own = np.frombuffer(raw + tail, "<u4").astype(dtype).tobytes()
+                    n, at_id = len(own) // item, 0
+                    while at_id < n:
+                        take = min(size - used, n - at_id)
                         pieces.append((k, at_id, used, take))
-                        row.append(own[at_id:at_id + take])
+                        row.append(own[item * at_id:item * (at_id + take)])
                         at_id, used = at_id + take, used + take
                         if used == size:
                             close()
