@@ -70,7 +70,9 @@ def merge_bucketed(spark: SparkSession, source: DataFrame, name: str, keys: Sequ
     try:
         slice_ = spark.table(staged)
         out = merged_buckets(touched_part(target, slice_, [PARTITION]), slice_, keys)
-        out.select(*target.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+        # insertInto would not hand its options on, and so depend on the session's overwrite mode.
+        spark.sql(f"INSERT OVERWRITE TABLE {name} WITH ('partitionOverwriteMode' = 'dynamic') SELECT * FROM {{rows}}",
+                  rows=out.select(*target.columns))
         spark.catalog.refreshTable(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {staged}")

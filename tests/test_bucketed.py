@@ -39,3 +39,19 @@ def test_merge_equals_the_plain_one_and_does_not_shuffle_the_target(spark):
     assert max(r["count"] for r in spark.table(name).groupBy(F.expr("pmod(hash(ticker, quote_ts), 4)")).count().collect()) < 200
     spark.sql(f"DROP TABLE {staged}")
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_merge_does_not_depend_on_the_sessions_overwrite_mode(spark):
+    name = "lake_buckets.silver_" + scratch_path(spark, "b").rsplit("-", 1)[-1]
+    old, new = _rows(spark, 2, 20).unionByName(_rows(spark, 3, 20)), _rows(spark, 3, 30, offset=-3)
+    create_bucketed(spark, old, name, scratch_path(spark, "bucketed"), 2)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    was = spark.conf.get(mode)
+    spark.conf.set(mode, "static")   # Spark's default
+    try:
+        merge_bucketed(spark, new, name)
+        assert spark.conf.get(mode) == "static"
+    finally:
+        spark.conf.set(mode, was)
+    assert rows(spark.table(name).select(*old.columns)) == rows(merge_frames(old, new).select(*old.columns))
+    spark.sql(f"DROP TABLE {name}")
