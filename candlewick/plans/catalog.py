@@ -611,7 +611,7 @@ def q_alerts_log(spark, d):
     return log.groupBy("run_id", "task_id").agg(F.count(F.lit(1)).alias("n_alerts"))
 
 
-RESULTS_NODES = 5000   # nodes in one results file
+RESULTS_NODES = 5000   # nodes in one results file, about
 
 
 def _results_files(spark, d):
@@ -619,12 +619,14 @@ def _results_files(spark, d):
     bounded number of nodes, one per customer of a nation."""
     path = scratch_path(spark, "results")
     c = table(spark, d, "customer")
-    buckets = max(1, -(-c.count() // RESULTS_NODES))
+    groups = c.groupBy(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation")).agg(
+        F.ceil(F.count(F.lit(1)) / RESULTS_NODES).alias("buckets"))
     node = F.struct(F.concat(F.lit("test.c"), F.col("c_custkey").cast("string")).alias("unique_id"),
                     F.when(F.col("c_acctbal") < 0, "fail").otherwise("pass").alias("status"),
                     (F.col("c_custkey") / 4).alias("execution_time"))
     nations = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).cast("double").alias("elapsed_time"))
-    files = c.withColumn("bucket", F.pmod(F.xxhash64("c_custkey"), F.lit(buckets))).groupBy(
+    own = F.col("c_mktsegment").eqNullSafe(F.col("segment")) & (F.col("c_nationkey") == F.col("nation"))
+    files = c.join(groups, own).withColumn("bucket", F.pmod(F.xxhash64("c_custkey"), "buckets")).groupBy(
         "c_mktsegment", "c_nationkey", "bucket").agg(F.collect_list(node).alias("results")).join(nations, "c_nationkey")
     (files.select("results", "elapsed_time", F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"),
                   F.col("bucket").alias("file")).write.partitionBy("segment", "nation", "file").json(path))

@@ -56,3 +56,17 @@ def test_dimension_join_is_not_forced_to_broadcast(spark):
 
     import candlewick.operators.snapshot as snap
     assert "broadcast(" not in inspect.getsource(snap)
+
+
+def test_results_files_grow_with_their_nodes_and_not_with_all_nodes_times_folders(spark, tmp):
+    import glob
+    from candlewick.plans import catalog
+    n = 2 * catalog.RESULTS_NODES
+    spark.range(n).select(F.col("id").alias("c_custkey"), (F.col("id") % 5).cast("int").alias("c_nationkey"),
+                          F.lit(1.0).alias("c_acctbal"), F.when(F.col("id") % 2 == 0, "A").alias("c_mktsegment")).write.parquet(
+        f"{tmp}/customer.parquet")
+    path = catalog._results_files(spark, tmp).replace("file:", "")
+    assert len(glob.glob(f"{path}/*/*/*/*.json")) == 10   # five nations, two segments of which one is NULL
+    got = catalog.q_run_results_read(spark, tmp)
+    assert got.agg(F.count_distinct("unique_id"), F.count(F.lit(1)), F.min("elapsed_time"), F.max("elapsed_time")).first()[:] == (
+        n, n, n / 5, n / 5)
