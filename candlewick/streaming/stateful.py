@@ -23,9 +23,13 @@ from candlewick.functions.timeutil import to_utc_ntz, utc_instant
 # Fixed value: the store that Spark's arbitrary state needs.
 _STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-STATE_COLUMNS = ("ticker string, trading_date date, quote_us long, price double, day_open double, day_high double, "
+STATE_COLUMNS = ("ticker string, day int, quote_us long, price double, day_open double, day_high double, "
                  "day_low double, ticks_so_far long, volume_so_far long, volume_sum_so_far long")
 
+# A tick as it waits in the state.
+_TICK = np.dtype([("quote_us", "<i8"), ("price", "<f8"), ("volume", "<i8"), ("has_volume", "?")])
+PORTION = 20_000   # ticks that leave a timer at once
+
 
 def stateful_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A session of the same context whose streams keep state in RocksDB; the
@@ -39,82 +43,79 @@ def stateful_session(spark: SparkSession, partitions: int | None = None) -> Spar
 
 
 class RunningDay(StatefulProcessor):
-    """Per instrument: the day's open, running high and low, tick count, largest
-    and summed volume. Ticks wait until the watermark passes them and then take
-    effect in the order of their quote time. The state is dropped when the
-    watermark passes the market's midnight, so an idle instrument holds none."""
+    """Per instrument and trading day: the open, running high and low, tick count,
+    largest and summed volume. Ticks wait, packed, until the watermark passes them
+    and then take effect in the order of their quote time. The state is dropped
+    when the watermark passes the market's midnight, so an idle instrument holds
+    none."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.day = handle.getValueState("day", "trading_date date, open double, high double, low double, ticks long, "
-                                               "volume_max long, volume_sum long, ends_ms long")
-        self.waiting = handle.getListState("waiting", "trading_date date, quote_us long, price double, volume long, "
-                                                      "ends_ms long")
+        self.day = handle.getValueState("day", "open double, high double, low double, ticks long, volume_max long, "
+                                               "volume_sum long, ends_ms long")
+        self.waiting = handle.getListState("waiting", "ends_ms long, ticks binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for part in rows:
-            part = part.astype({"volume": "Int64"})
-            times = part["quote_us"]
-            first = int(times.min()) if first is None else min(first, int(times.min()))
-            self.waiting.appendList([
-                (d, int(t), float(p), None if v is pd.NA else int(v), int(e)) for d, t, p, v, e in zip(
-                    part["trading_date"], times, part["price"], part["volume"], part["ends_ms"])])
+            ticks = np.empty(len(part), _TICK)
+            for name in _TICK.names:
+                ticks[name] = part[name]
+            at = int(ticks["quote_us"].min())
+            first = at if first is None else min(first, at)
+            self.waiting.appendValue((int(part["ends_ms"].iloc[0]), ticks.tobytes()))
         if first is not None:
             self.handle.registerTimer(first // 1000 + 1)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
-        ticks = sorted(self.waiting.get(), key=lambda r: r[1])
-        due = [r for r in ticks if r[1] < mark * 1000]
-        left = ticks[len(due):]
-        out = []
+        kept = list(self.waiting.get())
         day = self.day.get() if self.day.exists() else None
-        for date, rows in _by_day(due):
-            if day is None or day[0] != date:
-                day = (date, rows[0][2], -np.inf, np.inf, 0, None, None, rows[0][4])
-            frame, day = _run(key[0], day, rows)
-            out.append(frame)
-        if due:
-            self.waiting.put(left) if left else self.waiting.clear()
-            if left:
-                self.handle.registerTimer(left[0][1] // 1000 + 1)
-        if day is not None and day[7] <= mark:
+        ends = kept[0][0] if kept else None
+        ticks = np.concatenate([np.frombuffer(k[1], _TICK) for k in kept]) if kept else np.empty(0, _TICK)
+        del kept
+        ticks = ticks[np.argsort(ticks["quote_us"], kind="stable")]
+        n = int(np.searchsorted(ticks["quote_us"], mark * 1000))
+        for at in range(0, n, PORTION):
+            due = ticks[at:min(at + PORTION, n)]
+            if day is None:
+                day = (float(due["price"][0]), -np.inf, np.inf, 0, None, None, ends)
+            frame, day = _run(key, day, due)
+            yield frame
+        if n:
+            left = ticks[n:]
+            if len(left):
+                self.waiting.put([(ends, left.tobytes())])
+                self.handle.registerTimer(int(left["quote_us"][0]) // 1000 + 1)
+            else:
+                self.waiting.clear()
+        if day is not None and day[6] <= mark:
             self.day.clear()
-        elif due:
+        elif n:
             self.day.update(day)
-            self.handle.registerTimer(day[7])
-        return iter(out)
+            self.handle.registerTimer(day[6])
 
     def close(self) -> None:
         pass
 
 
-def _by_day(rows: list) -> Iterator[tuple]:
-    start = 0
-    for i in range(1, len(rows) + 1):
-        if i == len(rows) or rows[i][0] != rows[start][0]:
-            yield rows[start][0], rows[start:i]
-            start = i
-
-
-def _run(ticker: str, day: tuple, rows: list) -> tuple[pd.DataFrame, tuple]:
-    """One day's ticks on top of its state so far."""
-    date, opened, high, low, n, most, total, ends = day
-    price = np.array([r[2] for r in rows])
+def _run(key: tuple, day: tuple, ticks: np.ndarray) -> tuple[pd.DataFrame, tuple]:
+    """Some of a day's ticks on top of its state so far."""
+    opened, high, low, n, most, total, ends = day
+    price, has = ticks["price"], ticks["has_volume"]
     highs, lows = np.maximum(np.maximum.accumulate(price), high), np.minimum(np.minimum.accumulate(price), low)
-    mosts, totals = [], []
-    for r in rows:   # NULL while no tick of the day has a volume
-        if r[3] is not None:
-            most, total = r[3] if most is None else max(most, r[3]), r[3] + (total or 0)
-        mosts.append(most)
-        totals.append(total)
+    mosts = np.maximum.accumulate(np.where(has, ticks["volume"], np.iinfo(np.int64).min if most is None else most))
+    totals = np.cumsum(np.where(has, ticks["volume"], 0)) + (total or 0)
+    if most is not None:
+        mosts = np.maximum(mosts, most)
+    none = ~(np.logical_or.accumulate(has) | (most is not None))   # no tick of the day has had a volume
     frame = pd.DataFrame({
-        "ticker": ticker, "trading_date": date, "quote_us": [r[1] for r in rows], "price": price, "day_open": opened,
-        "day_high": highs, "day_low": lows, "ticks_so_far": np.arange(n + 1, n + len(rows) + 1),
-        "volume_so_far": pd.array(mosts, "Int64"), "volume_sum_so_far": pd.array(totals, "Int64")})
-    return frame, (date, opened, float(highs[-1]), float(lows[-1]), n + len(rows), most, total, ends)
+        "ticker": key[0], "day": key[1], "quote_us": ticks["quote_us"], "price": price, "day_open": opened,
+        "day_high": highs, "day_low": lows, "ticks_so_far": np.arange(n + 1, n + len(ticks) + 1),
+        "volume_so_far": pd.arrays.IntegerArray(mosts, none), "volume_sum_so_far": pd.arrays.IntegerArray(totals, none)})
+    most, total = (None, None) if none[-1] else (int(mosts[-1]), int(totals[-1]))
+    return frame, (opened, float(highs[-1]), float(lows[-1]), n + len(ticks), most, total, ends)
 
 
 def running_state(ticks: DataFrame, delay: str = "10 minutes", tz: str = MARKET_TZ) -> DataFrame:
@@ -122,18 +123,20 @@ def running_state(ticks: DataFrame, delay: str = "10 minutes", tz: str = MARKET_
     the columns and values of :func:`~candlewick.operators.candles.intraday_running_state`
     for every tick that the watermark (``delay`` behind the newest quote) has passed.
 
-    The stream must belong to a :func:`stateful_session`. An instrument's ticks
-    of one micro-batch are one task's work, streamed in portions; what waits is
-    bounded by the delay.
+    The stream must belong to a :func:`stateful_session`. A state is one instrument's
+    trading day: its ticks of one micro-batch are one task's work, held as 25 bytes
+    each while they are ordered, and leave in portions; what waits is bounded by
+    the delay.
     """
     midnight = F.convert_timezone(F.lit(tz), F.lit("UTC"), F.date_add("trading_date", 1).cast("timestamp_ntz"))
     t = ticks.select(
-        "ticker", "trading_date", F.unix_micros(utc_instant("quote_ts")).alias("quote_us"), "price", "volume",
+        "ticker", F.unix_date("trading_date").alias("day"), F.unix_micros(utc_instant("quote_ts")).alias("quote_us"),
+        "price", F.coalesce("volume", F.lit(0)).cast("long").alias("volume"), F.col("volume").isNotNull().alias("has_volume"),
         F.unix_millis(utc_instant(midnight)).alias("ends_ms"),
         utc_instant("quote_ts").alias("at")).withWatermark("at", delay)
-    out = t.groupBy("ticker").transformWithStateInPandas(
+    out = t.groupBy("ticker", "day").transformWithStateInPandas(
         RunningDay(), STATE_COLUMNS, "Append", "EventTime")
-    return out.select("ticker", "trading_date",
+    return out.select("ticker", F.date_from_unix_date("day").alias("trading_date"),
                       to_utc_ntz(F.timestamp_micros("quote_us"), TimestampType()).alias("quote_ts"),
                       "price", "day_open", "day_high", "day_low", "ticks_so_far", "volume_so_far", "volume_sum_so_far")
 
