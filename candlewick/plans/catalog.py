@@ -746,28 +746,28 @@ FEED_CUTS = ("2024-01-11 13:00:00", "2024-01-20 12:00:00")   # in the middle of
 
 
 def _timed_feed(spark, s, src):
-    """Silver ticks as three files in time order, and a clock tick long after
-    them; returns the functions that append the files."""
+    """Silver ticks as three deliveries in time order, and a clock tick long after
+    them; returns the functions that append the files of each."""
     cuts = ["0001-01-01 00:00:00", *FEED_CUTS, "9999-01-01 00:00:00"]
     ts = F.col("quote_ts")
     parts = [s.filter((ts >= _at(a)) & (ts < _at(b))) for a, b in zip(cuts, cuts[1:])]
     clock = s.limit(1).withColumn("ticker", F.lit("~clock")).withColumn("quote_ts", _at("2024-06-01 00:00:00"))
-    return [lambda p=p: p.coalesce(1).write.mode("append").parquet(src) for p in [*parts, clock]]
+    return [lambda p=p: p.write.mode("append").parquet(src) for p in [*parts, clock]]
 
 
 def _stream_ticks(spark, d, work, late=None):
-    """The ticks of the feed through a stateful stream that is stopped in the
-    middle of a day and started again; what it appended, without the clock."""
+    """The ticks of the feed through a stateful stream that is stopped after each
+    delivery, in the middle of a day, and started again; what it appended, without
+    the clock. A delivery is one micro-batch, of as many files as it has."""
     from candlewick.streaming.bronze_stream import await_or_raise
     from candlewick.streaming.stateful import start_append, stateful_session
     src, out, chk = (scratch_path(spark, n) for n in ("ticks_src", "ticks_out", "ticks_chk"))
     s = silver_table(spark, d)
     session = stateful_session(spark, spark.sparkContext.defaultParallelism)
     put = _timed_feed(spark, s, src)
-    for files in (put[:1], [*put[1:3], *([lambda: late(s).write.mode("append").parquet(src)] if late else []), put[3]]):
-        for f in files:
-            f()
-        ticks = session.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    for deliver in (*put[:3], *([lambda: late(s).write.mode("append").parquet(src)] if late else []), put[3]):
+        deliver()
+        ticks = session.readStream.schema(s.schema).parquet(src)
         await_or_raise(start_append(work(ticks), out, chk, available_now=True))
     return spark.read.parquet(out)
 
