@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from candlewick.config import MARKET_TZ
+from candlewick.config import MARKET_TZ, _context
 from candlewick.operators.silver import silver_quotes
 from candlewick.schemas import QUOTE_SCHEMA
 from candlewick.sources.kafka import dead_letters, empty_bronze, offset_gaps, to_bronze
@@ -19,6 +19,13 @@ ENDS_SCHEMA = StructType([StructField("kafka_partition", IntegerType()), StructF
                           StructField("batch", LongType())])
 
 
+def dealt(records: DataFrame) -> DataFrame:
+    """The records over all cores: a source's file or Kafka partition may be one
+    task's, and decoding it is most of the work."""
+    context = _context(records.sparkSession)
+    return records.repartition(context.defaultParallelism) if context is not None else records
+
+
 def start_bronze(records: DataFrame, path: str, checkpoint: str, trigger: str | None = "15 seconds",
                  available_now: bool = False, tz: str = MARKET_TZ, query_name: str = "bronze_quotes",
                  schema: StructType = QUOTE_SCHEMA) -> StreamingQuery:
@@ -32,7 +39,7 @@ def start_bronze(records: DataFrame, path: str, checkpoint: str, trigger: str |
     restarts: a restarted query resumes from the last committed offsets.
     """
     bootstrap_table(empty_bronze(records.sparkSession, tz, schema), path, ["ingestion_date"])
-    w = (to_bronze(records, tz=tz, schema=schema).writeStream.format("parquet").outputMode("append")
+    w = (to_bronze(dealt(records), tz=tz, schema=schema).writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("ingestion_date").queryName(query_name))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start(path)
@@ -59,7 +66,7 @@ def start_bronze_split(records: DataFrame, path: str, dead_path: str, gaps_path:
                 "partitionOverwriteMode", "dynamic").partitionBy(*cols, "batch").parquet(to)
 
         session = batch.sparkSession
-        batch = materialize(batch, "records")
+        batch = materialize(dealt(batch), "records")
         before = read_table(session, ends_path, ENDS_SCHEMA).filter(F.col("batch") < batch_id).groupBy(
             "kafka_partition").agg(F.max("last_offset").alias("last_offset"))
         places = batch.select(F.col("partition").cast("int").alias("kafka_partition"),

@@ -7,7 +7,7 @@ from candlewick.sources.kafka import quote_stream, to_bronze
 from candlewick.streaming.bronze_stream import ProgressLog, await_or_raise, progress_frame, start_bronze, \
     start_silver_upsert
 from candlewick.functions.timeutil import utc_instant
-from tests.helpers import rows
+from tests.helpers import event, kafka_df, rows
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
 
@@ -60,3 +60,13 @@ def test_foreach_batch_upsert_equals_batch_silver(spark, tmp):
     got = spark.read.parquet(silver_p).drop("processing_ts")
     exp = silver_quotes(to_bronze(rec)).drop("processing_ts")
     assert rows(got.select(*exp.columns)) == rows(exp)
+
+
+def test_a_batch_of_one_file_is_decoded_by_many_tasks(spark, tmp):
+    import glob
+    src, out = f"{tmp}/src", f"{tmp}/bronze"
+    records = kafka_df(spark, [event(event_id=str(i)) for i in range(400)])
+    records.coalesce(1).write.parquet(src)
+    await_or_raise(start_bronze(quote_stream(spark, "parquet", src), out, f"{tmp}/chk", available_now=True))
+    assert spark.read.parquet(out).select("event_id").distinct().count() == 400
+    assert len(glob.glob(f"{out}/*/*.parquet")) == spark.sparkContext.defaultParallelism
