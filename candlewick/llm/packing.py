@@ -100,6 +100,11 @@ class WordIds(dict):
         return [b"".join(map(get, (t.encode() if isinstance(t, str) else t or b"").translate(FOLD).split(b" ")))
                 for t in texts]
 
+    def forget(self) -> None:
+        """Drop the cached chunks: a worker lives on and may have other work next."""
+        self.older = {}
+        self.clear()
+
 
 @lru_cache(maxsize=2)
 def word_ids(path: str | None = None) -> WordIds:

@@ -111,6 +111,7 @@ def filled(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
                             close()
                 if lengths:
                     yield frame()
+        w.forget()
         if used:
             close()
             yield frame()

@@ -67,3 +67,26 @@ def test_empty(spark, frame, tmp):
     rows, n = token_output.placed(token_output.filled(frame(["x"]).limit(0)))
     m = token_output.write(rows, n, tmp + "/t")
     assert n == 0 and m.collect() == [] and token_output.read(m, tmp + "/t").collect() == []
+
+
+def test_chunk_caches_are_dropped_when_a_task_ends(spark, tmp_path, monkeypatch):
+    left = str(tmp_path / "left")
+
+    def words(path=None):
+        w = packing.word_ids(path)
+
+        class Watched:
+            encode = staticmethod(w.encode)
+
+            @staticmethod
+            def forget():
+                w.forget()
+                with open(left, "w") as out:
+                    out.write(str(len(w) + len(w.older)))
+        return Watched
+
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(50)], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(token_output, "word_ids", words)
+    assert sum(len(r.pieces) for r in token_output.filled(docs).collect()) >= 50
+    with open(left) as f:
+        assert f.read() == "0"
