@@ -8,16 +8,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], hashed: bool = False) -> DataFrame:
     """First row per key under ``order``.
 
     Planned as ``WindowGroupLimit`` (partial, before the shuffle) + final
     limit after it, so a hot key is cut down to one row per map task before
     anything moves: skew does not concentrate rows in one reducer.
+
+    ``hashed`` puts a 64-bit hash of the key before it, for keys that share
+    their first column with many others: the sorts then compare one long and look
+    at the key itself only where the hashes are equal. The rows are the same; the
+    result is not partitioned by ``keys`` alone.
     """
-    rn = "__rn"
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
+    rn, kh = "__rn", "__key_hash"
+    if hashed:
+        df = df.withColumn(kh, F.xxhash64(*keys))
+    w = Window.partitionBy(*([kh] if hashed else []), *keys).orderBy(*order)
+    return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn, kh)
 
 
 def lookback_filter(df: DataFrame, as_of: Column, tz: str, days: int | None,

@@ -62,12 +62,15 @@ def typed_quotes(df: DataFrame, tz: str = MARKET_TZ, digits: int = 4, keep: Sequ
 def first_reading(df: DataFrame, keys: Sequence[str] = SILVER_KEY,
                   order: Sequence[Column] | None = None) -> DataFrame:
     """One row per (ticker, quote_ts): the first reading observed."""
-    return top1_per_key(df, keys, order or first_seen())
+    return top1_per_key(df, keys, order or first_seen(), hashed=True)
 
 
 def silver_quotes(bronze: DataFrame, tz: str = MARKET_TZ, digits: int = 4, keep: Sequence[str] = ()) -> DataFrame:
-    """Full refresh of silver from bronze (20-column contract, plus ``keep``)."""
-    return first_reading(typed_quotes(valid_quotes(bronze), tz, digits, keep)).select(*SILVER_COLUMNS, *keep)
+    """Full refresh of silver from bronze (20-column contract, plus ``keep``).
+
+    The readings are cut to one per quote first; the derived columns are computed
+    for those only, and do not travel."""
+    return typed_quotes(first_reading(valid_quotes(bronze)), tz, digits, keep).select(*SILVER_COLUMNS, *keep)
 
 
 def high_water_mark(silver: DataFrame, reprocess_minutes: int = REPROCESS_MINUTES) -> Column:
@@ -125,4 +128,4 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str] = SIL
     # matched update, so new source columns are filled deterministically.
     ordering = [*order, F.col(prio).asc()] if on_match == "first" else [F.col(prio).asc(), *order]
     cols = [c for c in both.columns if c != prio]
-    return top1_per_key(both, keys, ordering).select(*cols)
+    return top1_per_key(both, keys, ordering, hashed=True).select(*cols)

@@ -43,14 +43,16 @@ def ticker_expr(by: str):
 
 
 def _readings(events: DataFrame, by: str) -> DataFrame:
+    # JSON and the truncated quote time are evaluated per event, below the explode, not per reading.
     e = events.select(
-        "event_id", "ts", "value", ticker_expr(by).alias("ticker"),
-        F.get_json_object("props", "$.k").cast("double").alias("pk"),
-        F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k"))
+        "event_id", "ts", "value", ticker_expr(by).alias("ticker"), bucket_start("ts", "1 millisecond").alias("__quote_ts"),
+        F.get_json_object("props", "$.k").cast("double").alias("pk")).select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k"))
     eid = F.col("event_id")
     value = F.col("value")
     simulated = (eid % 10) == 0
-    ingestion = F.col("ts") + F.make_dt_interval(mins=F.lit(30), secs=F.col("k") * 15)
+    delay = F.expr("INTERVAL '30' MINUTE + k * INTERVAL '15' SECOND")
+    ingestion = F.col("ts") + delay
     return e.select(
         (eid * 3 + F.col("k")).cast("string").alias("event_id"),
         "ticker",
@@ -70,7 +72,8 @@ def _readings(events: DataFrame, by: str) -> DataFrame:
         F.concat(F.lit("cycle-"), F.col("k").cast("string")).alias("poll_cycle_id"),
         (eid * 3 + F.col("k")).alias("__offset"),
         ingestion.alias("__kafka_ts"),
-        "ts",
+        "__quote_ts",
+        (F.col("__quote_ts") + delay).alias("__ingestion_ts"),   # whole milliseconds later: truncated like the quote
     )
 
 
@@ -82,16 +85,14 @@ def bronze_rows(events: DataFrame, by: str = "type", as_of=None, tz: str = MARKE
     trip, which only the ingest path pays.
     """
     r = _readings(events, by)
-    q_ts = bucket_start("ts", "1 millisecond")
-    ing = bucket_start("__kafka_ts", "1 millisecond")
     return r.select(
         *[c for c in QUOTE_SCHEMA.fieldNames() if c not in ("quote_ts", "ingestion_ts")],
-        q_ts.alias("quote_ts"), ing.alias("ingestion_ts"),
+        F.col("__quote_ts").alias("quote_ts"), F.col("__ingestion_ts").alias("ingestion_ts"),
         (F.length("ticker") % 3).cast("int").alias("kafka_partition"),
         F.col("__offset").alias("kafka_offset"),
         F.col("__kafka_ts").alias("kafka_ts"),
         as_of_col(as_of).alias("processing_ts"),
-        market_date(ing, tz).alias("ingestion_date"),
+        market_date("__ingestion_ts", tz).alias("ingestion_date"),
     ).select(*BRONZE_COLUMNS)
 
 

@@ -70,3 +70,29 @@ def test_results_files_grow_with_their_nodes_and_not_with_all_nodes_times_folder
     got = catalog.q_run_results_read(spark, tmp)
     assert got.agg(F.count_distinct("unique_id"), F.count(F.lit(1)), F.min("elapsed_time"), F.max("elapsed_time")).first()[:] == (
         n, n, n / 5, n / 5)
+
+
+def test_readings_parse_an_event_once(spark):
+    plan = _plan(_bronze(spark))
+    above, below = plan.split("Generate explode", 1)
+    assert "get_json_object" in below and "get_json_object" not in above
+    assert "MICROSECOND" in below                                        # the truncated quote time as well
+
+
+def test_dedup_sorts_by_a_hash_and_derives_columns_afterwards(spark):
+    plan = _plan(silver_quotes(_bronze(spark)))
+    sorts = [line.split("Sort [", 1)[1] for line in plan.splitlines() if "Sort [" in line]
+    assert len(sorts) == 2 and all(s.startswith("__key_hash") for s in sorts)
+    below = plan[plan.index("Window ["):]
+    assert "change_pct#" not in below and "trading_date" not in below and "feed_delay_seconds" not in below
+
+
+def test_hashed_top1_keeps_the_same_rows(spark):
+    from candlewick.operators.common import top1_per_key
+    df = spark.range(200).select(
+        F.when(F.col("id") % 7 > 0, (F.col("id") % 7).cast("string")).alias("ticker"),   # null keys too
+        F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("quote"), F.pmod(F.col("id") * 37, F.lit(101)).alias("at"), "id")
+    order = [F.col("at").desc(), F.col("id").asc()]
+    plain, hashed = (top1_per_key(df, ["ticker", "quote"], order, hashed=h) for h in (False, True))
+    assert hashed.columns == df.columns and hashed.count() == 35
+    assert sorted(map(str, hashed.collect())) == sorted(map(str, plain.collect()))
