@@ -23,19 +23,23 @@ def _c(col: Column | str) -> Column:
 
 # A time of day followed by Z, an offset or a zone name.
 _ZONED = r"[0-9]{1,2}:[0-9]{2}.*(?:[zZ]|[+-][0-9]{1,2}(?::?[0-9]{2}){0,2}|UTC|GMT|UT|[A-Za-z]+/[A-Za-z_/]+)\s*$"
+# The wire format: a date, a time of day and Z, nothing else.
+_WIRE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,6})?Z\z"
 
 
 def parse_utc(col: Column | str, zone: str = "UTC") -> Column:
     """ISO-8601 text -> UTC TIMESTAMP_NTZ; unparsable text -> NULL (never throws).
 
     Text with a zone is that instant. Text without one is wall clock in
-    ``zone``, whatever the session's time zone is."""
+    ``zone``, whatever the session's time zone is. In the wire format the text
+    before the Z is the UTC wall clock, so no zone is looked up per row."""
     text = _c(col)
+    wire = F.substring_index(text, "Z", 1).try_cast("timestamp_ntz")
     instant = F.convert_timezone(None, F.lit("UTC"), text.try_cast("timestamp"))
     wall = text.try_cast("timestamp_ntz")
     if zone != "UTC":
         wall = F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
-    return F.when(F.rlike(text, F.lit(_ZONED)), instant).otherwise(wall)
+    return F.when(F.rlike(text, F.lit(_WIRE)), wire).when(F.rlike(text, F.lit(_ZONED)), instant).otherwise(wall)
 
 
 def to_utc_ntz(col: Column | str, dtype: DataType) -> Column:
@@ -43,7 +47,7 @@ def to_utc_ntz(col: Column | str, dtype: DataType) -> Column:
     if isinstance(dtype, TimestampNTZType):
         return _c(col)
     if isinstance(dtype, TimestampType):
-        return F.convert_timezone(None, F.lit("UTC"), _c(col))
+        return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), F.expr(_EPOCH))
     if isinstance(dtype, StringType):
         return parse_utc(col)
     return _c(col).try_cast("timestamp_ntz")

@@ -794,12 +794,15 @@ def q_stream_deliver_once(spark, d):
     from candlewick.functions.timeutil import utc_instant
     from candlewick.sources.kafka import quote_stream
     from candlewick.streaming.bronze_stream import await_or_raise
-    from candlewick.streaming.stateful import deliver_once, start_append
+    from candlewick.streaming.stateful import deliver_once, start_append, stateful_session
     src, out, chk = (scratch_path(spark, n) for n in ("twice_src", "twice_bronze", "twice_chk"))
     rec = kafka_records(events(spark, d), "type").withColumn("timestamp", utc_instant("timestamp"))
-    for _ in range(2):
-        rec.write.mode("append").parquet(src)
-    stream = to_bronze(quote_stream(spark, "parquet", src, maxBytesPerTrigger=STREAM_BATCH), as_of=AS_OF, tz=TZ)
+    # Row groups of 16 MB: several tasks can read a file.
+    put = lambda r: r.write.mode("append").option("parquet.block.size", 1 << 24).parquet(src)
+    put(rec)
+    put(spark.read.parquet(src))   # the second delivery, encoded once
+    session = stateful_session(spark, spark.sparkContext.defaultParallelism, count_rows=False)
+    stream = to_bronze(quote_stream(session, "parquet", src, maxBytesPerTrigger=STREAM_BATCH), as_of=AS_OF, tz=TZ)
     # The whole month is one delivery: copies come within it.
     await_or_raise(start_append(deliver_once(stream, "40 days"), out, chk, ["ingestion_date"], available_now=True))
     return spark.read.parquet(out).groupBy("ingestion_date", "ticker").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -31,13 +31,15 @@ _TICK = np.dtype([("quote_us", "<i8"), ("price", "<f8"), ("volume", "<i8"), ("ha
 PORTION = 20_000   # ticks that leave a timer at once
 
 
-def stateful_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+def stateful_session(spark: SparkSession, partitions: int | None = None, count_rows: bool = True) -> SparkSession:
     """A session of the same context whose streams keep state in RocksDB; the
     caller's own settings stay as they are. ``partitions`` is the number of state
     partitions, fixed for the life of a checkpoint (default: the caller's number
-    of shuffle partitions)."""
+    of shuffle partitions). Without ``count_rows`` the store does not look each key
+    up once more to count it, and a batch's ``state_rows`` is not known."""
     s = spark.newSession()
     s.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
+    s.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", str(count_rows).lower())
     s.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.conf.get("spark.sql.shuffle.partitions")))
     return s
 
@@ -161,7 +163,8 @@ def deliver_once(bronze: DataFrame, delay: str = "10 minutes", keys: Sequence[st
     ones is dropped. Copies of an event are equal, so it does not matter which of
     them goes on; different readings of one quote are different events, and the
     first-wins merge into silver chooses among them. An event without an id is
-    told by its partition and offset."""
+    told by its partition and offset. The state has a row per event of that time: in a
+    :func:`stateful_session` it is on disk, else in the executors' heap, twice."""
     place = F.concat_ws(":", F.lit("at"), "kafka_partition", "kafka_offset")
     named = bronze.withColumns({f"__k{i}": F.coalesce(F.col(k).cast("string"), place) for i, k in enumerate(keys)})
     named = named.withColumn("__at", utc_instant("ingestion_ts")).withWatermark("__at", delay)

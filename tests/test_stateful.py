@@ -96,6 +96,26 @@ def test_repeated_deliveries_go_and_their_state_falls(spark, session, tmp):
         silver_quotes(spark.read.parquet(src)).select("ticker", "quote_ts", "price"))
 
 
+def test_deliver_once_query_keeps_its_state_on_disk(spark, tmp, monkeypatch):
+    from candlewick.plans import catalog
+    at = {}
+    monkeypatch.setattr(catalog, "scratch_path", lambda _, name: at.setdefault(name, f"{tmp}/{name}"))
+    start = datetime(2024, 1, 2, 13)
+    spark.createDataFrame([(i, start + timedelta(hours=7 * i), i % 3, ("click", "view")[i % 2], 10.0 + i, '{"k": 1}') for i in range(40)],
+                          "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                          ).write.parquet(f"{tmp}/events.parquet")
+    got = catalog.q_stream_deliver_once(spark, tmp)
+    exp = to_bronze(spark.read.parquet(at["twice_src"]).distinct(), tz=TZ).groupBy("ingestion_date", "ticker").count()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect())) and got.agg(F.sum("n_rows")).first()[0] == 120
+    copies = spark.read.parquet(at["twice_src"]).groupBy("value", "partition", "offset", "timestamp").count()
+    assert {r["count"] for r in copies.collect()} == {2} and copies.count() == 120
+    state = f"{at['twice_chk']}/state/0"
+    parts = [p for p in os.listdir(state) if p.isdigit()]
+    assert len(parts) == spark.sparkContext.defaultParallelism
+    names = [f for p in parts for f in os.listdir(f"{state}/{p}")]
+    assert any(f.endswith(".zip") for f in names) and not any(f.endswith(".delta") for f in names)
+
+
 def _payloads():
     return [event(), "{broken", "[1, 2]", "", None, "{}", '{"ticker": null, "price": 1}', event(ticker="X", price="38.5"), "null",
             '{"ticker": "Y", "price": "abc"}']
