@@ -39,7 +39,8 @@ def stateful_session(spark: SparkSession, partitions: int | None = None, count_r
     up once more to count it, and a batch's ``state_rows`` is not known."""
     s = spark.newSession()
     s.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
-    s.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", str(count_rows).lower())
+    if not count_rows:
+        s.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
     s.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.conf.get("spark.sql.shuffle.partitions")))
     return s
 
